@@ -20,6 +20,12 @@ def bounded(df: DataFrame) -> DataFrame:
     return F.broadcast(df)
 
 
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """Runtime size check: does ``df`` have at most ``max_rows`` rows?  Reads
+    at most ``max_rows + 1`` rows and brings one number to the driver."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast ``df`` only if a runtime check proves it has at most
     ``max_rows`` rows; otherwise return it unchanged so Spark plans a
@@ -29,8 +35,7 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     The check reads at most ``max_rows + 1`` rows (``limit`` stops early) and
     brings one number to the driver.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
 def role(dim: DataFrame, key: str, prefix: str, columns: list[str]) -> DataFrame:

@@ -6,44 +6,85 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendlane.functions import constants as K
-from spendlane.operators.joins import bounded
-from spendlane.operators.rollup import ordered_rollup, running_count_at_first
+from spendlane.operators.joins import bounded, fits_broadcast
+from spendlane.operators.rollup import first_n_rows, ordered_rollup, running_count_at_first
 from spendlane.plans.context import ReportContext
 from spendlane.plans.export_leg import scoped_shipments
 
 
 def ocean_movements(ctx: ReportContext) -> DataFrame:
     """Scoped export movements whose ship mode is Ocean."""
-    modes = bounded(ctx.views.ship_mode_dimension.filter(F.col("ship_mode_desc") == K.OCEAN))
-    sf = scoped_shipments(ctx)
-    return sf.join(modes, "ship_mode_key").select("movement_id")
+    def build() -> DataFrame:
+        modes = bounded(ctx.views.ship_mode_dimension.filter(F.col("ship_mode_desc") == K.OCEAN))
+        return scoped_shipments(ctx).join(modes, "ship_mode_key").select("movement_id")
+    return ctx.memo("ocean_movements", build)
 
 
-def ocean_container_rows(ctx: ReportContext) -> DataFrame:
-    """One row per (Ocean movement, container record) with number and type.
+def container_rows(ctx: ReportContext) -> DataFrame:
+    """Container records with a known move type, with number and type.
 
     The move-type join contributes no column; it keeps only containers whose
-    move type exists.
+    move type exists.  When the scoped Ocean movements are few (runtime row
+    check), the records are narrowed to them by a broadcast semi-join; either
+    way, scoping is completed by :func:`_scoped` after the per-movement
+    reductions, so no shuffle ever carries a whole movement.
     """
-    v = ctx.views
-    csf = v.container_shipment_fact
-    move_types = bounded(v.move_type_dimension)
-    container_types = bounded(v.container_type_dimension)
-    containers = (csf.join(move_types, "move_type_key")
-                  .join(container_types, "container_type_key")
-                  .select("movement_id", "container_number", "container_type"))
-    return ocean_movements(ctx).join(containers, "movement_id")
+    def build() -> DataFrame:
+        v = ctx.views
+        rows = (v.container_shipment_fact
+                .join(bounded(v.move_type_dimension), "move_type_key")
+                .join(bounded(v.container_type_dimension), "container_type_key")
+                .select("movement_id", "container_number", "container_type"))
+        ids = ocean_movements(ctx)
+        if fits_broadcast(ids):
+            rows = rows.join(F.broadcast(ids), "movement_id", "left_semi")
+        return rows
+    return ctx.memo("container_rows", build)
+
+
+def _scoped(ctx: ReportContext, per_movement: DataFrame) -> DataFrame:
+    """Keep the per-movement rows of scoped Ocean movements (the scoped
+    shipments hold one row per movement)."""
+    return per_movement.join(ocean_movements(ctx), "movement_id", "left_semi")
+
+
+def ocean_container_rows(ctx: ReportContext) -> DataFrame:
+    """Every container record of the scoped Ocean movements (not reduced)."""
+    return _scoped(ctx, container_rows(ctx))
+
+
+def first_rows(ctx: ReportContext, n: int, rank_col: str = "_rank") -> DataFrame:
+    """The first ``n`` container records per scoped Ocean movement, ascending
+    by number with nulls last (ranked before scoping, limited map-side)."""
+    ranked = first_n_rows(container_rows(ctx), ["movement_id"],
+                          F.col("container_number").asc_nulls_last(), n, rank_col)
+    return _scoped(ctx, ranked)
+
+
+def container_counts(ctx: ReportContext) -> DataFrame:
+    """Non-null container numbers per scoped Ocean movement (the running
+    count read at the first row), for every movement with a record."""
+    counts = running_count_at_first(container_rows(ctx), ["movement_id"],
+                                    "container_number", "container_count")
+    return _scoped(ctx, counts)
 
 
 def containers(ctx: ReportContext) -> DataFrame:
     """R6: per Ocean movement, the first 31 container numbers and the first
     31 container types (each sorted on its own, duplicates kept) as ``|``
-    lists, plus the count of non-null container numbers (not capped)."""
-    rows = ocean_container_rows(ctx)
-    counts = running_count_at_first(rows, ["movement_id"], "container_number", "container_count")
-    numbers = ordered_rollup(rows, ["movement_id"], "container_number", "containers")
-    sizes = ordered_rollup(rows, ["movement_id"], "container_type", "container_sizes")
-    return (counts.join(numbers, "movement_id", "left")
-            .join(sizes, "movement_id", "left")
-            .select(F.col("movement_id").alias("ei_file_number"),
-                    "containers", "container_count", "container_sizes"))
+    lists, plus the count of non-null container numbers (not capped).
+
+    Each list is reduced per movement before anything is joined: rank <= 31
+    is applied on both sides of the shuffle, so the collected lists are
+    bounded whatever the size of a movement.
+    """
+    def build() -> DataFrame:
+        rows = container_rows(ctx)
+        counts = container_counts(ctx)
+        numbers = ordered_rollup(rows, ["movement_id"], "container_number", "containers")
+        sizes = ordered_rollup(rows, ["movement_id"], "container_type", "container_sizes")
+        return (counts.join(numbers, "movement_id", "left")
+                .join(sizes, "movement_id", "left")
+                .select(F.col("movement_id").alias("ei_file_number"),
+                        "containers", "container_count", "container_sizes"))
+    return ctx.memo("containers", build)

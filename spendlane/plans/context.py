@@ -10,19 +10,32 @@ from pyspark.sql import DataFrame, SparkSession
 from spendlane.operators.joins import bounded, broadcast_if_small
 from spendlane.operators.scope import client_scope
 from spendlane.params import ReportParams
+from spendlane.sources.staging import StagedViews, views_for
 from spendlane.sources.views import Views
 
 CLIENT_ROLE_COLUMNS = ["gci_name", "gci_addr_line1", "gci_addr_line2", "gci_state", "gci_city"]
 
 
 class ReportContext:
-    def __init__(self, views: Views, params: ReportParams):
+    def __init__(self, views: Views | StagedViews, params: ReportParams):
         self.views = views
         self.params = params
+        self._memo: dict[str, DataFrame] = {}
+
+    def memo(self, key: str, build) -> DataFrame:
+        """Build a shared intermediate once per run, so every use is the same
+        plan (Spark reuses its exchanges) and its size checks run once."""
+        if key not in self._memo:
+            self._memo[key] = build()
+        return self._memo[key]
 
     @classmethod
-    def from_dir(cls, spark: SparkSession, base_dir: str, params: ReportParams) -> "ReportContext":
-        return cls(Views(spark, base_dir), params)
+    def from_dir(cls, spark: SparkSession, base_dir: str, params: ReportParams,
+                 staged: bool = True) -> "ReportContext":
+        """Context over the views of ``base_dir``: staged parquet tables by
+        default, or lazily derived DataFrames with ``staged=False``."""
+        views = views_for(spark, base_dir) if staged else Views(spark, base_dir)
+        return cls(views, params)
 
     @property
     def spark(self) -> SparkSession:

@@ -15,6 +15,10 @@ from spendlane.plans.context import CLIENT_ROLE_COLUMNS, ReportContext
 
 
 def scoped_shipments(ctx: ReportContext) -> DataFrame:
+    return ctx.memo("scoped_shipments", lambda: _scoped_shipments(ctx))
+
+
+def _scoped_shipments(ctx: ReportContext) -> DataFrame:
     """Export shipments whose outbound revenue client is in scope."""
     sf = ctx.views.shipment_fact
     clients = ctx.scoped_clients.select("client_key", "master_client_number", "gci")
@@ -22,6 +26,10 @@ def scoped_shipments(ctx: ReportContext) -> DataFrame:
 
 
 def export_references(ctx: ReportContext) -> DataFrame:
+    return ctx.memo("export_references", lambda: _export_references(ctx))
+
+
+def _export_references(ctx: ReportContext) -> DataFrame:
     """R3 (``SO``): one row per scoped movement that has shipment references.
 
     Wide shipment references win over the tall reference table for SO, CI and
@@ -77,6 +85,10 @@ EXPORT_BASE_KEYS = [
 
 
 def export_leg_base(ctx: ReportContext) -> DataFrame:
+    return ctx.memo("export_leg_base", lambda: _export_leg_base(ctx))
+
+
+def _export_leg_base(ctx: ReportContext) -> DataFrame:
     """R4 (``EXP``): distinct movement x invoice x PO reference rows with the
     movement's parties, lanes and milestone times; ``MAX(pieces)`` per row."""
     v, p = ctx.views, ctx.params
@@ -161,6 +173,10 @@ def _export_base_select(df: DataFrame, countries: tuple[str, str]) -> DataFrame:
 
 
 def export_leg(ctx: ReportContext) -> DataFrame:
+    return ctx.memo("export_leg", lambda: _export_leg(ctx))
+
+
+def _export_leg(ctx: ReportContext) -> DataFrame:
     """R5 (``EXPO``): export base rows of movements that have references."""
     base = export_leg_base(ctx)
     so = export_references(ctx)

@@ -49,6 +49,10 @@ def import_shipments(ctx: ReportContext) -> DataFrame:
 
 
 def import_leg(ctx: ReportContext) -> DataFrame:
+    return ctx.memo("import_leg", lambda: _import_leg(ctx))
+
+
+def _import_leg(ctx: ReportContext) -> DataFrame:
     """R2: the import leg, grouped by invoice number with ``MAX`` semantics.
 
     References and events are reduced to one row per invoice before the join

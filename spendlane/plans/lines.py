@@ -67,6 +67,10 @@ def line_columns(ctx: ReportContext, df: DataFrame) -> DataFrame:
 
 
 def invoice_lines(ctx: ReportContext) -> DataFrame:
+    return ctx.memo("invoice_lines", lambda: _invoice_lines(ctx))
+
+
+def _invoice_lines(ctx: ReportContext) -> DataFrame:
     """R1: scoped invoice lines with classification and USD amounts."""
     df = enriched_lines(ctx)
     df = df.filter(keep_code_country(F.col("billing_code"), F.col("country_code")))

@@ -9,6 +9,7 @@ from spendlane.functions import rules as R
 from spendlane.plans.containers import containers
 from spendlane.plans.context import ReportContext
 from spendlane.plans.export_leg import export_leg
+from spendlane.plans import legs_per_invoice as LP
 from spendlane.plans.import_leg import import_leg
 from spendlane.plans.lines import invoice_lines
 
@@ -157,8 +158,10 @@ REPORT_COLUMNS = [
 ]
 
 
-def grouped_report(ctx: ReportContext) -> DataFrame:
-    """The report grouped on its seven keys, description still raw."""
+def grouped_report_literal(ctx: ReportContext) -> DataFrame:
+    """The report in its literal shape: lines joined to every leg row, then
+    grouped on the seven keys (description still raw).  Kept as the
+    reference the pre-aggregated plan is tested against."""
     df = attach_legs(ctx)
     p = ctx.params
     if p.invoice_numbers is not None and p.scope_final:
@@ -166,6 +169,96 @@ def grouped_report(ctx: ReportContext) -> DataFrame:
     return df.groupBy(*GROUP_KEYS).agg(*report_aggregates())
 
 
+LINE_MAXED = [
+    "billing_client_id", "billing_client_name", "gci_and_billing_client_name",
+    "billing_currency", "billing_branch_code", "customer_invoice_type",
+    "billing_master_client_number", "billing_master_client_name", "invoice_year",
+    "invoice_month", "billing_branch_country_name", "ship_mode",
+    "billing_client_usage_distinction_type", "f2f_flag", "charge_type", "invoice_month_number",
+]
+
+
+def lines_per_group(ctx: ReportContext) -> DataFrame:
+    """Invoice lines aggregated on the seven report keys (no leg columns)."""
+    df = invoice_lines(ctx)
+    p = ctx.params
+    if p.invoice_numbers is not None and p.scope_final:
+        df = df.filter(F.col("invoice_expeditor").isin(*p.invoice_numbers))
+    return df.groupBy(*GROUP_KEYS).agg(
+        F.count(F.lit(1)).alias("q_rows"),
+        F.sum("billing_amount").alias("q_sum_amount"),
+        F.max("billing_amount").alias("q_max_amount"),
+        F.sum("billing_amount_usd").alias("q_sum_amount_usd"),
+        F.max("billing_amount_usd").alias("q_max_amount_usd"),
+        F.avg("usd_average_exchange_rate").cast(RATE).alias("usd_average_exchange_rate"),
+        *[F.max(c).alias(c) for c in LINE_MAXED],
+        F.max(R.month_label("invoice_date_time")).alias("invoice_month2"),
+        F.max(R.quarter_label("invoice_date")).alias("invoice_quarter"),
+    )
+
+
+def grouped_report(ctx: ReportContext) -> DataFrame:
+    """The report grouped on its seven keys (description still raw), computed
+    as line groups joined to one pre-aggregated row of leg values per invoice
+    (see :mod:`spendlane.plans.legs_per_invoice`); equal to
+    :func:`grouped_report_literal` without multiplying lines by leg rows and
+    without a distinct aggregation over the wide rows."""
+    q = lines_per_group(ctx)
+    legs = LP.legs_per_invoice(ctx)
+    df = q.join(legs, q.internal_reference == legs.leg_invoice, "left")
+    n_e = F.coalesce(F.col("e_n_rows"), F.lit(0))
+    has_e = n_e > 0
+
+    def export_first(o: str) -> Column:
+        raised = F.greatest(F.col(f"e_{o}"), F.when(F.col(f"enull_{o}") > 0, F.col(f"i_{o}")))
+        return F.when(has_e, raised).otherwise(F.col(f"i_{o}"))
+
+    def summed(o: str) -> Column:
+        e_sum = F.col(f"e_{o}")
+        i_part = F.when((F.col(f"enull_{o}") > 0) & F.col(f"i_{o}").isNotNull(),
+                        F.col(f"enull_{o}") * F.col(f"i_{o}"))
+        with_e = F.when(e_sum.isNull() & i_part.isNull(), F.lit(None)).otherwise(
+            F.coalesce(e_sum, F.lit(0)) + F.coalesce(i_part, F.lit(0)))
+        per_line = F.when(has_e, with_e).otherwise(F.col(f"i_{o}"))
+        return (F.col("q_rows") * per_line).cast(AMOUNT)
+
+    hb_count = F.when(has_e, F.col("e_hb_count")).otherwise(
+        F.when(F.col("i_house_bill").isNotNull(), 1).otherwise(0)).cast("bigint")
+    leg_rows = F.greatest(n_e, F.lit(1))
+    dest_leg = export_first("dest_country_leg")
+    dest_has_null = F.when(has_e, (F.col("enull_dest_country_leg") > 0)
+                           & F.col("i_dest_country_leg").isNull()
+                           ).otherwise(F.col("i_dest_country_leg").isNull())
+    post = {"final_shipper": R.strip_quotes, "final_consignee": R.strip_quotes,
+            "shipper_address1": R.sanitise, "shipper_address2": R.sanitise,
+            "shipper_city": R.sanitise, "consignee_address1": R.sanitise,
+            "consignee_address2": R.sanitise, "consignee_city": R.sanitise}
+    leg_cols = {}
+    for o, _, _ in LP.export_first():
+        leg_cols[o] = post.get(o, lambda c: c)(export_first(o))
+    for o, _, _ in LP.import_first():
+        leg_cols[o] = F.coalesce(F.col(f"i_{o}"), F.col(f"e_{o}"))
+    for o, _, _ in LP.group_first():
+        leg_cols[o] = F.coalesce(F.col(f"e_{o}"), F.col(f"i_{o}"))
+    for o, _, _ in LP.summed():
+        leg_cols[o] = summed(o)
+    for c in LP.CONTAINER_COLUMNS:
+        leg_cols[c] = F.when(has_e, F.col(f"e_{c}")).otherwise(F.col(f"i_{c}"))
+    leg_cols["destination_country"] = F.greatest(
+        dest_leg, F.when(dest_has_null, F.col("billing_branch_country_name")))
+    leg_cols["hb_count"] = hb_count
+    leg_cols["billing_amount"] = F.when(hb_count > 1, F.col("q_max_amount")).otherwise(
+        F.col("q_sum_amount") * leg_rows).cast(AMOUNT)
+    leg_cols["billing_amount_usd"] = F.when(hb_count > 1, F.col("q_max_amount_usd")).otherwise(
+        F.col("q_sum_amount_usd") * leg_rows).cast(AMOUNT_USD)
+    leg_cols["bill_to_customer_flag"] = R.bill_to_flag_final(
+        "f2f_flag", "billing_client_usage_distinction_type")
+    out = []
+    for c in REPORT_COLUMNS:
+        out.append(leg_cols[c].alias(c) if c in leg_cols else F.col(c))
+    return df.select(*out)
+
+
 def _finish(grouped: DataFrame) -> DataFrame:
     # the grouping key is the raw text; the published column is sanitised
     return (grouped.withColumn("billing_line_description", R.sanitise("billing_line_description"))

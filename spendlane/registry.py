@@ -21,7 +21,6 @@ from spendlane.functions import constants as K
 from spendlane.functions import rules as R
 from spendlane.operators.joins import left_join_filtered
 from spendlane.operators.pivots import max_code_milestones
-from spendlane.operators.rollup import first_n_rows, running_count_at_first
 from spendlane.operators.scope import keep_code_country
 from spendlane.params import ReportParams
 from spendlane.plans import containers as C
@@ -30,7 +29,8 @@ from spendlane.plans import import_leg as I
 from spendlane.plans import lines as L
 from spendlane.plans import report as RP
 from spendlane.plans.context import ReportContext
-from spendlane.sources.views import VIEW_NAMES, Views
+from spendlane.sources.staging import views_for
+from spendlane.sources.views import VIEW_NAMES
 
 
 def ref_text(key: int) -> str:
@@ -75,7 +75,7 @@ def _q(params: ReportParams, fn: Callable[[ReportContext], DataFrame]):
 # --------------------------------------------------------------- Spark side
 
 def scan_views(spark: SparkSession, base_dir: str) -> DataFrame:
-    v = Views(spark, base_dir)
+    v = views_for(spark, base_dir)
     out = None
     for n in VIEW_NAMES:
         c = v.get(n).groupBy().agg(F.count(F.lit(1)).alias("n_rows")).select(
@@ -164,9 +164,8 @@ def bill_to_flags(ctx: ReportContext) -> DataFrame:
 
 
 def first_row_per_movement(ctx: ReportContext) -> DataFrame:
-    rows = C.ocean_container_rows(ctx)
-    first = first_n_rows(rows, ["movement_id"], F.col("container_number").asc_nulls_last(), 1)
-    return first.select("movement_id", F.col("container_number").alias("first_container"))
+    return C.first_rows(ctx, 1).select("movement_id",
+                                       F.col("container_number").alias("first_container"))
 
 
 def ship_modes(ctx: ReportContext) -> DataFrame:
@@ -176,7 +175,7 @@ def ship_modes(ctx: ReportContext) -> DataFrame:
 
 
 def sanitise_text(spark: SparkSession, base_dir: str) -> DataFrame:
-    v = Views(spark, base_dir)
+    v = views_for(spark, base_dir)
     texts = v.customer_invoice_fact.select(F.col("billing_line_description").alias("raw_text"))
     for c in ("gci_name", "gci_addr_line1", "gci_city"):
         texts = texts.unionByName(v.client_dimension.select(F.col(c).alias("raw_text")))
@@ -195,7 +194,7 @@ def lanes(ctx: ReportContext) -> DataFrame:
 
 
 def client_labels(spark: SparkSession, base_dir: str) -> DataFrame:
-    c = Views(spark, base_dir).client_dimension
+    c = views_for(spark, base_dir).client_dimension
     return c.select("gci", R.client_label("gci", "gci_name").alias("gci_and_billing_client_name"))
 
 
@@ -251,16 +250,13 @@ def attach_containers_q(ctx: ReportContext) -> DataFrame:
 
 
 def lead_offsets(ctx: ReportContext) -> DataFrame:
-    rows = C.ocean_container_rows(ctx)
-    top = first_n_rows(rows, ["movement_id"], F.col("container_number").asc_nulls_last(),
-                       K.ROLLUP_WIDTH, rank_col="position")
+    top = C.first_rows(ctx, K.ROLLUP_WIDTH, rank_col="position")
     return top.select("movement_id", (F.col("position") - 1).alias("lead_offset"),
                       "container_number")
 
 
 def running_count(ctx: ReportContext) -> DataFrame:
-    return running_count_at_first(C.ocean_container_rows(ctx), ["movement_id"],
-                                  "container_number", "container_count")
+    return C.container_counts(ctx)
 
 
 # --------------------------------------------------------------- oracle side

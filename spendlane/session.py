@@ -13,6 +13,9 @@ import tempfile
 from pyspark.sql import SparkSession
 
 REPORT_CONF = {
+    # call-site capture costs several py4j round trips per Column built; the
+    # report builds hundreds of Columns per plan
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -35,7 +38,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
-    local = tempfile.mkdtemp(prefix="spendlane-ckpt-")
+    local = os.path.join(tempfile.gettempdir(), "spendlane-checkpoint")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return local

@@ -1,0 +1,92 @@
+"""Staging the derived views as parquet tables.
+
+Deriving the 21 views inside every report plan would scan ``orders`` eight
+times and ``lineitem`` three times, and would make Catalyst re-analyse the
+derivations at every step.  In a warehouse the views are tables; here they are
+staged once per input directory as parquet under the shared folder the cluster
+names in ``spark.checkpoint.dir`` (a folder of our own only when that is unset,
+as in tests) and every report plan reads plain tables.  Staged tables also cut
+lineage: a lost executor recomputes from them, not from the base tables.
+"""
+
+from __future__ import annotations
+
+import hashlib
+
+from pyspark.sql import DataFrame, SparkSession
+
+from spendlane.session import checkpoint_dir
+from spendlane.sources.tables import BASE_TABLES, table_path
+from spendlane.sources.views import VIEW_NAMES, Views
+
+# bump when a derivation rule in views.py changes, so stale stages are not read
+STAGE_VERSION = "1"
+
+
+class StagedViews:
+    """The 21 views read back from their staged parquet tables."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.root = root
+        self._frames: dict[str, DataFrame] = {}
+
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}"
+
+    def get(self, name: str) -> DataFrame:
+        if name not in VIEW_NAMES:
+            raise KeyError(name)
+        if name not in self._frames:
+            self._frames[name] = self.spark.read.parquet(self.path(name))
+        return self._frames[name]
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name in VIEW_NAMES:
+            return self.get(name)
+        raise AttributeError(name)
+
+    def as_dict(self) -> dict[str, DataFrame]:
+        return {n: self.get(n) for n in VIEW_NAMES}
+
+
+def _stage_key(spark: SparkSession, base_dir: str) -> str:
+    files = []
+    for t in BASE_TABLES:
+        files.extend(sorted(spark.read.parquet(table_path(base_dir, t)).inputFiles()))
+    h = hashlib.sha1("\n".join([STAGE_VERSION, base_dir, *files]).encode()).hexdigest()
+    return h[:16]
+
+
+def _is_staged(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.parquet(path).schema
+        return True
+    except Exception:  # missing or incomplete folder: stage it again
+        return False
+
+
+def stage_views(spark: SparkSession, base_dir: str, root: str | None = None,
+                force: bool = False) -> StagedViews:
+    """Write every derived view once (skipping those already staged) and
+    return readers over the staged tables."""
+    if root is None:
+        root = f"{checkpoint_dir(spark).rstrip('/')}/spendlane_views/{_stage_key(spark, base_dir)}"
+    derived = Views(spark, base_dir)
+    staged = StagedViews(spark, root)
+    for name in VIEW_NAMES:
+        path = staged.path(name)
+        if force or not _is_staged(spark, path):
+            derived.get(name).write.mode("overwrite").parquet(path)
+    return staged
+
+
+_STAGED: dict[tuple[int, str], StagedViews] = {}
+
+
+def views_for(spark: SparkSession, base_dir: str) -> StagedViews:
+    """Staged views of ``base_dir``, staged at most once per session."""
+    key = (id(spark), base_dir.rstrip("/"))
+    if key not in _STAGED:
+        _STAGED[key] = stage_views(spark, base_dir)
+    return _STAGED[key]
