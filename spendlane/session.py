@@ -12,10 +12,14 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-REPORT_CONF = {
+# static: only settable when the session is created
+STATIC_CONF = {
     # call-site capture costs several py4j round trips per Column built; the
     # report builds hundreds of Columns per plan
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
+REPORT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -56,7 +60,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.driver.memory", os.environ.get("SPENDLANE_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
-    for k, v in REPORT_CONF.items():
+    for k, v in {**STATIC_CONF, **REPORT_CONF}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
