@@ -1,0 +1,7 @@
+"""Streaming.
+
+The spend report is a batch report: its source has no streams, watermarks,
+time windows or stateful operators, so nothing is built here.  A caller that
+receives invoice lines as a stream can run the batch report per micro-batch
+from ``foreachBatch`` with the same functions.
+"""
