@@ -187,7 +187,9 @@ def lines_per_group(ctx: ReportContext) -> DataFrame:
     # groups are (nearly) single lines, so a map-side partial aggregate saves
     # nothing; clustering first lets the one sort serve both aggregate phases.
     # A seven-key group is one invoice line, so this shuffle cannot be skewed.
-    df = df.repartition(*GROUP_KEYS)
+    df = (df.withColumn("_month2", R.month_label("invoice_date_time"))
+          .withColumn("_quarter", R.quarter_label("invoice_date"))
+          .repartition(*GROUP_KEYS))
     return df.groupBy(*GROUP_KEYS).agg(
         F.count(F.lit(1)).alias("q_rows"),
         F.sum("billing_amount").alias("q_sum_amount"),
@@ -196,8 +198,8 @@ def lines_per_group(ctx: ReportContext) -> DataFrame:
         F.max("billing_amount_usd").alias("q_max_amount_usd"),
         F.avg("usd_average_exchange_rate").cast(RATE).alias("usd_average_exchange_rate"),
         *[F.max(c).alias(c) for c in LINE_MAXED],
-        F.max(R.month_label("invoice_date_time")).alias("invoice_month2"),
-        F.max(R.quarter_label("invoice_date")).alias("invoice_quarter"),
+        F.max("_month2").alias("invoice_month2"),
+        F.max("_quarter").alias("invoice_quarter"),
     )
 
 
