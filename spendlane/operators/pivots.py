@@ -20,9 +20,12 @@ def reference_pivot(refs: DataFrame, key: str, types: tuple[str, ...],
     Rows of other types are filtered before the shuffle.
     """
     t, v = F.col(type_col), F.col(value_col)
-    return (refs.filter(t.isin(*types))
-            .groupBy(key)
-            .agg(*[F.max(F.when(t == x, v)).alias(f"{prefix}{x.lower()}") for x in types]))
+    names = [f"{prefix}{x.lower()}" for x in types]
+    # one column per type, computed in a (codegen) projection before the
+    # sort-based aggregate folds them
+    spread = refs.filter(t.isin(*types)).select(
+        key, *[F.when(t == x, v).alias(n) for x, n in zip(types, names)])
+    return spread.groupBy(key).agg(*[F.max(n).alias(n) for n in names])
 
 
 def event_extremes(events: DataFrame, key: str, codes: tuple[str, ...],

@@ -35,17 +35,22 @@ def tune(spark: SparkSession) -> SparkSession:
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in
-    ``spark.checkpoint.dir``; only when it is unset (local tests) a scratch
-    folder is created and registered."""
-    configured = spark.conf.get("spark.checkpoint.dir", None) or \
-        spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if configured:
+    ``spark.checkpoint.dir``; only when it is unset (local tests) a folder of
+    our own is registered."""
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured:
+        try:
+            configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+        except Exception:  # Spark Connect: the session conf is all there is
+            configured = None
+    if not configured:
+        configured = os.path.join(tempfile.gettempdir(), "spendlane-checkpoint")
+        spark.conf.set("spark.checkpoint.dir", configured)
+    try:
         spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    local = os.path.join(tempfile.gettempdir(), "spendlane-checkpoint")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    except Exception:
+        pass
+    return configured
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,

@@ -29,7 +29,10 @@ def spread(df: DataFrame) -> DataFrame:
     On a cluster a fact table comes in thousands of files and this is a no-op;
     column pruning and pushed filters still reach the scan below the exchange.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+    except Exception:  # no SparkContext on a Spark Connect session: leave as read
+        return df
     if len(df.inputFiles()) >= cores:
         return df
     return df.repartition(cores)
