@@ -4,7 +4,7 @@ Reads ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
 ``local[$BENCH_CPUS]``; per query one warm-up and the median of
 ``$BENCH_RUNS`` (default 3) timed runs, each building the DataFrame and
 forcing every column through the ``noop`` sink.  ``stage_views`` times the
-derivation and parquet write of all 21 views (into a fresh folder each run);
+derivation and parquet write of all 21 views (overwritten each run);
 the report queries read the staged views.  Prints one JSON line.
 """
 
@@ -15,7 +15,6 @@ import os
 import statistics
 import sys
 import time
-import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -32,8 +31,8 @@ HEADLINE = (
 def _run(spark, name: str, sf_dir: str) -> float:
     t = time.perf_counter()
     if name == "stage_views":
-        # derive and write all 21 views into a fresh folder (the warehouse load)
-        root = f"{checkpoint_dir(spark).rstrip('/')}/bench-{uuid.uuid4().hex}"
+        # derive and (over)write all 21 views in the bench's own folder
+        root = f"{checkpoint_dir(spark).rstrip('/')}/spendlane_bench_stage"
         stage_views(spark, sf_dir, root=root, force=True)
     else:
         df = QUERIES[name].build(spark, sf_dir)
