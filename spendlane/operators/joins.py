@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Largest dimension we are willing to ship to every executor after a runtime
-# row check (rows of an already projected, narrow dimension).
-BROADCAST_MAX_ROWS = 1_000_000
+# row check: rows of an already projected, narrow dimension (a few string
+# columns, so roughly 20-30 MB); anything larger is a sort-merge join.
+BROADCAST_MAX_ROWS = 200_000
 
 
 def bounded(df: DataFrame) -> DataFrame:
@@ -20,13 +21,16 @@ def bounded(df: DataFrame) -> DataFrame:
     return F.broadcast(df)
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """Runtime size check: does ``df`` have at most ``max_rows`` rows?  Reads
-    at most ``max_rows + 1`` rows and brings one number to the driver."""
+def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
+    """Runtime size check: does ``df`` have at most ``max_rows`` rows
+    (default :data:`BROADCAST_MAX_ROWS`)?  Reads at most ``max_rows + 1`` rows
+    and brings one number to the driver."""
+    if max_rows is None:
+        max_rows = BROADCAST_MAX_ROWS
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Broadcast ``df`` only if a runtime check proves it has at most
     ``max_rows`` rows; otherwise return it unchanged so Spark plans a
     shuffle (sort-merge) join, which AQE may still turn into a broadcast or

@@ -30,3 +30,16 @@ def test_entry_runs(spark):
     df = entry.entry(spark)
     assert len(df.columns) == 76
     assert df.count() > 0
+
+
+def test_report_without_runtime_broadcasts(spark, sf_dir, con, monkeypatch):
+    """Dimensions over the size bound take the sort-merge path; same rows."""
+    from spendlane.operators import joins
+    monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", 0)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        r = compare(QUERIES["spend_report"](spark, sf_dir), ORACLES["spend_report"], sf_dir, con)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert r["values_match"] and r["spark_rows"] == r["oracle_rows"]
