@@ -132,12 +132,14 @@ def export_edi_events(ctx: ReportContext) -> DataFrame:
 
 def left_join_filtered_right(ctx: ReportContext) -> DataFrame:
     isf = ctx.views.import_shipment_fact.select("invoice_number")
-    refs = ctx.views.reference
-    # reduce the tall side per invoice first, then keep every shipment
-    counted = (refs.filter(F.col("reference_type").isin(*K.IMPORT_REFERENCE_TYPES))
-               .groupBy("invoice_no").agg(F.count("reference_no").alias("n_refs")))
-    joined = left_join_filtered(isf, counted, isf.invoice_number == counted.invoice_no, F.lit(True))
-    return joined.select("invoice_number", F.coalesce("n_refs", F.lit(0)).alias("n_refs"))
+    # reduce the tall side to one row per (invoice, type) first (map-side
+    # combinable), then apply the type predicate of the ON clause to it
+    counted = (ctx.views.reference.groupBy("invoice_no", "reference_type")
+               .agg(F.count("reference_no").alias("n")))
+    joined = left_join_filtered(isf, counted, isf.invoice_number == counted.invoice_no,
+                                F.col("reference_type").isin(*K.IMPORT_REFERENCE_TYPES))
+    return joined.groupBy("invoice_number").agg(
+        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_refs"))
 
 
 def f2f_flags(ctx: ReportContext) -> DataFrame:
