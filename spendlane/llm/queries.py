@@ -7,7 +7,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendlane.llm import pattern_packing, simhash_dedup, suffix_dedup, token_counts
+from spendlane.llm import (
+    chat_format,
+    class_lm,
+    decontaminate,
+    language_id,
+    line_quality,
+    pattern_packing,
+    simhash_dedup,
+    suffix_dedup,
+    token_counts,
+    topk_search,
+)
 from spendlane.llm.common import table
 
 
@@ -17,6 +28,15 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame(
+        [(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string"
+    )
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    return chat_format.read_back(chat_format.format_conversations(rows, public_tokenizers.path("byte_bpe_50k.json")))
+
+
 def op3_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = pattern_packing.pack(
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), size=1024, end_id=2
@@ -26,6 +46,11 @@ def op3_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language_id.identify(table(spark, sf_dir, "documents"), folds=5, held=0)
+    return found.select("doc_id", "held_out", "lang_pred", "score", "cross_entropy", "rejected")
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = suffix_dedup.deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"), min_bytes=50)
     n_bytes = F.octet_length("text").cast("long")
@@ -38,13 +63,35 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), folds=3, held=1)
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=4, max_bits=4)
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), words=5, threshold=0.8
+    )
+
+
+def op9_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return class_lm.score_documents(table(spark, sf_dir, "documents"), folds=5, held=1)
+
+
+def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(table(spark, sf_dir, "embeddings"), lambda i: F.pmod(i, F.lit(50)) == 0, k=5)
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_token_counts, op3_pattern_packing, op5_suffix_dedup, op7_simhash_dedup)
+    for f in (
+        op1_token_counts, op2_chat_format, op3_pattern_packing, op4_language_id, op5_suffix_dedup,
+        op6_line_quality, op7_simhash_dedup, op8_decontamination, op9_class_lm, op10_topk_search,
+    )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op8_decontamination": decontaminate.ORACLE, "op10_topk_search": topk_search.ORACLE}

@@ -210,3 +210,11 @@ def near_duplicates(docs: DataFrame, words: int = 4, max_bits: int = 4) -> DataF
     return rows.join(by_fp, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def one_of_each(docs: DataFrame, words: int = 4, max_bits: int = 4) -> DataFrame:
+    """The rows of ``docs`` whose id is the smallest of their component; rows that
+    repeat an id are one document and stay together."""
+    near = near_duplicates(docs, words, max_bits)
+    first = near.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("first_id"))
+    return docs.join(first, docs["doc_id"].eqNullSafe(first["first_id"]), "left_semi")
