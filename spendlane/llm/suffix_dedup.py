@@ -35,7 +35,9 @@ from each other.  A null id is the smallest.  An empty table gives an empty one.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -204,11 +206,15 @@ def _by_part(docs: DataFrame, parts: int) -> DataFrame:
 
 
 def _bytes(*arrays) -> list[bytes]:
-    return [np.ascontiguousarray(a).tobytes() for a in arrays]
+    """Each array as compressed bytes: a shuffle's own blocks are too small to find
+    what repeats in a window's text."""
+    pack = zstandard.ZstdCompressor(level=3).compress
+    return [pack(np.ascontiguousarray(a).data.cast("B") if a.size else b"") for a in arrays]
 
 
 def _from(blobs, kind) -> np.ndarray:
-    return np.frombuffer(b"".join(blobs), kind)
+    unpack = zstandard.ZstdDecompressor().decompress
+    return np.frombuffer(b"".join(map(unpack, blobs)), kind)
 
 
 def _rows(schema: pa.Schema, rows: list[tuple]) -> pa.Table:
@@ -282,14 +288,14 @@ class _Passes:
         return _rows(self.anchor_rows, [(b, part, *_bytes(h[own], several[own])) for b, own in _split(self.bucket(h))])
 
     def shared(self, tbl: pa.Table) -> pa.Table:
-        mine = [np.frombuffer(x, np.uint64) for x in tbl.column("hashes").to_pylist()]
+        mine = [_from([x], np.uint64) for x in tbl.column("hashes").to_pylist()]
         several = _from(tbl.column("several").to_pylist(), bool)
         _, where, n = np.unique(np.concatenate(mine), return_inverse=True, return_counts=True)
         keep = n > 1
         keep[where[several]] = True
         kept = np.split(keep[where], np.cumsum([len(x) for x in mine])[:-1])
         parts = tbl.column("part").to_pylist()
-        return _rows(self.shared_rows, [(p, x[k].tobytes()) for p, x, k in zip(parts, mine, kept, strict=True) if k.any()])
+        return _rows(self.shared_rows, [(p, *_bytes(x[k])) for p, x, k in zip(parts, mine, kept, strict=True) if k.any()])
 
     def windows(self, tbl: pa.Table, shared: pa.Table) -> pa.Table:
         """Kind 0, to a bucket: distinct windows.  Kind 1, to this part: their places."""
@@ -315,7 +321,7 @@ class _Passes:
             low, high = np.minimum.reduceat(doc, at), np.maximum.reduceat(doc, at)
             rows.append((0, b, part, *_bytes(body, size[at].astype(np.uint8), names, low, high)))
             count += len(at)
-        rows.append((1, part, part, *_bytes(number, first, row.astype(np.int32)), b"", b""))
+        rows.append((1, part, part, *_bytes(number, np.diff(first, prepend=0)), b"", b"", b""))
         return _rows(self.window_rows, rows)
 
     def groups(self, tbl: pa.Table) -> pa.Table:
@@ -323,12 +329,13 @@ class _Passes:
         their members as (window, start, end, smallest id)."""
         c = tbl.to_pydict()
         if c["kind"][0] == 1:
-            return _rows(self.group_rows, [(1, *x, b"") for x in zip(c["part"], c["a"], c["b"], c["c"], strict=True)])
-        size = _from(c["b"], np.uint8).astype(np.int64)
+            return _rows(self.group_rows, [(1, *x, b"", b"") for x in zip(c["part"], c["a"], c["b"], strict=True)])
+        sizes = [_from([x], np.uint8) for x in c["b"]]
+        size = np.concatenate(sizes).astype(np.int64)
         text = np.zeros((len(size), self.width), np.uint8)
         text[np.arange(self.width) < size[:, None]] = _from(c["a"], np.uint8)
         number, low, high = _from(c["c"], np.int32), _from(c["d"], np.int64), _from(c["e"], np.int64)
-        part = np.repeat(np.array(c["part"], np.int64), [len(x) for x in c["b"]])
+        part = np.repeat(np.array(c["part"], np.int64), [len(x) for x in sizes])
         order = sort_rows(text, size)
         text, size, number, low, high, part = (x[order] for x in (text, size, number, low, high, part))
         new = _first_of_equal(text, size)
@@ -363,7 +370,8 @@ class _Passes:
         if 0 not in c["kind"] or 1 not in c["kind"]:
             return tbl, raw, offsets, none, none, none
         places = c["kind"].index(1)
-        number, first, row = (np.frombuffer(c[k][places], t) for k, t in (("a", np.int32), ("b", np.int64), ("c", np.int32)))
+        number, first = _from([c["a"][places]], np.int32), np.cumsum(_from([c["b"][places]], np.int64))
+        row = np.searchsorted(offsets, first, "right") - 1
         got = [i for i, k in enumerate(c["kind"]) if k == 0]
         w, start, end, smallest = (
             _from([c[k][i] for i in got], t) for k, t in (("a", np.int32), ("b", np.uint8), ("c", np.uint8), ("d", np.int64))
@@ -375,7 +383,7 @@ class _Passes:
         place, group = place[later], group[later]
         if not len(place):
             return tbl, raw, offsets, none, none, none
-        a, b, r = first[place] + start[group], first[place] + end[group], row[place].astype(np.int64)
+        a, b, r = first[place] + start[group], first[place] + end[group], row[place]
         order = np.argsort(a, kind="stable")
         a, b, r = a[order], b[order], r[order]
         reach = np.maximum.accumulate(b)
@@ -424,3 +432,34 @@ def deduplicate(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     order = {c: i for i, c in enumerate(docs.columns)}
     named = sorted(zip(["doc_id", "text", *[c for c in docs.columns if c not in ("doc_id", "text")]], named), key=lambda x: order[x[0]])
     return done.select(*[c for _, c in named], F.col("kept").alias(KEPT), F.col("spans").alias(SPANS))
+
+
+def kept_text(text: str, spans: list) -> str:
+    """``text`` without ``spans`` (start, end in bytes), each shrunk to whole
+    characters."""
+    raw, at, out = text.encode(), 0, []
+    for start, end in spans:
+        while start < end and raw[start] & 0xC0 == 0x80:
+            start += 1
+        while end > start and end < len(raw) and raw[end] & 0xC0 == 0x80:
+            end -= 1
+        out.append(raw[at:start])
+        at = end
+    return b"".join([*out, raw[at:]]).decode()
+
+
+def without_repeats(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
+    """``docs`` with what repeats removed from text, by whole characters, and n_chars
+    (where it is) counted anew; all rows and other columns as they are."""
+    done = deduplicate(docs, min_bytes)
+
+    @F.pandas_udf("string")
+    def cut(text: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
+        return pd.Series([kept_text(t, list(zip(a, b, strict=True))) for t, a, b in zip(text, starts, ends, strict=True)])
+
+    new = cut("text", F.col(f"{SPANS}.start"), F.col(f"{SPANS}.end"))
+    rows = done.withColumn("text", F.when(F.size(SPANS) > 0, new).otherwise(F.col("text"))).drop(KEPT, SPANS)
+    kinds = dict(docs.dtypes)
+    if "n_chars" in kinds:
+        rows = rows.withColumn("n_chars", F.length("text").cast(kinds["n_chars"]))
+    return rows.select(*docs.columns)
