@@ -12,7 +12,9 @@ their anchor, so they travel as one window of text.
    that no second document has can start no repeat.
 2. For the others each part sends its *distinct* windows, each once, with the
    smallest document id that holds it in this part.  A passage found in a third of all
-   documents is one window per part.
+   documents is one window per part.  An anchor with over ``HOT_WINDOWS`` distinct
+   windows (a common string in ever other surroundings) is not sent to one task: its
+   windows are cut into the single strings of ``min_bytes``, dealt by their own hash.
 3. A task builds the enhanced suffix array (sorted suffixes and their common
    prefix lengths) of the windows of its anchors, stack-scans it into intervals of
    suffixes with a common prefix of at least ``min_bytes``, keeps the intervals whose
@@ -48,6 +50,7 @@ MIN_BYTES = 50
 K = 16  # bytes of an anchor
 CHUNK = 1 << 16  # bytes hashed at a time: what a core's cache holds
 KEPT, SPANS = "kept_bytes", "removed_spans"  # names of the added columns
+HOT_WINDOWS = 50_000  # distinct windows of one anchor above which it is split; changes no result
 NO_ID = np.iinfo(np.int64).min
 ODD = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -69,9 +72,9 @@ def gram_hashes(raw: np.ndarray) -> np.ndarray:
 
 
 def anchor_runs(raw: np.ndarray, offsets: np.ndarray, min_bytes: int):
-    """Yields (hash of the anchor, first position, positions, row) arrays: the
-    maximal runs of positions of one document whose next ``min_bytes`` bytes have
-    the same anchor."""
+    """Yields (hash of the anchor, first position, positions, row, hash of the
+    window) arrays: the maximal runs of positions of one document whose next
+    ``min_bytes`` bytes have the same anchor."""
     wide = min_bytes - K + 1
     step = CHUNK - min_bytes
     end_all = int(offsets[-1])
@@ -100,13 +103,15 @@ def anchor_runs(raw: np.ndarray, offsets: np.ndarray, min_bytes: int):
         good = anchor[first] >= 0
         first, n = first[good], n[good]
         row = np.searchsorted(offsets, first + at, "right") - 1
-        yield h[anchor[first]], first + at, n, row
+        window = (h[first] * ODD + h[first + n - 1 + min_bytes - K]) * ODD + n.astype(np.uint64)
+        yield h[anchor[first]], first + at, n, row, window
 
 
 def all_runs(raw, offsets, min_bytes):
     found = list(anchor_runs(raw, offsets, min_bytes))
     if not found:
-        return np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(3))
+        none, at = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return none, at, at, at, none
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
@@ -256,8 +261,8 @@ def _split(key: np.ndarray):
 class _Passes:
     """The four steps over Arrow tables; see the module's docstring."""
 
-    anchor_rows = _fields(bucket="int", part="int", hashes="binary", several="binary")
-    shared_rows = _fields(part="int", hashes="binary")
+    anchor_rows = _fields(bucket="int", part="int", hashes="binary", several="binary", kinds="binary")
+    shared_rows = _fields(part="int", hashes="binary", hot="binary")
     window_rows = _fields(kind="int", target="int", part="int", a="binary", b="binary", c="binary", d="binary", e="binary")
     group_rows = _fields(kind="int", part="int", a="binary", b="binary", c="binary", d="binary")
 
@@ -277,35 +282,47 @@ class _Passes:
 
     def anchors(self, tbl: pa.Table) -> pa.Table:
         tbl, raw, offsets, ids = self.scan(tbl)
-        h, _, _, row = all_runs(raw, offsets, self.min_bytes)
+        h, _, _, row, window = all_runs(raw, offsets, self.min_bytes)
         if not len(h):
             return self.anchor_rows.empty_table()
-        order = np.argsort(h, kind="stable")
-        h, doc = h[order], ids[row[order]]
-        first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+        order = np.lexsort((window, h))
+        h, doc, window = h[order], ids[row[order]], window[order]
+        new = np.concatenate(([True], h[1:] != h[:-1]))
+        first = np.flatnonzero(new)
         several = np.minimum.reduceat(doc, first) < np.maximum.reduceat(doc, first)
+        other = new | np.concatenate(([True], window[1:] != window[:-1]))
+        kinds = np.minimum(np.add.reduceat(other.astype(np.int64), first), 0xFFFF).astype(np.uint16)
         h, part = h[first], tbl.column("part")[0].as_py()
-        return _rows(self.anchor_rows, [(b, part, *_bytes(h[own], several[own])) for b, own in _split(self.bucket(h))])
+        return _rows(self.anchor_rows, [
+            (b, part, *_bytes(h[own], several[own], kinds[own])) for b, own in _split(self.bucket(h))])
 
     def shared(self, tbl: pa.Table) -> pa.Table:
         mine = [_from([x], np.uint64) for x in tbl.column("hashes").to_pylist()]
-        several = _from(tbl.column("several").to_pylist(), bool)
+        several, kinds = (_from(tbl.column(c).to_pylist(), t) for c, t in (("several", bool), ("kinds", np.uint16)))
         _, where, n = np.unique(np.concatenate(mine), return_inverse=True, return_counts=True)
         keep = n > 1
         keep[where[several]] = True
-        kept = np.split(keep[where], np.cumsum([len(x) for x in mine])[:-1])
+        hot = np.bincount(where, kinds) > HOT_WINDOWS
+        cuts = np.cumsum([len(x) for x in mine])[:-1]
+        kept, split = np.split(keep[where], cuts), np.split(hot[where], cuts)
         parts = tbl.column("part").to_pylist()
-        return _rows(self.shared_rows, [(p, *_bytes(x[k])) for p, x, k in zip(parts, mine, kept, strict=True) if k.any()])
+        return _rows(self.shared_rows, [
+            (p, *_bytes(x[k], s[k])) for p, x, k, s in zip(parts, mine, kept, split, strict=True) if k.any()])
 
     def windows(self, tbl: pa.Table, shared: pa.Table) -> pa.Table:
         """Kind 0, to a bucket: distinct windows.  Kind 1, to this part: their places."""
         if not tbl.num_rows or not shared.num_rows:
             return self.window_rows.empty_table()
         tbl, raw, offsets, ids = self.scan(tbl)
-        h, first, n, row = all_runs(raw, offsets, self.min_bytes)
-        wanted = np.sort(_from(shared.column("hashes").to_pylist(), np.uint64))
-        hit = wanted[np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)] == h
-        h, first, n, row = h[hit], first[hit], n[hit], row[hit]
+        h, first, n, row, _ = all_runs(raw, offsets, self.min_bytes)
+        wanted, hot = (_from(shared.column(c).to_pylist(), t) for c, t in (("hashes", np.uint64), ("hot", bool)))
+        order = np.argsort(wanted)
+        wanted, hot = wanted[order], hot[order]
+        at = np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)
+        hit = wanted[at] == h
+        h, first, n, row, hot = h[hit], first[hit], n[hit], row[hit], hot[at[hit]]
+        if hot.any():
+            h, first, n, row = self.singles(raw, h, first, n, row, hot)
         part, rows, count = tbl.column("part")[0].as_py(), [], 0
         number = np.empty(len(h), np.int32)  # of each place's distinct window in this part
         for b, own in _split(self.bucket(h)):
@@ -324,6 +341,22 @@ class _Passes:
         rows.append((1, part, part, *_bytes(number, np.diff(first, prepend=0)), b"", b"", b""))
         return _rows(self.window_rows, rows)
 
+    def singles(self, raw, h, first, n, row, hot):
+        """Cuts the runs of hot anchors into single positions, dealt by the hash of
+        their bytes; in the order of the text, as before."""
+        times = np.where(hot, n, 1)
+        run = np.repeat(np.arange(len(n)), times)
+        inside = np.arange(len(run)) - np.repeat(np.cumsum(times) - times, times)
+        at, single = first[run] + inside, hot[run]
+        words = np.pad(slices(raw, at[single], self.min_bytes), ((0, 0), (0, -self.min_bytes % 8))).view(np.uint64)
+        own = h[run]
+        mixed = np.zeros(len(words), np.uint64)
+        for word in words.T:
+            mixed = (mixed ^ word) * MIX
+            mixed ^= mixed >> np.uint64(29)
+        own[single] = mixed
+        return own, at, np.where(single, 1, n[run]), row[run]
+
     def groups(self, tbl: pa.Table) -> pa.Table:
         """Kind 1 passes.  Kind 0: the repeat groups of a bucket, back to the parts of
         their members as (window, start, end, smallest id)."""

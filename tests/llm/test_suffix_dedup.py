@@ -22,6 +22,42 @@ def test_equals_brute_force(spark, seed):
     assert got == brute_dedup(list(enumerate(texts)), 50)
 
 
+@pytest.mark.parametrize("hot", [0, 3])
+def test_split_anchors_change_nothing(hot):
+    """Anchors with many windows are dealt string by string; the steps are run here
+    one after the other, as Spark deals their rows."""
+    import pyarrow as pa
+
+    texts = passages(7, 40) + ["".join(passages(s, 2)) + "the same passage in ever other surroundings, sixty bytes" * 2 for s in range(30)]
+    parts = 3
+    tables = [pa.table({"doc_id": [i for i in range(len(texts)) if i % parts == p], "text": [t for i, t in enumerate(texts) if i % parts == p],
+                        "part": pa.array([p] * len(range(p, len(texts), parts)), pa.int32())}) for p in range(parts)]
+    old, S.HOT_WINDOWS = S.HOT_WINDOWS, hot
+    try:
+        steps = S._Passes(50, 5)
+
+        def by(rows, *keys):
+            tbl = pa.concat_tables(rows)
+            values = list(zip(*(tbl.column(k).to_pylist() for k in keys), strict=True))
+            return {v: tbl.filter(pa.array([x == v for x in values])) for v in set(values)}
+
+        shared = by([steps.shared(t) for t in by([steps.anchors(t) for t in tables], "bucket").values()], "part")
+        windows = by([steps.windows(t, shared[(p,)]) for p, t in enumerate(tables)], "kind", "target")
+        groups = by([steps.groups(t) for t in windows.values()], "part")
+        got = {}
+        for p, t in enumerate(tables):
+            tbl, raw, offsets, row, a, b = steps.spans(t, groups[(p,)])
+            for r, i in enumerate(tbl.column("doc_id").to_pylist()):
+                text, at = b"", int(offsets[r])
+                runs = list(zip(a[row == r].tolist(), b[row == r].tolist(), strict=True))
+                for s, e in runs:
+                    text, at = text + bytes(raw[at:s]), e
+                got[i] = (text + bytes(raw[at:int(offsets[r + 1])]), len(runs))
+    finally:
+        S.HOT_WINDOWS = old
+    assert got == brute_dedup(list(enumerate(texts)), 50)
+
+
 def test_long_texts_cross_chunks(spark):
     """Texts longer than what is hashed at a time: repeats lie across the cuts."""
     a, b = "".join(passages(9, 1500, longest=90)), "".join(passages(10, 900, longest=90))
