@@ -3,9 +3,8 @@
 Reads ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
 ``local[$BENCH_CPUS]``; per query one warm-up and the median of
 ``$BENCH_RUNS`` (default 3) timed runs, each building the DataFrame and
-forcing every column through the ``noop`` sink.  ``stage_views`` times the
-derivation and parquet write of all 21 views (overwritten each run);
-the report queries read the staged views.  Prints one JSON line.
+forcing every column through the ``noop`` sink.  Views are derived inside each
+query, so a figure holds everything from the given tables on.  Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -19,24 +18,18 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from spendlane.registry import QUERIES  # noqa: E402
-from spendlane.session import checkpoint_dir, local_session  # noqa: E402
-from spendlane.sources.staging import stage_views  # noqa: E402
+from spendlane.session import local_session  # noqa: E402
 
 HEADLINE = (
-    "stage_views", "invoice_lines", "import_leg", "export_leg", "containers",
+    "invoice_lines", "import_leg", "export_leg", "containers",
     "spend_report", "spend_report_port_country",
 )
 
 
 def _run(spark, name: str, sf_dir: str) -> float:
     t = time.perf_counter()
-    if name == "stage_views":
-        # derive and (over)write all 21 views in the bench's own folder
-        root = f"{checkpoint_dir(spark).rstrip('/')}/spendlane_bench_stage"
-        stage_views(spark, sf_dir, root=root, force=True)
-    else:
-        df = QUERIES[name].build(spark, sf_dir)
-        df.write.format("noop").mode("overwrite").save()
+    df = QUERIES[name].build(spark, sf_dir)
+    df.write.format("noop").mode("overwrite").save()
     return time.perf_counter() - t
 
 

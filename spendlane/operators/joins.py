@@ -1,46 +1,15 @@
-"""Join helpers: size-checked broadcasts and role-playing dimensions."""
+"""Join helpers: role-playing dimensions and filtered left joins.
+
+No join is hinted: Spark broadcasts a side whose size it knows to be small, and
+AQE turns a shuffle join into a broadcast, or splits its skewed partitions, from
+the sizes it has measured.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension we are willing to ship to every executor after a runtime
-# row check: rows of an already projected, narrow dimension (a few string
-# columns, so roughly 20-30 MB); anything larger is a sort-merge join.
-BROADCAST_MAX_ROWS = 200_000
-
-
-def bounded(df: DataFrame) -> DataFrame:
-    """Broadcast a dimension whose size is bounded by construction.
-
-    Use only for dimensions that cannot grow with the facts: calendar days and
-    months, countries, regions, currencies, service levels and types, move,
-    container and ship-mode types.
-    """
-    return F.broadcast(df)
-
-
-def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
-    """Runtime size check: does ``df`` have at most ``max_rows`` rows
-    (default :data:`BROADCAST_MAX_ROWS`)?  Reads at most ``max_rows + 1`` rows
-    and brings one number to the driver."""
-    if max_rows is None:
-        max_rows = BROADCAST_MAX_ROWS
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Broadcast ``df`` only if a runtime check proves it has at most
-    ``max_rows`` rows; otherwise return it unchanged so Spark plans a
-    shuffle (sort-merge) join, which AQE may still turn into a broadcast or
-    split for skew.
-
-    The check reads at most ``max_rows + 1`` rows (``limit`` stops early) and
-    brings one number to the driver.
-    """
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
-
 
 def role(dim: DataFrame, key: str, prefix: str, columns: list[str]) -> DataFrame:
     """One role of a role-playing dimension: the key renamed ``{prefix}key``

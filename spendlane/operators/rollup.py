@@ -40,6 +40,16 @@ def ordered_rollup(df: DataFrame, keys: list[str], value: str, out: str,
         F.array_join(F.array_sort(F.collect_list(v)), sep).alias(out))
 
 
+def repeated_rollup(values: Column, times: Column, n: int = K.ROLLUP_WIDTH,
+                    sep: str = K.ROLLUP_SEPARATOR) -> Column:
+    """The roll-up text of an ascending list of at most ``n`` values of which
+    each row occurs ``times`` over: every value is repeated (``n`` times at
+    most) before the cut at ``n``."""
+    each = F.least(times, F.lit(n)).cast("int")
+    repeated = F.flatten(F.transform(values, lambda v: F.array_repeat(v, each)))
+    return F.array_join(F.slice(repeated, 1, n), sep)
+
+
 def running_count_at_first(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
     """``COUNT(v) OVER (PARTITION BY keys ORDER BY v DESC)`` read at the first
     row of the ascending order: the default RANGE frame then spans every

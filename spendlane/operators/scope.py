@@ -15,17 +15,23 @@ def client_scope_column(params: ReportParams) -> str:
 
 
 def client_scope(clients: DataFrame, params: ReportParams) -> DataFrame:
-    """Clients accepted by the run's client scope.
+    """Clients accepted by the run's client scope; all of them if it has none.
 
     The column is chosen in Python, so the predicate reaching the scan is a
     plain ``IN`` list that parquet can push down.
     """
+    if params.client_ids is None:
+        return clients
     return clients.filter(F.col(client_scope_column(params)).isin(*params.client_ids))
 
 
 def date_scope(df: DataFrame, date_col: str, params: ReportParams) -> DataFrame:
-    """Inclusive invoice-date range."""
-    return df.filter(F.col(date_col).between(F.lit(params.start), F.lit(params.end)))
+    """Inclusive invoice-date range; an end that is not given is open."""
+    if params.start is not None:
+        df = df.filter(F.col(date_col) >= F.lit(params.start))
+    if params.end is not None:
+        df = df.filter(F.col(date_col) <= F.lit(params.end))
+    return df
 
 
 def keep_code_country(code: Column, country_code: Column) -> Column:

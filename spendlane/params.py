@@ -10,21 +10,23 @@ MASTER = "MASTER"
 
 @dataclass(frozen=True)
 class ReportParams:
-    """Arguments of one report run.
+    """Arguments of one report run; ``None`` means no restriction.
 
     ``client_type``: ``"MASTER"`` scopes on the master client number; any other
-    value scopes on the GCI.  ``client_ids``: the accepted numbers.
-    ``start``/``end``: inclusive invoice date range.  ``variant``:
-    ``"canonical"`` or ``"port_country"`` (leg countries from the ports and the
-    merged delivery/destination charge category).  ``invoice_numbers``: optional
-    spot-check scope; ``scope_export_references`` and ``scope_final`` say where
-    besides the lines and legs the scope is applied.
+    value scopes on the GCI.  ``client_ids``: the accepted numbers; an empty
+    tuple is an error, since it can only give an empty report.
+    ``start``/``end``: inclusive invoice date range, each end on its own.
+    ``variant``: ``"canonical"`` or ``"port_country"`` (leg countries from the
+    ports and the merged delivery/destination charge category).
+    ``invoice_numbers``: optional spot-check scope;
+    ``scope_export_references`` and ``scope_final`` say where besides the lines
+    and legs the scope is applied.
     """
 
     client_type: str = MASTER
-    client_ids: tuple[str, ...] = ()
-    start: dt.date = dt.date(1900, 1, 1)
-    end: dt.date = dt.date(2999, 12, 31)
+    client_ids: tuple[str, ...] | None = None
+    start: dt.date | None = None
+    end: dt.date | None = None
     variant: str = "canonical"
     invoice_numbers: tuple[str, ...] | None = None
     scope_export_references: bool = True
@@ -33,14 +35,22 @@ class ReportParams:
     def __post_init__(self):
         if self.variant not in ("canonical", "port_country"):
             raise ValueError(f"unknown variant {self.variant!r}")
-        object.__setattr__(self, "client_ids", tuple(self.client_ids))
-        if self.invoice_numbers is not None:
-            object.__setattr__(self, "invoice_numbers", tuple(self.invoice_numbers))
+        for name in ("client_ids", "invoice_numbers"):
+            given = getattr(self, name)
+            if given is not None:
+                object.__setattr__(self, name, tuple(given))
+                if not given:
+                    raise ValueError(f"{name} is empty; use None for no restriction")
 
     @property
     def by_master(self) -> bool:
         return self.client_type == MASTER
 
+    @property
+    def scoped(self) -> bool:
+        """Whether the run is restricted to some clients or invoices."""
+        return self.client_ids is not None or self.invoice_numbers is not None
+
     @property
     def merged_charges(self) -> bool:
         return self.variant == "port_country"

@@ -1,90 +1,107 @@
-"""Ocean container roll-up: one row per scoped Ocean movement (R6)."""
+"""Ocean container roll-up: one row per scoped Ocean movement (R6).
+
+The report joins shipment rows to container records, so a movement with ``m``
+shipment rows lists and counts each of its records ``m`` times.  Here both
+sides are reduced to one row per movement first, and ``m`` is applied to the
+reduced values.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spendlane.functions import constants as K
-from spendlane.operators.joins import bounded, fits_broadcast
-from spendlane.operators.rollup import first_n_rows, ordered_rollup, running_count_at_first
+from spendlane.operators.rollup import first_n_rows, repeated_rollup, running_count_at_first
 from spendlane.plans.context import ReportContext
 from spendlane.plans.export_leg import scoped_shipments
 
+NUMBER, TYPE = "container_number", "container_type"
+
 
 def ocean_movements(ctx: ReportContext) -> DataFrame:
-    """Scoped export movements whose ship mode is Ocean."""
+    """One row for each scoped shipment row whose ship mode is Ocean."""
     def build() -> DataFrame:
-        modes = bounded(ctx.views.ship_mode_dimension.filter(F.col("ship_mode_desc") == K.OCEAN))
+        modes = ctx.views.ship_mode_dimension.filter(F.col("ship_mode_desc") == K.OCEAN)
         return scoped_shipments(ctx).join(modes, "ship_mode_key").select("movement_id")
     return ctx.memo("ocean_movements", build)
 
 
+def movement_rows(ctx: ReportContext) -> DataFrame:
+    """movement_id and ``shipment_rows``, how many rows it has above."""
+    def build() -> DataFrame:
+        return ocean_movements(ctx).groupBy("movement_id").agg(F.count(F.lit(1)).alias("shipment_rows"))
+    return ctx.memo("movement_rows", build)
+
+
 def container_rows(ctx: ReportContext) -> DataFrame:
     """Container records with a known move type, with number and type.
 
     The move-type join contributes no column; it keeps only containers whose
-    move type exists.  When the scoped Ocean movements are few (runtime row
-    check), the records are narrowed to them by a broadcast semi-join; either
-    way, scoping is completed by :func:`_scoped` after the per-movement
-    reductions, so no shuffle ever carries a whole movement.
+    move type exists.
     """
     def build() -> DataFrame:
         v = ctx.views
-        rows = (v.container_shipment_fact
-                .join(bounded(v.move_type_dimension), "move_type_key")
-                .join(bounded(v.container_type_dimension), "container_type_key")
-                .select("movement_id", "container_number", "container_type"))
-        ids = ocean_movements(ctx)
-        if fits_broadcast(ids):
-            rows = rows.join(F.broadcast(ids), "movement_id", "left_semi")
-        return rows
+        return (v.container_shipment_fact
+                .join(v.move_type_dimension, "move_type_key")
+                .join(v.container_type_dimension, "container_type_key")
+                .select("movement_id", NUMBER, TYPE))
     return ctx.memo("container_rows", build)
 
 
-def _scoped(ctx: ReportContext, per_movement: DataFrame) -> DataFrame:
-    """Keep the per-movement rows of scoped Ocean movements (the scoped
-    shipments hold one row per movement)."""
-    return per_movement.join(ocean_movements(ctx), "movement_id", "left_semi")
+def first_rows(ctx: ReportContext, n: int, rank_col: str = "_rank") -> DataFrame:
+    """The first ``n`` joined rows per scoped Ocean movement, ascending by
+    number with nulls last: records are ranked and limited before the join,
+    then each stands for as many rows as the movement has shipment rows."""
+    ranked = first_n_rows(container_rows(ctx), ["movement_id"], F.col(NUMBER).asc_nulls_last(), n, "_own")
+    joined = ranked.join(movement_rows(ctx), "movement_id")
+    before = (F.col("_own") - 1) * F.col("shipment_rows")
+    last = F.least(before + F.col("shipment_rows"), F.lit(n))
+    places = F.when(before < n, F.sequence((before + 1).cast("int"), last.cast("int")))
+    return joined.withColumn(rank_col, F.explode(places)).drop("_own", "shipment_rows")
 
 
-def ocean_container_rows(ctx: ReportContext) -> DataFrame:
-    """Every container record of the scoped Ocean movements (not reduced)."""
-    return _scoped(ctx, container_rows(ctx))
+def container_counts(ctx: ReportContext) -> DataFrame:
+    """Non-null container numbers among the joined rows of a movement (the
+    running count read at the first row)."""
+    counts = running_count_at_first(container_rows(ctx), ["movement_id"], NUMBER, "_records")
+    return counts.join(movement_rows(ctx), "movement_id").select(
+        "movement_id", (F.col("_records") * F.col("shipment_rows")).alias("container_count"))
 
 
-def first_rows(ctx: ReportContext, n: int, rank_col: str = "_rank") -> DataFrame:
-    """The first ``n`` container records per scoped Ocean movement, ascending
-    by number with nulls last (ranked before scoping, limited map-side)."""
-    ranked = first_n_rows(container_rows(ctx), ["movement_id"],
-                          F.col("container_number").asc_nulls_last(), n, rank_col)
-    return _scoped(ctx, ranked)
+def first_values(ctx: ReportContext) -> DataFrame:
+    """Per movement the first 31 non-null numbers and types, as sorted lists.
 
-
-def container_counts(ctx: ReportContext) -> DataFrame:
-    """Non-null container numbers per scoped Ocean movement (the running
-    count read at the first row), for every movement with a record."""
-    counts = running_count_at_first(container_rows(ctx), ["movement_id"],
-                                    "container_number", "container_count")
-    return _scoped(ctx, counts)
+    One pass: a record becomes a (movement, kind, value) row for its number and
+    one for its type; one ranking per movement and kind, limited on both sides of
+    the shuffle, so a list is bounded whatever the size of a movement.
+    """
+    rows = container_rows(ctx).select(
+        "movement_id",
+        F.explode(F.create_map(F.lit(NUMBER), F.col(NUMBER), F.lit(TYPE), F.col(TYPE))).alias("kind", "value"),
+    ).filter(F.col("value").isNotNull())
+    w = Window.partitionBy("movement_id", "kind").orderBy("value")
+    top = rows.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= K.ROLLUP_WIDTH)
+    return top.groupBy("movement_id").agg(*[
+        F.array_sort(F.collect_list(F.when(F.col("kind") == k, F.col("value")))).alias(k)
+        for k in (NUMBER, TYPE)])
 
 
 def containers(ctx: ReportContext) -> DataFrame:
     """R6: per Ocean movement, the first 31 container numbers and the first
     31 container types (each sorted on its own, duplicates kept) as ``|``
-    lists, plus the count of non-null container numbers (not capped).
-
-    Each list is reduced per movement before anything is joined: rank <= 31
-    is applied on both sides of the shuffle, so the collected lists are
-    bounded whatever the size of a movement.
-    """
+    lists, plus the count of non-null container numbers (not capped)."""
     def build() -> DataFrame:
-        rows = container_rows(ctx)
-        counts = container_counts(ctx)
-        numbers = ordered_rollup(rows, ["movement_id"], "container_number", "containers")
-        sizes = ordered_rollup(rows, ["movement_id"], "container_type", "container_sizes")
-        return (counts.join(numbers, "movement_id", "left")
-                .join(sizes, "movement_id", "left")
+        records = running_count_at_first(container_rows(ctx), ["movement_id"], NUMBER, "_records")
+        rows = F.col("shipment_rows")
+
+        def text(kind: str):  # a movement without a value has no list
+            return F.when(F.size(kind) > 0, repeated_rollup(F.col(kind), rows))
+
+        return (records.join(movement_rows(ctx), "movement_id")
+                .join(first_values(ctx), "movement_id", "left")
                 .select(F.col("movement_id").alias("ei_file_number"),
-                        "containers", "container_count", "container_sizes"))
+                        text(NUMBER).alias("containers"),
+                        (F.col("_records") * rows).alias("container_count"),
+                        text(TYPE).alias("container_sizes")))
     return ctx.memo("containers", build)

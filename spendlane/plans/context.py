@@ -7,35 +7,31 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spendlane.operators.joins import bounded, broadcast_if_small
 from spendlane.operators.scope import client_scope
 from spendlane.params import ReportParams
-from spendlane.sources.staging import StagedViews, views_for
+from spendlane.sources.named import NamedViews
 from spendlane.sources.views import Views
 
 CLIENT_ROLE_COLUMNS = ["gci_name", "gci_addr_line1", "gci_addr_line2", "gci_state", "gci_city"]
 
 
 class ReportContext:
-    def __init__(self, views: Views | StagedViews, params: ReportParams):
+    def __init__(self, views: Views | NamedViews, params: ReportParams):
         self.views = views
         self.params = params
         self._memo: dict[str, DataFrame] = {}
 
     def memo(self, key: str, build) -> DataFrame:
         """Build a shared intermediate once per run, so every use is the same
-        plan (Spark reuses its exchanges) and its size checks run once."""
+        plan and Spark reuses its exchanges."""
         if key not in self._memo:
             self._memo[key] = build()
         return self._memo[key]
 
     @classmethod
-    def from_dir(cls, spark: SparkSession, base_dir: str, params: ReportParams,
-                 staged: bool = True) -> "ReportContext":
-        """Context over the views of ``base_dir``: staged parquet tables by
-        default, or lazily derived DataFrames with ``staged=False``."""
-        views = views_for(spark, base_dir) if staged else Views(spark, base_dir)
-        return cls(views, params)
+    def from_dir(cls, spark: SparkSession, base_dir: str, params: ReportParams) -> "ReportContext":
+        """Context over the views derived from the tables of ``base_dir``."""
+        return cls(Views(spark, base_dir), params)
 
     @property
     def spark(self) -> SparkSession:
@@ -43,37 +39,33 @@ class ReportContext:
 
     @cached_property
     def scoped_clients(self) -> DataFrame:
-        """Clients in scope, projected to what the legs read; broadcast when a
-        runtime row check proves the scoped set small."""
+        """Clients in scope, projected to what the legs read."""
         cols = ["client_key", "gci", "gci_name", "master_client_number", "master_client_name",
                 "usage_distinction_type"]
-        return broadcast_if_small(client_scope(self.views.client_dimension, self.params).select(*cols))
+        return client_scope(self.views.client_dimension, self.params).select(*cols)
 
     @cached_property
     def party_clients(self) -> DataFrame:
-        """All clients, in the shape the shipper / consignee roles read.
-
-        Not scoped (any client can be a party), so it grows with the data: a
-        broadcast only after the size check, a shuffle join beyond it.
-        """
-        return broadcast_if_small(self.views.client_dimension.select("client_key", *CLIENT_ROLE_COLUMNS))
+        """All clients, in the shape the shipper / consignee roles read (not
+        scoped: any client can be a party)."""
+        return self.views.client_dimension.select("client_key", *CLIENT_ROLE_COLUMNS)
 
     @cached_property
     def billing(self) -> DataFrame:
-        return broadcast_if_small(self.views.billing_dimension)
+        return self.views.billing_dimension
 
     @cached_property
     def branches(self) -> DataFrame:
-        return bounded(self.views.branch_dimension)
+        return self.views.branch_dimension
 
     @cached_property
     def ports(self) -> DataFrame:
-        return bounded(self.views.port_dimension)
+        return self.views.port_dimension
 
     @cached_property
     def service_levels(self) -> DataFrame:
-        return bounded(self.views.service_level_dimension)
+        return self.views.service_level_dimension
 
     @cached_property
     def service_types(self) -> DataFrame:
-        return bounded(self.views.service_type_dimension)
+        return self.views.service_type_dimension

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from spendlane.functions import constants as K
 from spendlane.functions import rules as R
 from spendlane.operators.joins import role
-from spendlane.operators.pivots import event_extremes, max_code_milestone, reference_pivot
+from spendlane.operators.pivots import max_code_milestone
 from spendlane.operators.scope import invoice_scope
+from spendlane.plans.attributes import EXPORT, invoice_attributes, max_code, max_time, reference
 from spendlane.plans.context import CLIENT_ROLE_COLUMNS, ReportContext
 
 
@@ -25,6 +26,18 @@ def _scoped_shipments(ctx: ReportContext) -> DataFrame:
     return sf.join(clients, sf.outbound_revenue_customer_key == clients.client_key).drop("client_key")
 
 
+def scoped_movement_invoices(ctx: ReportContext) -> DataFrame:
+    """movement_id, invoice_number of the scoped movements that the references
+    are pooled over."""
+    def build() -> DataFrame:
+        im = ctx.views.invoice_movement
+        if ctx.params.scope_export_references:
+            im = invoice_scope(im, "invoice_number", ctx.params)
+        ids = scoped_shipments(ctx).select("movement_id")
+        return im.join(ids, "movement_id", "left_semi") if ctx.params.scoped else im
+    return ctx.memo("scoped_movement_invoices", build)
+
+
 def export_references(ctx: ReportContext) -> DataFrame:
     """R3 (``SO``): one row per scoped movement that has shipment references.
 
@@ -37,34 +50,29 @@ def export_references(ctx: ReportContext) -> DataFrame:
 
 
 def _export_references(ctx: ReportContext) -> DataFrame:
-    v, p = ctx.views, ctx.params
     sf = scoped_shipments(ctx).select("movement_id")
-    srf = v.shipment_reference_fact.groupBy("movement_id").agg(
+    srf = ctx.views.shipment_reference_fact.groupBy("movement_id").agg(
         F.max("so_references").alias("srf_so"),
         F.max("ci_references").alias("srf_ci"),
         F.max("en_references").alias("srf_en"))
-    im = v.invoice_movement
-    if p.scope_export_references:
-        im = invoice_scope(im, "invoice_number", p)
-    refs = reference_pivot(v.reference, "invoice_no", K.EXPORT_REFERENCE_TYPES)
-    evs = event_extremes(v.event, "invoice_no", K.EXPORT_EVENT_CODES, drop_deleted=False)
+    im = scoped_movement_invoices(ctx)
+    attributes = invoice_attributes(ctx)
     per_invoice = (
         sf.join(srf, "movement_id").join(im, "movement_id")
-        .join(refs, im.invoice_number == refs.invoice_no, "left")
-        .join(evs, im.invoice_number == evs.invoice_no, "left")
+        .join(attributes, im.invoice_number == attributes.invoice_no, "left")
     )
-    ic = F.max("ref_ic")
-    max_code, max_time = F.max("max_event_code"), F.max("max_event_time")
+    ic = F.max(reference("IC"))
+    code, time = F.max(max_code(EXPORT)), F.max(max_time(EXPORT))
     return per_invoice.groupBy(F.col("movement_id").alias("so_ei_file_number")).agg(
-        F.coalesce(F.max("srf_so"), F.max("ref_so")).alias("so"),
+        F.coalesce(F.max("srf_so"), F.max(reference("SO"))).alias("so"),
         ic.alias("ic"),
-        F.max("ref_po").alias("po"),
+        F.max(reference("PO")).alias("po"),
         R.we_move(ic).alias("we_move"),
-        *[max_code_milestone(m, max_code, max_time).alias(m.lower()) for m in K.EXPORT_MILESTONES],
-        F.coalesce(F.max("srf_ci"), F.max("ref_ci")).alias("ci"),
-        F.coalesce(F.max("srf_en"), F.max("ref_en")).alias("en"),
-        F.max("ref_mb").alias("mb"),
-        F.max("ref_dp").alias("dp"),
+        *[max_code_milestone(m, code, time).alias(m.lower()) for m in K.EXPORT_MILESTONES],
+        F.coalesce(F.max("srf_ci"), F.max(reference("CI"))).alias("ci"),
+        F.coalesce(F.max("srf_en"), F.max(reference("EN"))).alias("en"),
+        F.max(reference("MB")).alias("mb"),
+        F.max(reference("DP")).alias("dp"),
     )
 
 

@@ -10,6 +10,7 @@ from spendlane.functions import rules as R
 from spendlane.operators.joins import role
 from spendlane.operators.pivots import event_extremes, max_code_milestone, reference_pivot
 from spendlane.operators.scope import invoice_scope
+from spendlane.plans.attributes import IMPORT, invoice_attributes, max_code, max_time, reference
 from spendlane.plans.context import CLIENT_ROLE_COLUMNS, ReportContext
 
 
@@ -23,11 +24,18 @@ def import_event_extremes(ctx: ReportContext) -> DataFrame:
     return event_extremes(ctx.views.event, "invoice_no", K.IMPORT_EVENT_CODES, drop_deleted=True)
 
 
+def scoped_imports(ctx: ReportContext) -> DataFrame:
+    """Import shipments of the run's invoices and clients."""
+    def build() -> DataFrame:
+        isf = invoice_scope(ctx.views.import_shipment_fact, "invoice_number", ctx.params)
+        importers = ctx.scoped_clients.select("client_key")
+        return isf.join(importers, isf.importer_key == importers.client_key, "left_semi")
+    return ctx.memo("scoped_imports", build)
+
+
 def import_shipments(ctx: ReportContext) -> DataFrame:
     """Scoped import shipments joined to their role-playing dimensions."""
-    v, p = ctx.views, ctx.params
-    isf = invoice_scope(v.import_shipment_fact, "invoice_number", p)
-    importers = ctx.scoped_clients.select("client_key")
+    isf = scoped_imports(ctx)
     branch_cols = ["branch_code", "country_name", "region_code_1"]
     bo = role(ctx.branches, "branch_key", "bo_", branch_cols)
     bd = role(ctx.branches, "branch_key", "bd_", branch_cols)
@@ -36,8 +44,7 @@ def import_shipments(ctx: ReportContext) -> DataFrame:
     po = role(ctx.ports, "port_key", "po_", ["port_code", "country_name"])
     pd = role(ctx.ports, "port_key", "pd_", ["port_code", "country_name"])
     return (
-        isf.join(importers, isf.importer_key == importers.client_key, "left_semi")
-        .join(bo, isf.branch_origin_key == bo.bo_key)
+        isf.join(bo, isf.branch_origin_key == bo.bo_key)
         .join(bd, isf.branch_destination_key == bd.bd_key)
         .join(sh, isf.shipper_key == sh.sh_key)
         .join(cn, isf.consignee_key == cn.cn_key)
@@ -59,13 +66,11 @@ def import_leg(ctx: ReportContext) -> DataFrame:
 
 def _import_leg(ctx: ReportContext) -> DataFrame:
     ship = import_shipments(ctx)
-    refs = import_references(ctx)
-    evs = import_event_extremes(ctx)
-    df = (ship.join(refs, ship.invoice_number == refs.invoice_no, "left").drop("invoice_no")
-          .join(evs, ship.invoice_number == evs.invoice_no, "left").drop("invoice_no"))
+    attributes = invoice_attributes(ctx)
+    df = ship.join(attributes, ship.invoice_number == attributes.invoice_no, "left")
     countries = ("po_", "pd_") if ctx.params.port_countries else ("bo_", "bd_")
-    max_code, max_time = F.max("max_event_code"), F.max("max_event_time")
-    ic = F.max("ref_ic")
+    code, time = F.max(max_code(IMPORT)), F.max(max_time(IMPORT))
+    ic = F.max(reference("IC"))
     return df.groupBy("invoice_number").agg(
         F.max("housebill_ref").alias("ei_file_number"),
         F.max(f"{countries[0]}country_name").alias("origin_branch_country_name"),
@@ -89,11 +94,11 @@ def _import_leg(ctx: ReportContext) -> DataFrame:
         F.max("service_level_description").alias("service_level_desc"),
         F.max("dt_act_dep_event_time").alias("departure_event_date_time"),
         F.max("service_type_code").alias("service_type_code"),
-        *[max_code_milestone(m, max_code, max_time).alias(m.lower()) for m in K.IMPORT_MILESTONES],
+        *[max_code_milestone(m, code, time).alias(m.lower()) for m in K.IMPORT_MILESTONES],
         ic.alias("ic"),
-        F.max("ref_po").alias("po"),
-        F.max("ref_mb").alias("mb"),
-        F.max("ref_dp").alias("dp"),
+        F.max(reference("PO")).alias("po"),
+        F.max(reference("MB")).alias("mb"),
+        F.max(reference("DP")).alias("dp"),
         R.we_move(ic).alias("we_move"),
         F.max("po_port_code").alias("origin_port_code"),
         F.max("pd_port_code").alias("destination_port_code"),
@@ -101,6 +106,6 @@ def _import_leg(ctx: ReportContext) -> DataFrame:
         F.max("bo_region_code_1").alias("origin_branch_region_code"),
         F.max("bd_region_code_1").alias("destination_branch_region_code"),
         F.max("quantity").alias("qty"),
-        F.max("ref_ci").alias("ci"),
-        F.max("ref_en").alias("en"),
+        F.max(reference("CI")).alias("ci"),
+        F.max(reference("EN")).alias("en"),
     )

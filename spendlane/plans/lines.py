@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendlane.functions import rules as R
-from spendlane.operators.joins import bounded
 from spendlane.operators.scope import date_scope, invoice_scope, keep_code_country
 from spendlane.plans.context import ReportContext
 
@@ -16,9 +15,9 @@ def enriched_lines(ctx: ReportContext) -> DataFrame:
     date and (optionally) invoice, *before* the code/country exclusion."""
     v, p = ctx.views, ctx.params
     cif = invoice_scope(v.customer_invoice_fact, "invoice_number", p)
-    dates = bounded(date_scope(v.date_dimension, "date", p))
-    rates = bounded(v.currency_exchange_dimension)
-    currencies = bounded(v.currency_dimension)
+    dates = date_scope(v.date_dimension, "date", p)
+    rates = v.currency_exchange_dimension
+    currencies = v.currency_dimension
     clients = ctx.scoped_clients
     return (
         cif.join(dates, cif.dt_invoice_date_key == dates.date_key)

@@ -6,11 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendlane.functions import rules as R
+from spendlane.functions.published import PUBLISHED_NAMES
 from spendlane.plans.containers import containers
 from spendlane.plans.context import ReportContext
 from spendlane.plans.export_leg import export_leg
-from spendlane.plans import legs_per_invoice as LP
 from spendlane.plans.import_leg import import_leg
+from spendlane.plans.legs_per_invoice import SUMMED, legs_per_invoice
 from spendlane.plans.lines import invoice_lines
 
 GROUP_KEYS = [
@@ -41,101 +42,6 @@ def attach_legs(ctx: ReportContext) -> DataFrame:
             .join(c, F.coalesce(e.e_ei_file_number, i.i_ei_file_number) == c.c_ei_file_number, "left"))
 
 
-def _mx(*cols: str) -> Column:
-    """MAX of a row-level COALESCE (row-level precedence)."""
-    return F.max(F.coalesce(*[F.col(c) for c in cols]))
-
-
-def report_aggregates() -> list[Column]:
-    """The 69 aggregate outputs of the report over the attached rows."""
-    hb = F.coalesce("e_ei_file_number", "i_ei_file_number")
-    n_hb = F.count_distinct(hb)
-    ship_date = F.coalesce("e_cob", "i_departure_event_date_time")
-    return [
-        F.when(n_hb > 1, F.max("billing_amount")).otherwise(F.sum("billing_amount"))
-        .cast(AMOUNT).alias("billing_amount"),
-        F.avg("usd_average_exchange_rate").cast(RATE).alias("usd_average_exchange_rate"),
-        F.when(n_hb > 1, F.max("billing_amount_usd")).otherwise(F.sum("billing_amount_usd"))
-        .cast(AMOUNT_USD).alias("billing_amount_usd"),
-        F.sum(F.coalesce("e_volume_exp", "i_volume")).cast(AMOUNT).alias("final_volume"),
-        F.sum(F.coalesce("e_weight_chargeable_exp", "i_weight_chargeable")).cast(AMOUNT)
-        .alias("final_chweight"),
-        F.sum(F.coalesce("e_actual_weight", "i_actual_weight")).cast(AMOUNT).alias("actual_weight"),
-        F.max("billing_client_id").alias("billing_client_id"),
-        F.max("billing_client_name").alias("billing_client_name"),
-        F.max("gci_and_billing_client_name").alias("gci_and_billing_client_name"),
-        F.max("billing_currency").alias("billing_currency"),
-        F.max("billing_branch_code").alias("billing_branch_code"),
-        F.max("customer_invoice_type").alias("customer_invoice_type"),
-        F.max("billing_master_client_number").alias("billing_master_client_number"),
-        F.max("billing_master_client_name").alias("billing_master_client_name"),
-        F.max("invoice_year").alias("invoice_year"),
-        F.max("invoice_month").alias("invoice_month"),
-        F.max("billing_branch_country_name").alias("billing_branch_country_name"),
-        F.max("ship_mode").alias("ship_mode"),
-        F.max("billing_client_usage_distinction_type").alias("billing_client_usage_distinction_type"),
-        F.max("f2f_flag").alias("f2f_flag"),
-        R.bill_to_flag_final(F.max("f2f_flag"), F.max("billing_client_usage_distinction_type"))
-        .alias("bill_to_customer_flag"),
-        F.max("charge_type").alias("charge_type"),
-        F.max("invoice_month_number").alias("invoice_month_number"),
-        _mx("e_po_bueno", "i_po").alias("po"),
-        _mx("e_origin_branch_country_name", "i_origin_branch_country_name").alias("origin_branch"),
-        _mx("e_destination_branch_country_name", "i_destination_branch_country_name",
-            "billing_branch_country_name").alias("destination_country"),
-        _mx("i_service_type_code", "e_service_type_code").alias("service_type_code"),
-        _mx("e_lane_exp", "i_lane").alias("final_lane"),
-        R.strip_quotes(_mx("e_shipper", "i_shipper_name")).alias("final_shipper"),
-        F.max(hb).alias("house_bill"),
-        n_hb.alias("hb_count"),
-        R.strip_quotes(_mx("e_consignee", "i_consignee_name")).alias("final_consignee"),
-        _mx("e_origin_branch", "i_origin_branch_code").alias("final_origin_branch"),
-        _mx("e_destination_branch", "i_destination_branch_code").alias("final_destination_branch"),
-        _mx("e_service_level", "i_service_level_desc").alias("final_service_level"),
-        _mx("e_we_move", "i_we_move").alias("we_move_yn"),
-        _mx("e_frt", "i_frt", "i_fnd").alias("freight"),
-        F.max(ship_date).alias("ship_date"),
-        _mx("e_adu", "e_afd", "i_add", "i_adu", "i_afd").alias("arrival"),
-        _mx("e_dlv", "i_dlv").alias("delivery"),
-        # group-level precedence: export's MAX first, then import's MAX
-        F.coalesce(F.max("e_eda"), F.max("i_eda")).alias("eda"),
-        F.coalesce(F.max("e_edi"), F.max("i_edi")).alias("edi"),
-        F.coalesce(F.max("e_eds"), F.max("i_eds")).alias("eds"),
-        _mx("e_pod", "i_pod").alias("proof_of_delivery"),
-        _mx("e_bkd", "i_bkd").alias("bkd"),
-        F.max(R.month_label(ship_date)).alias("month"),
-        F.max(R.quarter_label(ship_date)).alias("quarter"),
-        F.max(F.year(ship_date)).alias("year"),
-        R.sanitise(_mx("e_outbound_shipper_address_line_1", "i_shipper_address_line_1"))
-        .alias("shipper_address1"),
-        R.sanitise(_mx("e_outbound_shipper_address_line_2", "i_shipper_address_line_2"))
-        .alias("shipper_address2"),
-        _mx("e_outbound_shipper_state_province", "i_shipper_state").alias("shipper_state"),
-        R.sanitise(_mx("e_outbound_shipper_city", "i_shipper_city")).alias("shipper_city"),
-        R.sanitise(_mx("e_outbound_consignee_address_line_1", "i_consignee_address_line_1"))
-        .alias("consignee_address1"),
-        R.sanitise(_mx("e_outbound_consignee_address_line_2", "i_consignee_address_line_2"))
-        .alias("consignee_address2"),
-        _mx("e_outbound_consignee_state_province", "i_consignee_state").alias("consignee_state"),
-        R.sanitise(_mx("e_outbound_consignee_city", "i_consignee_city")).alias("consignee_city"),
-        F.max(R.month_label("invoice_date_time")).alias("invoice_month2"),
-        F.max(R.quarter_label("invoice_date")).alias("invoice_quarter"),
-        _mx("i_hazard_flag", "e_hazard_flag").alias("hazard_flag"),
-        _mx("i_origin_branch_region_code", "e_origin_branch_region_code")
-        .alias("origin_branch_region_code"),
-        _mx("i_destination_branch_region_code", "e_destination_branch_region_code")
-        .alias("destination_branch_region_code"),
-        F.max("c_container_count").alias("container_count"),
-        F.max("c_containers").alias("containers"),
-        F.max("c_container_sizes").alias("container_sizes"),
-        _mx("e_qty", "i_qty").alias("qty"),
-        _mx("e_en", "i_en").alias("en_reference"),
-        _mx("e_ci", "i_ci").alias("ci_reference"),
-        _mx("e_mb", "i_mb").alias("mb_reference"),
-        _mx("e_dp", "i_dp").alias("dp_reference"),
-    ]
-
-
 REPORT_COLUMNS = [
     "invoice_date_time", "invoice_expeditor", "invoice_expeditor_line",
     "billing_line_description", "internal_reference", "billing_code", "invoice_date",
@@ -158,17 +64,6 @@ REPORT_COLUMNS = [
 ]
 
 
-def grouped_report_literal(ctx: ReportContext) -> DataFrame:
-    """The report in its literal shape: lines joined to every leg row, then
-    grouped on the seven keys (description still raw).  Kept as the
-    reference the pre-aggregated plan is tested against."""
-    df = attach_legs(ctx)
-    p = ctx.params
-    if p.invoice_numbers is not None and p.scope_final:
-        df = df.filter(F.col("invoice_expeditor").isin(*p.invoice_numbers))
-    return df.groupBy(*GROUP_KEYS).agg(*report_aggregates())
-
-
 LINE_MAXED = [
     "billing_client_id", "billing_client_name", "gci_and_billing_client_name",
     "billing_currency", "billing_branch_code", "customer_invoice_type",
@@ -203,66 +98,42 @@ def lines_per_group(ctx: ReportContext) -> DataFrame:
     )
 
 
-def grouped_report(ctx: ReportContext) -> DataFrame:
-    """The report grouped on its seven keys (description still raw), computed
-    as line groups joined to one pre-aggregated row of leg values per invoice
-    (see :mod:`spendlane.plans.legs_per_invoice`); equal to
-    :func:`grouped_report_literal` without multiplying lines by leg rows and
-    without a distinct aggregation over the wide rows."""
-    q = lines_per_group(ctx)
-    legs = LP.legs_per_invoice(ctx)
-    df = q.join(legs, q.internal_reference == legs.leg_invoice, "left")
-    n_e = F.coalesce(F.col("e_n_rows"), F.lit(0))
-    has_e = n_e > 0
-
-    def export_first(o: str) -> Column:
-        raised = F.greatest(F.col(f"e_{o}"), F.when(F.col(f"enull_{o}") > 0, F.col(f"i_{o}")))
-        return F.when(has_e, raised).otherwise(F.col(f"i_{o}"))
+# how a text is cleaned for the delimited export
+CLEANED = {
+    "final_shipper": R.strip_quotes, "final_consignee": R.strip_quotes,
+    "shipper_address1": R.sanitise, "shipper_address2": R.sanitise, "shipper_city": R.sanitise,
+    "consignee_address1": R.sanitise, "consignee_address2": R.sanitise, "consignee_city": R.sanitise,
+}
 
-    def summed(o: str) -> Column:
-        e_sum = F.col(f"e_{o}")
-        i_part = F.when((F.col(f"enull_{o}") > 0) & F.col(f"i_{o}").isNotNull(),
-                        F.col(f"enull_{o}") * F.col(f"i_{o}"))
-        with_e = F.when(e_sum.isNull() & i_part.isNull(), F.lit(None)).otherwise(
-            F.coalesce(e_sum, F.lit(0)) + F.coalesce(i_part, F.lit(0)))
-        per_line = F.when(has_e, with_e).otherwise(F.col(f"i_{o}"))
-        return (F.col("q_rows") * per_line).cast(AMOUNT)
 
-    hb_count = F.when(has_e, F.col("e_hb_count")).otherwise(
-        F.when(F.col("i_house_bill").isNotNull(), 1).otherwise(0)).cast("bigint")
-    leg_rows = F.greatest(n_e, F.lit(1))
-    dest_leg = export_first("dest_country_leg")
-    dest_has_null = F.when(has_e, (F.col("enull_dest_country_leg") > 0)
-                           & F.col("i_dest_country_leg").isNull()
-                           ).otherwise(F.col("i_dest_country_leg").isNull())
-    post = {"final_shipper": R.strip_quotes, "final_consignee": R.strip_quotes,
-            "shipper_address1": R.sanitise, "shipper_address2": R.sanitise,
-            "shipper_city": R.sanitise, "consignee_address1": R.sanitise,
-            "consignee_address2": R.sanitise, "consignee_city": R.sanitise}
-    leg_cols = {}
-    for o, _, _ in LP.export_first():
-        leg_cols[o] = post.get(o, lambda c: c)(export_first(o))
-    for o, _, _ in LP.import_first():
-        leg_cols[o] = F.coalesce(F.col(f"i_{o}"), F.col(f"e_{o}"))
-    for o, _, _ in LP.group_first():
-        leg_cols[o] = F.coalesce(F.col(f"e_{o}"), F.col(f"i_{o}"))
-    for o, _, _ in LP.summed():
-        leg_cols[o] = summed(o)
-    for c in LP.CONTAINER_COLUMNS:
-        leg_cols[c] = F.when(has_e, F.col(f"e_{c}")).otherwise(F.col(f"i_{c}"))
-    leg_cols["destination_country"] = F.greatest(
-        dest_leg, F.when(dest_has_null, F.col("billing_branch_country_name")))
-    leg_cols["hb_count"] = hb_count
-    leg_cols["billing_amount"] = F.when(hb_count > 1, F.col("q_max_amount")).otherwise(
-        F.col("q_sum_amount") * leg_rows).cast(AMOUNT)
-    leg_cols["billing_amount_usd"] = F.when(hb_count > 1, F.col("q_max_amount_usd")).otherwise(
-        F.col("q_sum_amount_usd") * leg_rows).cast(AMOUNT_USD)
-    leg_cols["bill_to_customer_flag"] = R.bill_to_flag_final(
-        "f2f_flag", "billing_client_usage_distinction_type")
-    out = []
-    for c in REPORT_COLUMNS:
-        out.append(leg_cols[c].alias(c) if c in leg_cols else F.col(c))
-    return df.select(*out)
+def grouped_report(ctx: ReportContext) -> DataFrame:
+    """The report grouped on its seven keys (description still raw): line
+    groups joined to one row of leg values per invoice (see
+    :mod:`spendlane.plans.legs_per_invoice`).  Lines are never multiplied by leg
+    rows; sums over the joined rows are the line sums times the leg rows, and the
+    leg sums times the line rows."""
+    # a line without a reference meets nothing: it gets a key of its own, so such
+    # lines spread over all tasks instead of meeting in one
+    own = F.concat(F.lit("\0"), F.xxhash64("invoice_expeditor", "invoice_expeditor_line", "billing_code").cast("string"))
+    q = lines_per_group(ctx).withColumn("_key", F.coalesce("internal_reference", own))
+    legs = legs_per_invoice(ctx)
+    df = q.join(legs, q["_key"] == legs.leg_invoice, "left")
+    hb_count = F.coalesce("hb_count", F.lit(0)).cast("bigint")
+    leg_rows = F.coalesce("n_leg_rows", F.lit(1))
+
+    def amount(name: str, kind: str) -> Column:
+        total = F.col(f"q_sum_{name}") * leg_rows
+        return F.when(hb_count > 1, F.col(f"q_max_{name}")).otherwise(total).cast(kind)
+
+    cols = {c: f(c) for c, f in CLEANED.items()}
+    cols |= {c: (F.col("q_rows") * F.col(c)).cast(AMOUNT) for c in SUMMED}
+    cols["destination_country"] = F.greatest(
+        "leg_country", F.when(F.coalesce("country_open", F.lit(True)), F.col("billing_branch_country_name")))
+    cols["hb_count"] = hb_count
+    cols["billing_amount"] = amount("amount", AMOUNT)
+    cols["billing_amount_usd"] = amount("amount_usd", AMOUNT_USD)
+    cols["bill_to_customer_flag"] = R.bill_to_flag_final("f2f_flag", "billing_client_usage_distinction_type")
+    return df.select(*[cols.get(c, F.col(c)).alias(c) for c in REPORT_COLUMNS])
 
 
 def _finish(grouped: DataFrame) -> DataFrame:
@@ -282,3 +153,8 @@ def spend_report_sorted(ctx: ReportContext) -> DataFrame:
     description), nulls last; a global range sort."""
     g = grouped_report(ctx)
     return _finish(g.orderBy(*[F.col(k).asc_nulls_last() for k in GROUP_KEYS]))
+
+
+def published(report: DataFrame) -> DataFrame:
+    """The report under its published column names."""
+    return report.select(*[F.col(c).alias(PUBLISHED_NAMES[c]) for c in REPORT_COLUMNS])

@@ -2,7 +2,7 @@
 
 Each entry pairs a Spark builder ``(spark, base_dir) -> DataFrame`` with the
 DuckDB statement that must give the same rows (see :mod:`spendlane.oracle`).
-Report-level queries use :data:`WHOLE` (every master client, every date), so
+Report-level queries use :data:`WHOLE` (no restriction at all), so
 they run over the whole tables; the scoping queries exist to show a scope and
 use the report's own kind of parameters.
 """
@@ -29,7 +29,6 @@ from spendlane.plans import import_leg as I
 from spendlane.plans import lines as L
 from spendlane.plans import report as RP
 from spendlane.plans.context import ReportContext
-from spendlane.sources.staging import views_for
 from spendlane.sources.views import VIEW_NAMES
 
 
@@ -41,20 +40,19 @@ def ref_text(key: int) -> str:
     return f"{prefix}{key}"
 
 
-ALL_MASTERS = tuple(f"M{i}" for i in range(10))
-WHOLE = ReportParams(client_ids=ALL_MASTERS)
+WHOLE = ReportParams()  # every client, every date
 MASTER_SCOPE = ReportParams(client_ids=("M1", "M3"))
 GCI_SCOPE = ReportParams(client_type="GCI", client_ids=("G11", "G13"))
-DATE_SCOPE = ReportParams(client_ids=ALL_MASTERS, start=dt.date(1996, 1, 1),
+DATE_SCOPE = ReportParams(start=dt.date(1996, 1, 1),
                           end=dt.date(1999, 12, 31))
-PORT_VARIANT = ReportParams(client_ids=ALL_MASTERS, variant="port_country")
+PORT_VARIANT = ReportParams(variant="port_country")
 # spot checks: invoice numbers of the lines ("E" + order) and of the legs
 # (reference form) for orders in the import leg, the export leg and both
 _SPOT_ORDERS = (1, 4, 6, 8, 18, 28)
 SPOT_INVOICES = tuple(f"E{k}" for k in _SPOT_ORDERS) + tuple(ref_text(k) for k in _SPOT_ORDERS)
-SCOPED = ReportParams(client_ids=ALL_MASTERS, variant="port_country",
+SCOPED = ReportParams(variant="port_country",
                       invoice_numbers=SPOT_INVOICES)
-SINGLE = ReportParams(client_ids=ALL_MASTERS, invoice_numbers=("E8", ref_text(8)),
+SINGLE = ReportParams(invoice_numbers=("E8", ref_text(8)),
                       scope_export_references=False, scope_final=False)
 
 
@@ -74,8 +72,8 @@ def _q(params: ReportParams, fn: Callable[[ReportContext], DataFrame]):
 
 # --------------------------------------------------------------- Spark side
 
-def scan_views(spark: SparkSession, base_dir: str) -> DataFrame:
-    v = views_for(spark, base_dir)
+def scan_views(ctx: ReportContext) -> DataFrame:
+    v = ctx.views
     out = None
     for n in VIEW_NAMES:
         c = v.get(n).groupBy().agg(F.count(F.lit(1)).alias("n_rows")).select(
@@ -176,8 +174,8 @@ def ship_modes(ctx: ReportContext) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("n_lines"))
 
 
-def sanitise_text(spark: SparkSession, base_dir: str) -> DataFrame:
-    v = views_for(spark, base_dir)
+def sanitise_text(ctx: ReportContext) -> DataFrame:
+    v = ctx.views
     texts = v.customer_invoice_fact.select(F.col("billing_line_description").alias("raw_text"))
     for c in ("gci_name", "gci_addr_line1", "gci_city"):
         texts = texts.unionByName(v.client_dimension.select(F.col(c).alias("raw_text")))
@@ -195,8 +193,8 @@ def lanes(ctx: ReportContext) -> DataFrame:
     return imp.unionByName(exp).distinct()
 
 
-def client_labels(spark: SparkSession, base_dir: str) -> DataFrame:
-    c = views_for(spark, base_dir).client_dimension
+def client_labels(ctx: ReportContext) -> DataFrame:
+    c = ctx.views.client_dimension
     return c.select("gci", R.client_label("gci", "gci_name").alias("gci_and_billing_client_name"))
 
 
@@ -263,213 +261,125 @@ def running_count(ctx: ReportContext) -> DataFrame:
 
 # --------------------------------------------------------------- oracle side
 
-def _w(p: ReportParams, body: str, *parts: str) -> str:
-    return O.with_report(p, body, parts)
-
-
-def _scan_views_sql() -> str:
-    body = "\nUNION ALL ".join(
-        f"SELECT '{n}' AS \"view\", count(*) AS n_rows FROM v_{n}" for n in VIEW_NAMES)
-    return "WITH " + O.views_prelude() + "\n" + body
-
-
-ROLE_SQL = """
-SELECT isf.invoice_number, sh.gci_name AS shipper_name, cn.gci_name AS consignee_name,
-       bo.branch_code AS origin_branch_code, bd.branch_code AS destination_branch_code,
-       po.port_code AS origin_port_code, pd.port_code AS destination_port_code
-FROM v_client_dimension imp
-JOIN v_import_shipment_fact isf ON imp.client_key = isf.importer_key
-JOIN v_branch_dimension bo ON bo.branch_key = isf.branch_origin_key
-JOIN v_branch_dimension bd ON bd.branch_key = isf.branch_destination_key
-JOIN v_client_dimension sh ON sh.client_key = isf.shipper_key
-JOIN v_client_dimension cn ON cn.client_key = isf.consignee_key
-JOIN v_service_level_dimension sl ON sl.service_level_key = isf.service_level_key
-JOIN v_port_dimension po ON po.port_key = isf.port_origin_key
-JOIN v_port_dimension pd ON pd.port_key = isf.port_destination_key
-LEFT JOIN v_service_type_dimension st ON isf.service_type_key = st.service_type_key
-WHERE {pred}"""
-
+LEGS = ("import_leg", "movement_refs", "export_base")
 SCOPE_SQL = ("SELECT invoice_expeditor, invoice_expeditor_line, billing_client_id, "
-             "billing_master_client_number, invoice_date FROM q_lines")
-
-
-def _milestones_sql(codes: tuple[str, ...], miles: tuple[str, ...], deleted: bool) -> str:
-    cols = ", ".join(f"CASE WHEN max(event_code) = '{m}' THEN max(event_time) END AS {m.lower()}"
-                     for m in miles)
-    live = "AND deleted_yn = 'N'" if deleted else ""
-    return ("WITH " + O.views_prelude() +
-            f"\nSELECT invoice_no, {cols} FROM v_event "
-            f"WHERE event_code IN ({O._q(codes)}) {live} GROUP BY invoice_no")
-
-
-def _pivot_sql() -> str:
-    cols = ", ".join(
-        f"max(CASE WHEN reference_type = '{t}' THEN reference_no END) AS ref_{t.lower()}"
-        for t in K.IMPORT_REFERENCE_TYPES)
-    return ("WITH " + O.views_prelude() +
-            f"\nSELECT invoice_no, {cols} FROM v_reference "
-            f"WHERE reference_type IN ({O._q(K.IMPORT_REFERENCE_TYPES)}) GROUP BY invoice_no")
-
-
-def _ocean_rows_sql(p: ReportParams, select: str) -> str:
-    return _w(p, f"""
-SELECT {select}
-FROM v_shipment_fact sf
-JOIN v_client_dimension c ON sf.outbound_revenue_customer_key = c.client_key
-JOIN v_container_shipment_fact csf ON sf.movement_id = csf.movement_id
-JOIN v_move_type_dimension mt ON csf.move_type_key = mt.move_type_key
-JOIN v_container_type_dimension ct ON csf.container_type_key = ct.container_type_key
-JOIN v_ship_mode_dimension sm ON sf.ship_mode_key = sm.ship_mode_key
-WHERE {O.client_pred('c', p)} AND sm.ship_mode_desc = '{K.OCEAN}'""")
-
-
-def _report_subset_sql(p: ReportParams, cols: tuple[str, ...]) -> str:
-    keys = ", ".join(RP.GROUP_KEYS)
-    return O.with_report(p, f"SELECT {keys}, {', '.join(cols)} FROM ({O.report_select_sql()}) r")
-
-
-def _sanitise_sql() -> str:
-    texts = " UNION ALL ".join(
-        [f"SELECT billing_line_description AS raw_text FROM v_customer_invoice_fact"]
-        + [f"SELECT {c} FROM v_client_dimension" for c in ("gci_name", "gci_addr_line1", "gci_city")])
-    return ("WITH " + O.views_prelude() +
-            f"\nSELECT raw_text, {O.sanitise_sql('raw_text')} AS sanitised_text, "
-            f"{O.strip_quotes_sql('raw_text')} AS unquoted_text FROM (SELECT DISTINCT raw_text "
-            f"FROM ({texts}) t) d")
-
-
-def _registry() -> dict[str, Query]:
-    W = WHOLE
-    lines_only = ("lines",)
-    return {
-        "scan_views": Query(scan_views, _scan_views_sql()),
-        "role_dimensions": Query(
-            _q(W, role_dimensions), "WITH " + O.views_prelude() + ROLE_SQL.format(pred=O.client_pred("imp", W))),
-        "invoice_lines": Query(
-            _q(W, L.invoice_lines),
-            _w(W, "SELECT * EXCLUDE (billing_branch_country_code) FROM q_lines", *lines_only)),
-        "client_scope_master": Query(_q(MASTER_SCOPE, _scope_view),
-                                     _w(MASTER_SCOPE, SCOPE_SQL, *lines_only)),
-        "client_scope_gci": Query(_q(GCI_SCOPE, _scope_view), _w(GCI_SCOPE, SCOPE_SQL, *lines_only)),
-        "date_scope": Query(_q(DATE_SCOPE, _scope_view), _w(DATE_SCOPE, SCOPE_SQL, *lines_only)),
-        "exclude_code_country": Query(_q(W, exclude_code_country), _w(
-            W, "SELECT billing_code, billing_branch_country_code, coalesce((billing_code || "
-               f"billing_branch_country_code) <> '{K.EXCLUDED_CODE_COUNTRY}', false) AS kept, "
-               "count(*) AS n_lines FROM q_lines GROUP BY ALL", "lines_unfiltered")),
-        "charge_type": Query(_q(W, spend_by_charge_type), _w(W, CHARGE_SQL, *lines_only)),
-        "charge_type_merged": Query(_q(PORT_VARIANT, spend_by_charge_type),
-                                    _w(PORT_VARIANT, CHARGE_SQL, *lines_only)),
-        "reference_pivot": Query(_q(W, reference_pivot_q), _pivot_sql()),
-        "import_milestones": Query(_q(W, import_milestones), _milestones_sql(
-            K.IMPORT_EVENT_CODES, K.IMPORT_MILESTONES, True)),
-        "export_edi_events": Query(_q(W, export_edi_events), _milestones_sql(
-            K.EXPORT_EVENT_CODES, K.EXPORT_MILESTONES, False)),
-        "ocean_movements": Query(_q(W, C.ocean_movements), _w(W, f"""
-SELECT sf.movement_id FROM v_shipment_fact sf
-JOIN v_client_dimension c ON sf.outbound_revenue_customer_key = c.client_key
-JOIN v_ship_mode_dimension sm ON sf.ship_mode_key = sm.ship_mode_key
-WHERE {O.client_pred('c', W)} AND sm.ship_mode_desc = '{K.OCEAN}'""")),
-        "left_join_filtered_right": Query(_q(W, left_join_filtered_right), _w(W, f"""
-SELECT isf.invoice_number, count(rf.reference_no) AS n_refs
-FROM v_import_shipment_fact isf
-LEFT JOIN v_reference rf ON isf.invoice_number = rf.invoice_no
-      AND rf.reference_type IN ({O._q(K.IMPORT_REFERENCE_TYPES)})
-GROUP BY isf.invoice_number""")),
-        "f2f_flag": Query(_q(W, f2f_flags), _w(W, """
-SELECT billing_line_description, billing_client_usage_distinction_type, f2f_flag,
-       count(*) AS n_lines FROM q_lines GROUP BY ALL""", *lines_only)),
-        "we_move_flag": Query(_q(W, we_move_flags), _w(W, """
-SELECT 'import' AS leg, invoice_number AS id, we_move FROM q_import
-UNION ALL SELECT 'export', so_ei_file_number, we_move FROM q_so""", "import", "so")),
-        "bill_to_flag": Query(_q(W, bill_to_flags), _w(W, f"""
-SELECT f2f_flag, billing_client_usage_distinction_type, bill_to_customer_flag AS bill_to_line,
-       CASE WHEN f2f_flag = 'Y' AND coalesce(billing_client_usage_distinction_type, '')
-                 <> '{K.F2F_CUSTOMER_USAGE}' THEN 'N' ELSE 'Y' END AS bill_to_final,
-       count(*) AS n_lines FROM q_lines GROUP BY ALL""", *lines_only)),
-        "first_row_per_movement": Query(_q(W, first_row_per_movement), "SELECT movement_id, "
-            "first_container FROM (" + _ocean_rows_sql(W, """sf.movement_id,
-       csf.container_number AS first_container,
-       row_number() OVER (PARTITION BY sf.movement_id
-                          ORDER BY csf.container_number ASC NULLS LAST) AS rn""") + ") t WHERE rn = 1"),
-        "scoped_report": Query(_q(SCOPED, RP.spend_report), O.report_sql(SCOPED)),
-        "ship_mode": Query(_q(W, ship_modes), _w(W, """
-SELECT substring(internal_reference, 1, 1) AS prefix, ship_mode, count(*) AS n_lines
-FROM q_lines GROUP BY ALL""", *lines_only)),
-        "sanitise_text": Query(sanitise_text, _sanitise_sql()),
-        "lane": Query(_q(W, lanes), _w(W, """
-SELECT DISTINCT * FROM (SELECT 'import' AS leg, invoice_number AS id, lane FROM q_import
-UNION ALL SELECT 'export', ei_file_number, lane_exp FROM q_exp) t""", "import", "exp")),
-        "client_label": Query(client_labels, "WITH " + O.views_prelude() + """
-SELECT gci, gci || ' - ' || gci_name AS gci_and_billing_client_name FROM v_client_dimension"""),
-        "billing_amount_usd": Query(_q(W, billing_amount_usd), _w(W, """
-SELECT invoice_expeditor, invoice_expeditor_line, billing_amount, usd_average_exchange_rate,
-       CAST(billing_amount_usd AS DECIMAL(38,6)) AS billing_amount_usd FROM q_lines""", *lines_only)),
-        "calendar_labels": Query(_q(W, calendar_labels), _w(W, f"""
-SELECT invoice_month_number, {O.month_label_sql('invoice_date_time')} AS invoice_month2,
-       'Q' || CAST(extract(quarter FROM invoice_date) AS VARCHAR) AS invoice_quarter,
-       invoice_year, count(*) AS n_lines FROM q_lines GROUP BY ALL""", *lines_only)),
-        "leg_coalesce": Query(_q(W, _report_subset(LEG_COALESCE_COLS)),
-                              _report_subset_sql(W, LEG_COALESCE_COLS)),
-        "import_leg": Query(_q(W, I.import_leg), _w(W, "SELECT * FROM q_import", "import")),
-        "export_leg_base": Query(_q(W, X.export_leg_base), _w(W, "SELECT * FROM q_exp", "exp")),
-        "export_references": Query(_q(W, X.export_references), _w(W, "SELECT * FROM q_so", "so")),
-        "export_leg": Query(_q(W, X.export_leg), _w(W, "SELECT * FROM q_expo", "expo")),
-        "container_rollup": Query(
-            _q(W, lambda c: C.containers(c).select("ei_file_number", "containers", "container_count")),
-            _w(W, "SELECT ei_file_number, containers, container_count FROM q_containers", "containers")),
-        "container_size_rollup": Query(
-            _q(W, lambda c: C.containers(c).select("ei_file_number", "container_sizes")),
-            _w(W, "SELECT ei_file_number, container_sizes FROM q_containers", "containers")),
-        "containers": Query(_q(W, C.containers), _w(W, "SELECT * FROM q_containers", "containers")),
-        "lead_offsets": Query(_q(W, lead_offsets), _lead_offsets_sql(W)),
-        "running_count": Query(_q(W, running_count), "SELECT movement_id, container_count FROM (" +
-            _ocean_rows_sql(W, """sf.movement_id,
-       count(csf.container_number) OVER (PARTITION BY sf.movement_id
-             ORDER BY csf.container_number DESC NULLS LAST) AS container_count,
-       row_number() OVER (PARTITION BY sf.movement_id
-             ORDER BY csf.container_number ASC NULLS LAST) AS rn""") + ") t WHERE rn = 1"),
-        "optional_service_type": Query(_q(W, optional_service_type), "WITH " + O.views_prelude() + """
-SELECT isf.invoice_number, isf.service_type_key, st.service_type_code
-FROM v_import_shipment_fact isf
-LEFT JOIN v_service_type_dimension st ON isf.service_type_key = st.service_type_key"""),
-        "attach_legs": Query(_q(W, attach_legs_q), _w(W, """
-SELECT invoice_expeditor, invoice_expeditor_line, internal_reference, i_ei AS import_house_bill,
-       e_ei AS export_movement, e_po AS export_po FROM q_attached""", *ALL_PARTS)),
-        "attach_containers": Query(_q(W, attach_containers_q), _w(W, """
-SELECT invoice_expeditor, invoice_expeditor_line, hb AS house_bill, container_count, containers
-FROM q_attached""", *ALL_PARTS)),
-        "fanout_safe_amount": Query(_q(W, _report_subset(FANOUT_COLS)), _report_subset_sql(W, FANOUT_COLS)),
-        "house_bill_count": Query(_q(W, _report_subset(HB_COLS)), _report_subset_sql(W, HB_COLS)),
-        "leg_measures": Query(_q(W, _report_subset(MEASURE_COLS)), _report_subset_sql(W, MEASURE_COLS)),
-        "spend_report": Query(_q(W, RP.spend_report), O.report_sql(W)),
-        "spend_report_sorted": Query(_q(W, RP.spend_report_sorted), O.report_sql(W)),
-        "spend_report_port_country": Query(_q(PORT_VARIANT, RP.spend_report), O.report_sql(PORT_VARIANT)),
-        "scoped_report_single": Query(_q(SINGLE, RP.spend_report), O.report_sql(SINGLE)),
-    }
-
-
-ALL_PARTS = ("lines", "import", "expo", "containers", "attached")
-
+             "billing_master_client_number, invoice_date FROM lines")
 CHARGE_SQL = """
 SELECT charge_type, billing_code, count(*) AS n_lines,
        CAST(sum(billing_amount) AS DECIMAL(38,2)) AS billing_amount,
        CAST(sum(billing_amount_usd) AS DECIMAL(38,6)) AS billing_amount_usd
-FROM q_lines GROUP BY ALL"""
-
-
-def _lead_offsets_sql(p: ReportParams) -> str:
-    # lead(x, k) read at the first row is the (k+1)-th value of the ordering
-    chain = ",\n       ".join(
-        f"lead(csf.container_number, {k}, NULL) OVER (PARTITION BY sf.movement_id "
-        f"ORDER BY csf.container_number ASC NULLS LAST) AS l{k}" for k in range(K.ROLLUP_WIDTH))
-    cnt = ("count(*) OVER (PARTITION BY sf.movement_id) AS n")
-    inner = _ocean_rows_sql(p, f"""sf.movement_id, {chain}, {cnt},
-       row_number() OVER (PARTITION BY sf.movement_id
-                          ORDER BY csf.container_number ASC NULLS LAST) AS rn""")
-    unions = " UNION ALL ".join(
-        f"SELECT movement_id, {k} AS lead_offset, l{k} AS container_number FROM firsts WHERE n > {k}"
-        for k in range(K.ROLLUP_WIDTH))
-    return f"SELECT * FROM (WITH firsts AS (SELECT * FROM ({inner}) t WHERE rn = 1) {unions}) u"
-
-
-QUERIES: dict[str, Query] = _registry()
+FROM lines GROUP BY ALL"""
+
+
+def _views_sql() -> str:
+    return "\nUNION ALL ".join(f"SELECT '{n}' AS \"view\", count(*) AS n_rows FROM v_{n}" for n in VIEW_NAMES)
+
+
+def _texts_sql() -> str:
+    texts = " UNION ".join(["SELECT billing_line_description AS raw_text FROM v_customer_invoice_fact",
+                            *[f"SELECT {c} FROM v_client_dimension" for c in ("gci_name", "gci_addr_line1", "gci_city")]])
+    return (f"SELECT raw_text, {O.sanitised('raw_text')} AS sanitised_text, {O.unquoted('raw_text')} AS unquoted_text "
+            f"FROM ({texts})")
+
+
+def _subset_sql(cols: tuple[str, ...]) -> str:
+    return f"SELECT {', '.join((*RP.GROUP_KEYS, *cols))} FROM ({O.report_body()})"
+
+
+# query: (parameters, Spark side, statement, parts of the report that the statement reads)
+_TABLE: dict[str, tuple] = {
+    "scan_views": (WHOLE, scan_views, _views_sql()),
+    "role_dimensions": (WHOLE, role_dimensions, """
+SELECT invoice_number, shipper_name, consignee_name, origin_branch_code, destination_branch_code,
+       origin_port_code, destination_port_code FROM imports""", "imports"),
+    "invoice_lines": (WHOLE, L.invoice_lines, "SELECT * FROM lines", "lines"),
+    "client_scope_master": (MASTER_SCOPE, _scope_view, SCOPE_SQL, "lines"),
+    "client_scope_gci": (GCI_SCOPE, _scope_view, SCOPE_SQL, "lines"),
+    "date_scope": (DATE_SCOPE, _scope_view, SCOPE_SQL, "lines"),
+    "exclude_code_country": (WHOLE, exclude_code_country, """
+SELECT billing_code, billing_branch_country_code,
+       coalesce(billing_code || billing_branch_country_code <> '2125MX', false) AS kept, count(*) AS n_lines
+FROM all_lines GROUP BY ALL""", "all_lines"),
+    "charge_type": (WHOLE, spend_by_charge_type, CHARGE_SQL, "lines"),
+    "charge_type_merged": (PORT_VARIANT, spend_by_charge_type, CHARGE_SQL, "lines"),
+    "reference_pivot": (WHOLE, reference_pivot_q, """
+SELECT * EXCLUDE (ref_so) FROM refs
+WHERE invoice_no IN (SELECT invoice_no FROM v_reference WHERE reference_type <> 'SO')""", "refs"),
+    "import_milestones": (WHOLE, import_milestones,
+                          f"SELECT invoice_no, {O.times(O.IMPORT_TIMES)} FROM import_events", "import_events"),
+    "export_edi_events": (WHOLE, export_edi_events,
+                          f"SELECT invoice_no, {O.times(O.EXPORT_EVENTS)} FROM export_events", "export_events"),
+    "ocean_movements": (WHOLE, C.ocean_movements, "SELECT movement_id FROM ocean", "ocean"),
+    "left_join_filtered_right": (WHOLE, left_join_filtered_right, """
+SELECT invoice_number, coalesce(sum(n), 0)::BIGINT AS n_refs
+FROM (SELECT DISTINCT invoice_number FROM v_import_shipment_fact) s
+LEFT JOIN (SELECT invoice_no, count(*) AS n FROM v_reference WHERE reference_type <> 'SO' GROUP BY invoice_no) r
+       ON invoice_no = invoice_number
+GROUP BY invoice_number"""),
+    "f2f_flag": (WHOLE, f2f_flags, """
+SELECT billing_line_description, billing_client_usage_distinction_type, f2f_flag, count(*) AS n_lines
+FROM lines GROUP BY ALL""", "lines"),
+    "we_move_flag": (WHOLE, we_move_flags, """
+SELECT 'import' AS leg, invoice_number AS id, we_move FROM import_leg
+UNION ALL SELECT 'export', so_ei_file_number, we_move FROM movement_refs""", *LEGS[:2]),
+    "bill_to_flag": (WHOLE, bill_to_flags, """
+SELECT f2f_flag, billing_client_usage_distinction_type, bill_to_customer_flag AS bill_to_line,
+       if(f2f_flag = 'Y' AND billing_client_usage_distinction_type IS DISTINCT FROM 'F2FC', 'N', 'Y') AS bill_to_final,
+       count(*) AS n_lines FROM lines GROUP BY ALL""", "lines"),
+    "first_row_per_movement": (WHOLE, first_row_per_movement, """
+SELECT movement_id, min(container_number) AS first_container FROM ocean_containers GROUP BY movement_id""",
+                               "ocean_containers"),
+    "ship_mode": (WHOLE, ship_modes, """
+SELECT internal_reference[1] AS prefix, ship_mode, count(*) AS n_lines FROM lines GROUP BY ALL""", "lines"),
+    "sanitise_text": (WHOLE, sanitise_text, _texts_sql()),
+    "lane": (WHOLE, lanes, """
+SELECT 'import' AS leg, invoice_number AS id, lane FROM import_leg
+UNION SELECT 'export', ei_file_number, lane_exp FROM export_base""", *LEGS),
+    "client_label": (WHOLE, client_labels, """
+SELECT gci, gci || ' - ' || gci_name AS gci_and_billing_client_name FROM v_client_dimension"""),
+    "billing_amount_usd": (WHOLE, billing_amount_usd, """
+SELECT invoice_expeditor, invoice_expeditor_line, billing_amount, usd_average_exchange_rate,
+       CAST(billing_amount_usd AS DECIMAL(38,6)) AS billing_amount_usd FROM lines""", "lines"),
+    "calendar_labels": (WHOLE, calendar_labels, f"""
+SELECT invoice_month_number, {O.month_label('invoice_date_time')} AS invoice_month2,
+       {O.quarter_label('invoice_date')} AS invoice_quarter, invoice_year, count(*) AS n_lines
+FROM lines GROUP BY ALL""", "lines"),
+    "import_leg": (WHOLE, I.import_leg, "SELECT * FROM import_leg", "import_leg"),
+    "export_leg_base": (WHOLE, X.export_leg_base, "SELECT * FROM export_base", "export_base"),
+    "export_references": (WHOLE, X.export_references, "SELECT * FROM movement_refs", "movement_refs"),
+    "export_leg": (WHOLE, X.export_leg, "SELECT * FROM export_leg", "export_leg"),
+    "container_rollup": (WHOLE, lambda c: C.containers(c).select("ei_file_number", "containers", "container_count"),
+                         "SELECT * EXCLUDE (container_sizes) FROM container_lists", "container_lists"),
+    "container_size_rollup": (WHOLE, lambda c: C.containers(c).select("ei_file_number", "container_sizes"),
+                              "SELECT ei_file_number, container_sizes FROM container_lists", "container_lists"),
+    "containers": (WHOLE, C.containers, "SELECT * FROM container_lists", "container_lists"),
+    "lead_offsets": (WHOLE, lead_offsets, f"""
+SELECT movement_id, unnest(range(len(kept))) AS lead_offset, unnest(kept) AS container_number
+FROM (SELECT movement_id, list_sort(list(container_number), 'ASC', 'NULLS LAST')[1:{O.LISTED}] AS kept
+      FROM ocean_containers GROUP BY movement_id)""", "ocean_containers"),
+    "running_count": (WHOLE, running_count, """
+SELECT movement_id, count(container_number) AS container_count FROM ocean_containers GROUP BY movement_id""",
+                      "ocean_containers"),
+    "optional_service_type": (WHOLE, optional_service_type, """
+SELECT invoice_number, s.service_type_key, service_type_code
+FROM v_import_shipment_fact s LEFT JOIN v_service_type_dimension USING (service_type_key)"""),
+    "attach_legs": (WHOLE, attach_legs_q, """
+SELECT q.invoice_expeditor, q.invoice_expeditor_line, q.internal_reference, i.ei_file_number AS import_house_bill,
+       e.ei_file_number AS export_movement, e.po_bueno AS export_po FROM attached""", "attached"),
+    "attach_containers": (WHOLE, attach_containers_q, """
+SELECT q.invoice_expeditor, q.invoice_expeditor_line, hb AS house_bill, c.container_count, c.containers
+FROM attached""", "attached"),
+    "leg_coalesce": (WHOLE, _report_subset(LEG_COALESCE_COLS), _subset_sql(LEG_COALESCE_COLS), "attached"),
+    "fanout_safe_amount": (WHOLE, _report_subset(FANOUT_COLS), _subset_sql(FANOUT_COLS), "attached"),
+    "house_bill_count": (WHOLE, _report_subset(HB_COLS), _subset_sql(HB_COLS), "attached"),
+    "leg_measures": (WHOLE, _report_subset(MEASURE_COLS), _subset_sql(MEASURE_COLS), "attached"),
+    "spend_report": (WHOLE, RP.spend_report, O.report_body(), "attached"),
+    "spend_report_sorted": (WHOLE, RP.spend_report_sorted, O.report_body(), "attached"),
+    "spend_report_port_country": (PORT_VARIANT, RP.spend_report, O.report_body(), "attached"),
+    "scoped_report": (SCOPED, RP.spend_report, O.report_body(), "attached"),
+    "scoped_report_single": (SINGLE, RP.spend_report, O.report_body(), "attached"),
+}
+
+QUERIES: dict[str, Query] = {
+    name: Query(_q(p, build), O.statement(p, body, *needed)) for name, (p, build, body, *needed) in _TABLE.items()
+}

@@ -1,14 +1,12 @@
 """Spark session settings for the report.
 
 On a cluster the session comes from the platform; :func:`tune` only sets what
-the report relies on (AQE with skew-join splitting, UTC) and never overrides a
-checkpoint directory the cluster already names.
+the report relies on (AQE with skew-join splitting, UTC).
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -33,26 +31,6 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder the cluster names in
-    ``spark.checkpoint.dir``; only when it is unset (local tests) a folder of
-    our own is registered."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        try:
-            configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-        except Exception:  # Spark Connect: the session conf is all there is
-            configured = None
-    if not configured:
-        configured = os.path.join(tempfile.gettempdir(), "spendlane-checkpoint")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    try:
-        spark.sparkContext.setCheckpointDir(configured)
-    except Exception:
-        pass
-    return configured
-
-
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "spendlane") -> SparkSession:
     """A local session for tests and the bench (UI off, AQE on, UTC)."""

@@ -14,35 +14,5 @@ BASE_TABLES = (
 )
 
 
-def table_path(base_dir: str, name: str) -> str:
-    return f"{base_dir.rstrip('/')}/{name}.parquet"
-
-
-# Fact-sized tables: the ones whose scans feed the wide pipelines.
-FACT_TABLES = ("lineitem", "orders", "events")
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that arrives in fewer files than the cluster has
-    cores (a row group cannot be split, so one file is one busy task).
-
-    On a cluster a fact table comes in thousands of files and this is a no-op;
-    column pruning and pushed filters still reach the scan below the exchange.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-    except Exception:  # no SparkContext on a Spark Connect session: leave as read
-        return df
-    if len(df.inputFiles()) >= cores:
-        return df
-    return df.repartition(cores)
-
-
 def read_table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(table_path(base_dir, name))
-    return spread(df) if name in FACT_TABLES else df
-
-
-def read_tables(spark: SparkSession, base_dir: str,
-                names: tuple[str, ...] = BASE_TABLES) -> dict[str, DataFrame]:
-    return {n: read_table(spark, base_dir, n) for n in names}
+    return spark.read.parquet(f"{base_dir.rstrip('/')}/{name}.parquet")

@@ -4,8 +4,7 @@ The report reads facts, conformed dimensions and master data from a warehouse.
 Here each of those views is a lazy DataFrame derived from the TPC-H-style base
 tables by a fixed, deterministic rule (documented in FIXTURES.md), so the
 whole report runs on, and grows with, the given tables.  On a real deployment
-the same names would simply be ``spark.table(...)`` reads; nothing downstream
-depends on how a view is produced.
+the views are read by name (:class:`spendlane.sources.named.TableViews`).
 
 Each view is built once per :class:`Views` object and reused, so a view read by
 two legs of the report is the same logical plan and Spark can reuse its
@@ -70,6 +69,10 @@ def _unless(cond: Column, value: Column) -> Column:
     return F.when(cond, F.lit(None)).otherwise(value)
 
 
+def _shipment_key() -> Column:
+    return F.when(F.col("_copy") == 1, -F.col("o_orderkey")).otherwise(F.col("o_orderkey"))
+
+
 def _container_type_key(p_type: Column) -> Column:
     return (F.when(p_type == "ECONOMY", 1).when(p_type == "LARGE", 2)
             .when(p_type == "MEDIUM", 3).when(p_type == "PROMO", 4)
@@ -91,9 +94,6 @@ class Views:
             raise KeyError(name)
         return getattr(self, name)
 
-    def as_dict(self) -> dict[str, DataFrame]:
-        return {n: self.get(n) for n in VIEW_NAMES}
-
     # ---------------------------------------------------------------- facts
     @cached_property
     def customer_invoice_fact(self) -> DataFrame:
@@ -128,6 +128,12 @@ class Views:
         o = self._t("orders")
         return o.filter((F.col("o_orderkey") % 10).isin(*digits))
 
+    def _shipments(self) -> DataFrame:
+        """Export orders, one row a shipment: orders whose key ends in 4, 24, 44, 64
+        or 84 are moved in two shipments that share their movement id."""
+        copies = F.when(F.col("o_orderkey") % 20 == 4, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+        return self._orders_in(EXPORT_DIGITS).withColumn("_copy", F.explode(copies))
+
     def _shipment_columns(self) -> list[Column]:
         ok, ck = F.col("o_orderkey"), F.col("o_custkey")
         return [
@@ -175,8 +181,8 @@ class Views:
         ok, ck = F.col("o_orderkey"), F.col("o_custkey")
         (b_orig, b_dest, p_orig, p_dest, sl, st, wch, wact, vol, pieces, haz) = \
             self._shipment_columns()
-        return self._orders_in(EXPORT_DIGITS).select(
-            ok.alias("shipment_fact_key"),
+        return self._shipments().select(
+            _shipment_key().alias("shipment_fact_key"),
             F.concat(F.lit("MV"), ok.cast("string")).alias("movement_id"),
             ck.alias("outbound_revenue_customer_key"),
             F.floor(ck / 2).cast("bigint").alias("outbound_shipper_key"),
@@ -191,15 +197,15 @@ class Views:
             wch.alias("weight_chargeable"),
             wact.alias("weight_actual"),
             vol.alias("volume"),
-            pieces.alias("pieces"),
+            (pieces + F.col("_copy")).alias("pieces"),
             haz.alias("hazard_flag_yn"),
         )
 
     @cached_property
     def shipment_fact_events_timeline(self) -> DataFrame:
         ok, d = F.col("o_orderkey"), F.col("o_orderdate")
-        return self._orders_in(EXPORT_DIGITS).select(
-            ok.alias("shipment_fact_key"),
+        return self._shipments().select(
+            _shipment_key().alias("shipment_fact_key"),
             _unless(ok % 4 == 0, _days_after(d, 3)).alias("cob_event_time_first"),
             _unless(ok % 8 == 0, _days_after(d, 2)).alias("cob_event_time_earliest"),
             _unless(ok % 5 == 0, _days_after(d, 1)).alias("frt_event_time_first"),
@@ -352,14 +358,14 @@ class Views:
 
     @cached_property
     def currency_exchange_dimension(self) -> DataFrame:
-        # one rate per calendar month and currency: both sides are bounded
-        # (months of the calendar x the handful of currencies), so the product
-        # is a small dimension whatever the size of the facts
+        # a rate for every month and currency, whether or not a line uses it; the
+        # currencies are the keys 0 to 4 of the regions there are
         d = F.col("o_orderdate")
         months = self._t("orders").select(
             _month_key(d).alias("date_month_key"), F.month(d).alias("_m")).distinct()
-        currencies = F.broadcast(self._t("region").select(F.col("r_regionkey").alias("currency_key")))
-        return months.crossJoin(currencies).select(
+        currencies = self._t("region").select(F.col("r_regionkey").alias("currency_key"))
+        grid = months.withColumn("currency_key", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(4).cast("bigint"))))
+        return grid.join(currencies, "currency_key").select(
             "date_month_key", "currency_key",
             (F.lit(1) + F.col("currency_key") * F.lit(0.25).cast("decimal(3,2)")
              + F.col("_m") * F.lit(0.01).cast("decimal(3,2)")).cast(DEC_RATE)
@@ -410,8 +416,3 @@ class Views:
             (F.when(rk == 0, "Truck").when(rk == 1, "Air").when(rk == 2, "Ocean")
              .when(rk == 3, "Distribution").otherwise("Other")).alias("ship_mode_desc"),
         )
-
-
-def load_views(spark: SparkSession, base_dir: str) -> dict[str, DataFrame]:
-    """All 21 views as a ``name -> DataFrame`` registry (nothing is read yet)."""
-    return Views(spark, base_dir).as_dict()

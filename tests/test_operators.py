@@ -4,9 +4,9 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from spendlane.operators.joins import fits_broadcast, left_join_filtered, role
+from spendlane.operators.joins import left_join_filtered, role
 from spendlane.operators.pivots import event_extremes, max_code_milestones, reference_pivot
-from spendlane.operators.rollup import first_n_rows, ordered_rollup, running_count_at_first
+from spendlane.operators.rollup import first_n_rows, ordered_rollup, repeated_rollup, running_count_at_first
 from spendlane.operators.scope import keep_code_country
 
 
@@ -82,6 +82,9 @@ def test_role_prefixes_columns(spark):
     assert role(dim, "branch_key", "bo_", ["branch_code"]).columns == ["bo_key", "bo_branch_code"]
 
 
-def test_fits_broadcast_counts_at_most_bound(spark):
-    df = spark.range(10)
-    assert fits_broadcast(df, 10) and not fits_broadcast(df, 9)
+def test_repeated_rollup_repeats_before_the_cut(spark):
+    df = spark.createDataFrame([(["A", "B"], 2), (["A", "B"], 40), ([f"c{i:02d}" for i in range(31)], 3), ([], 2)],
+                               "v array<string>, m long")
+    out = [r[0] for r in df.select(repeated_rollup(F.col("v"), F.col("m"))).collect()]
+    assert out[0] == "A|A|B|B" and out[1] == "|".join("A" * 31) and out[3] == ""
+    assert out[2] == "|".join(f"c{i // 3:02d}" for i in range(31))

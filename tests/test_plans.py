@@ -2,13 +2,14 @@
 
 import contextlib
 import io
+import os
 
 import pytest
 
 from spendlane.plans import containers as C
 from spendlane.plans import report as RP
 from spendlane.plans.context import ReportContext
-from spendlane.registry import WHOLE
+from spendlane.registry import MASTER_SCOPE, QUERIES, WHOLE
 
 
 def _plan(df) -> str:
@@ -18,6 +19,15 @@ def _plan(df) -> str:
     return buf.getvalue()
 
 
+def _executed(df) -> str:
+    """The final adaptive plan, after a run."""
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in text
+    return text.split("== Initial Plan ==")[0]
+
+
 @pytest.fixture(scope="module")
 def ctx(spark, sf_dir):
     return ReportContext.from_dir(spark, sf_dir, WHOLE)
@@ -34,11 +44,43 @@ def test_container_rollup_is_limited_before_its_shuffle(ctx):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
-def test_line_scans_prune_columns(ctx):
+def test_client_filter_reaches_the_scan_of_a_named_view(spark, sf_dir, tmp_path):
     from spendlane.plans import lines as L
-    plan = _plan(L.invoice_lines(ctx))
-    scans = [l for l in plan.splitlines() if "FileScan" in l and "client_dimension" in l]
+    from spendlane.sources.named import write_views
+    from spendlane.sources.views import Views
+
+    views = write_views(Views(spark, sf_dir), str(tmp_path / "views"))
+    plan = _plan(L.invoice_lines(ReportContext(views, MASTER_SCOPE)))
+    scans = [line for line in plan.splitlines() if "FileScan" in line and "client_dimension" in line]
     assert scans
     # the lines read client names and segments, never the party addresses
-    assert all("gci_addr_line1" not in l and "gci_city" not in l for l in scans)
-    assert all("PushedFilters: [In(master_client_number" in l for l in scans)
+    assert all("gci_addr_line1" not in line and "gci_city" not in line for line in scans)
+    assert any("PushedFilters: [In(master_client_number" in line for line in scans)
+
+
+def test_tall_tables_are_reduced_once(spark, sf_dir, tmp_path):
+    """References and events are scanned once by a report that uses them in two legs."""
+    from spendlane.sources.named import write_views
+    from spendlane.sources.views import Views
+
+    views = write_views(Views(spark, sf_dir), str(tmp_path / "views"))
+    plan = _executed(RP.spend_report(ReportContext(views, WHOLE)))
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    for view in ("/reference]", "/event]"):
+        assert sum(view in line for line in scans) == 1, view
+
+
+def test_building_a_query_runs_no_job_and_writes_nothing(spark, sf_dir, tmp_path, monkeypatch):
+    monkeypatch.chdir(tmp_path)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "queries")
+    try:
+        for q in QUERIES.values():
+            q.build(spark, sf_dir)
+        jobs = tracker.getJobIdsForGroup("building")
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    # Spark reads the footer of a parquet file in a job of its own; nothing else runs
+    stages = [s for j in jobs for s in tracker.getJobInfo(j).stageIds]
+    assert all(tracker.getStageInfo(s).numTasks == 1 for s in stages if tracker.getStageInfo(s))
+    assert os.listdir(tmp_path) == []

@@ -79,3 +79,59 @@ def test_lane_and_label_propagate_null(spark):
 
 def test_we_move(spark):
     assert _eval(spark, [("R1",), (None,)], "ic string", R.we_move("ic")) == ["Y", "N"]
+
+
+EVERY_CODE = {
+    "Freight": ["2102", "2123", "2130", "4000", "4001", "4002", "4004", "4030", "4402", "4408", "4421", "4422", "4469",
+                "4506", "4701", "4709", "AMSA", "P/UT"],
+    "Duty": ["2101"],
+    "Customs": ["0201", "0701", "2100", "4003", "4592"],
+    "Delivery": ["0130", "0131", "2106", "4401", "4403", "4423", "4429", "4480", "V093"],
+    "Destination Charges": ["2115", "4007", "4024", "4597", "4643", "4645", "V163", "V192", "V197"],
+    "Origin Fees": ["2118", "4018", "4031", "4083", "4087", "4461", "4462", "4463", "4703", "4708", "4754", "V196"],
+    "Other": ["2190", "4590", "V098", "Z408"],
+}
+
+
+def test_every_charge_code(spark):
+    rows = [(c, None) for codes in EVERY_CODE.values() for c in codes]
+    assert len(rows) == 58
+    kinds = [k for k, codes in EVERY_CODE.items() for _ in codes]
+    schema = "code string, descr string"
+    assert _eval(spark, rows, schema, R.charge_type("code", "descr")) == kinds
+    merged = ["Destination & Delivery Charges" if k in ("Delivery", "Destination Charges") else k for k in kinds]
+    assert _eval(spark, rows, schema, R.charge_type("code", "descr", merged=True)) == merged
+
+
+def test_every_milestone_code(spark):
+    """Alone on an invoice, a code sets its own milestone and no other."""
+    from spendlane.functions import constants as K
+    from spendlane.operators.pivots import event_extremes, max_code_milestones
+
+    joined = {"import": ("FRT", "ADU", "COB", "FND", "ADD", "AFD", "DLV", "BKD", "EDA", "EDI", "EDE", "EDS"),
+              "export": ("EDI", "EDA", "EDS")}
+    shown = {"import": ("FRT", "POD", "ADU", "FND", "ADD", "AFD", "DLV", "COB", "BKD", "EDA", "EDI", "EDS"),
+             "export": ("EDA", "EDI", "EDS")}
+    sides = {"import": (K.IMPORT_EVENT_CODES, K.IMPORT_MILESTONES, True), "export": (K.EXPORT_EVENT_CODES, K.EXPORT_MILESTONES, False)}
+    at = dt.datetime(2020, 5, 6)
+    every = sorted({*joined["import"], "POD", "XXX"})
+    for side, (codes, milestones, live) in sides.items():
+        rows = [(c, c, at, d) for c in every for d in "NY"] if not live else [(c, c, at, "N") for c in every] + [("gone", "FRT", at, "Y")]
+        events = spark.createDataFrame(rows, "invoice_no string, event_code string, event_time timestamp_ntz, deleted_yn string")
+        out = max_code_milestones(event_extremes(events, "invoice_no", codes, live), "invoice_no", milestones).collect()
+        assert {r.invoice_no for r in out} == set(joined[side])
+        for r in out:
+            assert {m for m in shown[side] if r[m.lower()] is not None} == {r.invoice_no} & set(shown[side])
+            assert set(r.asDict()) == {"invoice_no", *[m.lower() for m in shown[side]]}
+
+
+def test_published_names():
+    from spendlane.functions.published import PUBLISHED_NAMES
+    from spendlane.plans.report import REPORT_COLUMNS
+
+    assert list(PUBLISHED_NAMES) == REPORT_COLUMNS and len(set(PUBLISHED_NAMES.values())) == 76
+    names = list(PUBLISHED_NAMES.values())
+    assert names[:7] == ["Invoice Date Time", "INVOICE EXPEDITOR", "INVOICE EXPEDITOR LINE", "Billing Line Description",
+                         "Internal Reference", "Billing Code", "Invoice Date"]
+    assert names[52:55] == ["Month", "QUARTER", "YEAR"] and names[-5:] == [
+        "QTY", "EN Reference", "CI Reference", "MB Reference", "DP Reference"]
