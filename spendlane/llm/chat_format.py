@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spendlane.llm.common import bounded_batches
+
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
 CHUNK_CHARS = 1 << 20
 RENDERED = re.compile(r"<\|turn\|>(.*?)<\|text\|>(.*?)<\|end\|>", re.DOTALL)
@@ -94,6 +96,7 @@ def format_conversations(conversations: DataFrame, tokenizer_path: str) -> DataF
     """Chunks of formatted conversations: conv_id, part and chunk (their order),
     formatted, ids (uint32), starts and ends (int32 offsets in code points) and loss
     (uint8) per token.  All but very long conversations are one or two chunks."""
+    bounded_batches(conversations.sparkSession)
     rows = conversations.select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
         F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"),

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendlane.llm.common import id_remainder, per_batch, written
+from spendlane.llm.common import bounded_batches, id_remainder, per_batch, written
 
 VOCABULARY = 2000
 CLASSES = 64
@@ -242,6 +242,7 @@ def learn(texts: DataFrame, vocabulary: int = VOCABULARY, classes: int = CLASSES
     """(word counts as a written table, ClassModel, N, V, {word: n} of the most
     frequent words) of ``texts``."""
     spark = texts.sparkSession
+    bounded_batches(spark)
     counts = written(word_counts(texts), "word_counts")
     n_all, v_all = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     frequent = counts.orderBy(F.desc("n"), "word").limit(max(TABLE_WORDS, vocabulary + 1)).toArrow().to_pandas()

@@ -14,6 +14,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Rows reach the Python tasks in Arrow batches of a bounded size: texts are
+    long, and Spark's own bound counts rows.  Set for the session by every operator
+    that runs Python over texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+
+
 def doc_texts(docs: DataFrame) -> DataFrame:
     """``doc_id`` and ``text`` only, so extra columns can clash with nothing;
     a null text is the empty text."""

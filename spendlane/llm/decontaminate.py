@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendlane.llm.common import doc_texts
+from spendlane.llm.common import bounded_batches, doc_texts
 from spendlane.llm.pretokens import WordCache
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -132,6 +132,7 @@ class DocumentMatcher:
 
 def item_blocks(items: DataFrame, words: int, threshold: float) -> list:
     """Broadcasts of the item index, each of bounded size."""
+    bounded_batches(items.sparkSession)
     rows = items.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-int(total) // BLOCK_BYTES))

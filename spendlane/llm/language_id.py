@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendlane.llm.common import id_remainder, per_batch
+from spendlane.llm.common import bounded_batches, id_remainder, per_batch
 
 ORDER = 5
 TRAIN_ROWS = 1500  # of a language, about: the bound of the training sample
@@ -201,6 +201,7 @@ def training_sample(rows: DataFrame, per_language: int = TRAIN_ROWS) -> DataFram
 def learn(rows: DataFrame, per_language: int = TRAIN_ROWS) -> tuple[list[str], list[KneserNey], float]:
     """(language names, their models, cross-entropy above which a text is rejected)
     from the rows' doc_id, text and lang."""
+    bounded_batches(rows.sparkSession)
     sample = training_sample(rows, per_language)
     table = gram_counts(sample.where(~F.col("calibrate"))).toArrow().to_pandas()
     langs = sorted(table["lang"].unique())
@@ -228,6 +229,7 @@ def learn(rows: DataFrame, per_language: int = TRAIN_ROWS) -> tuple[list[str], l
 
 def predict(docs: DataFrame, langs: list[str], models: list[KneserNey], limit: float) -> DataFrame:
     """doc_id, lang_pred, score, cross_entropy (bits a character), rejected per row."""
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(models)  # bounded by the training sample
     schema = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64()),
                         ("cross_entropy", pa.float64()), ("rejected", pa.bool_())])

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendlane.llm.common import id_remainder, utf8_buffers
+from spendlane.llm.common import bounded_batches, id_remainder, utf8_buffers
 
 TRAIN_ROWS = 4000
 TRAIN_LINES = 2000
@@ -42,7 +42,7 @@ _CLASS[[9, 13, 32]] = 3
 _CLASS[[ord("."), ord(",")]] = 4
 KINDS = 8
 FEATURES = KINDS + 9
-PIECE = 1 << 22  # bytes looked at together
+PIECE = 1 << 20  # bytes looked at together
 
 
 def _lines(raw: np.ndarray, offsets: np.ndarray):
@@ -203,6 +203,7 @@ def pieces(column):
 def learn(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> LineField | None:
     """The field learnt from the rows of ``docs`` (doc_id, text) with a quality of 0
     or 1 in ``labels``; None if there are none of either."""
+    bounded_batches(docs.sparkSession)
     own = labels.where(F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.max("quality").cast("int").alias("quality"))
     known = docs.select("doc_id", "text").join(own, "doc_id")
     lines = F.length("text") - F.length(F.replace("text", F.lit("\n"))) + 1
@@ -245,6 +246,7 @@ def batch_scores(model: LineField | None, column) -> np.ndarray:
 
 def score(docs: DataFrame, model: LineField | None) -> DataFrame:
     """doc_id, score, predicted (1 if the score is at least 0.5) per row."""
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a few hundred numbers
 
     def run(batches):
@@ -268,6 +270,7 @@ def classify(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int = 1)
 
 def accepted(docs: DataFrame, model: LineField | None) -> DataFrame:
     """The rows of ``docs`` that the field predicts to be good, all columns as they are."""
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):

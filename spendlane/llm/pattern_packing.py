@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendlane.llm.common import doc_texts, written
+from spendlane.llm.common import bounded_batches, doc_texts, written
 from spendlane.llm.pretokens import OUTSIDE, PIECES, WordCache, byte_alphabet, split_specials
 
 DEPTH = 3
@@ -234,6 +234,7 @@ def slots(packing: list[tuple[tuple[int, ...], int]], size: int):
 def pack(docs: DataFrame, tokenizer_path: str, size: int = 1024, end_id: int = 2) -> DataFrame:
     """doc_id, piece, start, length, ids (binary), sequence_id, offset per piece."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     cuts = written(pieces(docs, tokenizer_path, size, end_id), "pieces")
     counts = cuts.groupBy("part", "length").agg((F.max("rank") + 1).alias("n"))
     earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendlane.llm.common import doc_texts, per_batch, shuffle_partitions, written
+from spendlane.llm.common import bounded_batches, doc_texts, per_batch, shuffle_partitions, written
 from spendlane.llm.components import connected_components
 
 PIVOTS = 32
@@ -71,6 +71,7 @@ def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
 
         return one
 
+    bounded_batches(docs.sparkSession)
     schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
     return doc_texts(docs).mapInArrow(per_batch(make, schema), "doc_id long, fp long")
 

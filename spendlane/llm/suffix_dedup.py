@@ -37,14 +37,13 @@ from each other.  A null id is the smallest.  An empty table gives an empty one.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spendlane.llm.common import shuffle_partitions, utf8_buffers
+from spendlane.llm.common import bounded_batches, shuffle_partitions, utf8_buffers
 
 MIN_BYTES = 50
 K = 16  # bytes of an anchor
@@ -424,74 +423,69 @@ class _Passes:
         return tbl, raw, offsets, r[begin], a[begin], np.maximum.reduceat(b, begin)
 
 
-def deduplicate(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
+def whole_characters(raw: np.ndarray, start: np.ndarray, end: np.ndarray, offsets_end: np.ndarray):
+    """Spans shrunk to whole characters; ``offsets_end`` is where each one's document ends."""
+    padded = np.concatenate((raw, np.zeros(1, np.uint8)))
+    inside = lambda at: padded[at] & 0xC0 == 0x80
+    for _ in range(3):  # a character has at most three bytes after its first
+        start = start + (inside(start) & (start < end))
+        end = end - (inside(end) & (end < offsets_end) & (end > start))
+    return start, end
+
+
+def deduplicate(docs: DataFrame, min_bytes: int = MIN_BYTES, characters: bool = False) -> DataFrame:
     """The columns of ``docs`` (text as given, null as empty) with ``KEPT`` (binary:
     the bytes that stay) and ``SPANS`` (sorted structs start, end: the maximal runs
-    that go) per row."""
+    that go) per row.  With ``characters`` the runs are shrunk to whole characters
+    and ``KEPT`` is a string."""
+    bounded_batches(docs.sparkSession)
     parts = shuffle_partitions(docs.sparkSession)
     steps = _Passes(min_bytes, 4 * parts)
     texts = _by_part(docs, parts)  # one exchange, reused by the three passes over the texts
 
     anchors = texts.groupBy("part").applyInArrow(lambda t: steps.anchors(t), _ddl(steps.anchor_rows))
     shared = anchors.groupBy("bucket").applyInArrow(lambda t: steps.shared(t), _ddl(steps.shared_rows))
-    windows = texts.groupBy("part").cogroup(shared.groupBy("part")).applyInArrow(lambda t, s: steps.windows(t, s), _ddl(steps.window_rows))
+    windows = texts.groupBy("part").cogroup(shared.groupBy("part")).applyInArrow(
+        lambda t, s: steps.windows(t, s), _ddl(steps.window_rows))
     groups = windows.groupBy("kind", "target").applyInArrow(lambda t: steps.groups(t), _ddl(steps.group_rows))
 
-    schema = texts.drop("part").schema
-    out = T.StructType([*schema.fields, T.StructField("kept", T.BinaryType()),
-                        T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])))])
+    kept_type, kept_arrow = (T.StringType(), pa.string()) if characters else (T.BinaryType(), pa.binary())
+    span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
+    fields = [f for f in texts.schema.fields if f.name != "part" and not (characters and f.name == "text")]
+    out = T.StructType([*fields, T.StructField("kept", kept_type), T.StructField("spans", T.ArrayType(span))])
+    left_out = ["part", "text"] if characters else ["part"]
 
     def cut(tbl: pa.Table, hits: pa.Table) -> pa.Table:
         if not tbl.num_rows:
-            empty = tbl.drop_columns(["part"])
             span_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            return empty.append_column("kept", pa.array([], pa.binary())).append_column("spans", pa.array([], span_type))
+            empty = tbl.drop_columns(left_out).append_column("kept", pa.array([], kept_arrow))
+            return empty.append_column("spans", pa.array([], span_type))
         tbl, raw, offsets, row, a, b = steps.spans(tbl, hits)
+        if characters:
+            a, b = whole_characters(raw, a, b, offsets[row + 1])
         stays = np.ones(len(raw), bool)
         for s, e in zip(a.tolist(), b.tolist(), strict=True):
             stays[s:e] = False
         gone = np.bincount(row, b - a, len(offsets) - 1).astype(np.int64)
         new = np.concatenate(([0], np.cumsum(np.diff(offsets) - gone)))
-        kept = pa.Array.from_buffers(
-            pa.large_binary(), len(new) - 1, [None, pa.py_buffer(new.astype(np.int64)), pa.py_buffer(raw[int(offsets[0]):int(offsets[-1])][stays[int(offsets[0]):int(offsets[-1])]].tobytes())]
-        ).cast(pa.binary())
+        lo, hi = int(offsets[0]), int(offsets[-1])
+        buffers = [None, pa.py_buffer(new.astype(np.int64)), pa.py_buffer(raw[lo:hi][stays[lo:hi]])]
+        kept = pa.Array.from_buffers(pa.large_binary(), len(new) - 1, buffers).cast(pa.binary()).cast(kept_arrow)
         counts = np.bincount(row, minlength=len(offsets) - 1)
-        span = pa.StructArray.from_arrays([pa.array(a - offsets[row]), pa.array(b - offsets[row])], ["start", "end"])
-        spans = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32()), span)
-        return tbl.drop_columns(["part"]).append_column("kept", kept).append_column("spans", spans)
+        runs = pa.StructArray.from_arrays([pa.array(a - offsets[row]), pa.array(b - offsets[row])], ["start", "end"])
+        spans = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32()), runs)
+        return tbl.drop_columns(left_out).append_column("kept", kept).append_column("spans", spans)
 
     done = texts.groupBy("part").cogroup(groups.groupBy("part")).applyInArrow(cut, out)
-    named = [F.col("doc_id"), F.col("text"), *[F.col(f"others.`{c}`") for c in docs.columns if c not in ("doc_id", "text")]]
-    order = {c: i for i, c in enumerate(docs.columns)}
-    named = sorted(zip(["doc_id", "text", *[c for c in docs.columns if c not in ("doc_id", "text")]], named), key=lambda x: order[x[0]])
-    return done.select(*[c for _, c in named], F.col("kept").alias(KEPT), F.col("spans").alias(SPANS))
-
-
-def kept_text(text: str, spans: list) -> str:
-    """``text`` without ``spans`` (start, end in bytes), each shrunk to whole
-    characters."""
-    raw, at, out = text.encode(), 0, []
-    for start, end in spans:
-        while start < end and raw[start] & 0xC0 == 0x80:
-            start += 1
-        while end > start and end < len(raw) and raw[end] & 0xC0 == 0x80:
-            end -= 1
-        out.append(raw[at:start])
-        at = end
-    return b"".join([*out, raw[at:]]).decode()
+    named = {c: F.col(f"others.`{c}`") for c in docs.columns}
+    named |= {"doc_id": F.col("doc_id"), "text": F.col("kept" if characters else "text").alias("text")}
+    return done.select(*[named[c] for c in docs.columns], F.col("kept").alias(KEPT), F.col("spans").alias(SPANS))
 
 
 def without_repeats(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     """``docs`` with what repeats removed from text, by whole characters, and n_chars
     (where it is) counted anew; all rows and other columns as they are."""
-    done = deduplicate(docs, min_bytes)
-
-    @F.pandas_udf("string")
-    def cut(text: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
-        return pd.Series([kept_text(t, list(zip(a, b, strict=True))) for t, a, b in zip(text, starts, ends, strict=True)])
-
-    new = cut("text", F.col(f"{SPANS}.start"), F.col(f"{SPANS}.end"))
-    rows = done.withColumn("text", F.when(F.size(SPANS) > 0, new).otherwise(F.col("text"))).drop(KEPT, SPANS)
+    rows = deduplicate(docs, min_bytes, characters=True).drop(KEPT, SPANS)
     kinds = dict(docs.dtypes)
     if "n_chars" in kinds:
         rows = rows.withColumn("n_chars", F.length("text").cast(kinds["n_chars"]))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendlane.llm.common import doc_texts, per_batch
+from spendlane.llm.common import bounded_batches, doc_texts, per_batch
 from spendlane.llm.pretokens import OUTSIDE, WORDS, WordCache, byte_alphabet, split_specials
 
 WORD_END = "</w>"
@@ -85,6 +85,7 @@ class TokenCounter:
 def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 2048) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit (``n_tokens > limit``) per row."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     # bounded by the vocabulary of the tokenizer, not by the data
     whole = spark.sparkContext.broadcast(prove_whole_tokens(tokenizer_path))
 
