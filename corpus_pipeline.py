@@ -17,7 +17,6 @@ import uuid
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from spendlane.llm import decontaminate, line_quality, pattern_packing, simhash_dedup, suffix_dedup
 from spendlane.llm.common import shared_dir, table
@@ -41,9 +40,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     packed = pattern_packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), size=1024, end_id=2)
-    return packed.select(
-        "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset"
-    )
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 STAGES = [

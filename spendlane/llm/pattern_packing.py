@@ -37,7 +37,7 @@ from spendlane.llm.pretokens import OUTSIDE, PIECES, WordCache, byte_alphabet, s
 
 DEPTH = 3
 ROUNDS = 400
-BROADCAST_ROWS = 1_000_000  # rows of 20 bytes: the most that is broadcast
+BROADCAST_ROWS = 100_000  # rows of three numbers: the most that is broadcast
 
 
 class PieceEncoder:
@@ -232,7 +232,8 @@ def slots(packing: list[tuple[tuple[int, ...], int]], size: int):
 
 
 def pack(docs: DataFrame, tokenizer_path: str, size: int = 1024, end_id: int = 2) -> DataFrame:
-    """doc_id, piece, start, length, ids (binary), sequence_id, offset per piece."""
+    """doc_id, piece, start, length, ids (binary), ids_crc32, sequence_id, offset per
+    piece."""
     spark = docs.sparkSession
     bounded_batches(spark)
     cuts = written(pieces(docs, tokenizer_path, size, end_id), "pieces")
@@ -259,5 +260,7 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = 1024, end_id: int = 2
     starts = before.select("part", "length", "before")
     if starts.count() <= BROADCAST_ROWS:  # beyond it, an ordinary join on the same keys
         starts = F.broadcast(starts)
+    # the checksum is taken before the join, so who does not read the ids does not move them
+    cuts = cuts.withColumn("ids_crc32", F.crc32("ids"))
     placed = cuts.join(starts, ["part", "length"]).withColumn("slot", slot("length", F.col("rank") + F.col("before")))
-    return placed.select("doc_id", "piece", "start", "length", "ids", "slot.sequence_id", "slot.offset")
+    return placed.select("doc_id", "piece", "start", "length", "ids", "ids_crc32", "slot.sequence_id", "slot.offset")

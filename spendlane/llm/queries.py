@@ -41,9 +41,7 @@ def op3_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = pattern_packing.pack(
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), size=1024, end_id=2
     )
-    return packed.select(
-        "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset"
-    )
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
