@@ -433,11 +433,10 @@ def whole_characters(raw: np.ndarray, start: np.ndarray, end: np.ndarray, offset
     return start, end
 
 
-def deduplicate(docs: DataFrame, min_bytes: int = MIN_BYTES, characters: bool = False) -> DataFrame:
-    """The columns of ``docs`` (text as given, null as empty) with ``KEPT`` (binary:
-    the bytes that stay) and ``SPANS`` (sorted structs start, end: the maximal runs
-    that go) per row.  With ``characters`` the runs are shrunk to whole characters
-    and ``KEPT`` is a string."""
+def _cut(docs: DataFrame, min_bytes: int, characters: bool) -> DataFrame:
+    """doc_id, text, others (a struct of the other columns), kept and spans; with
+    ``characters`` the spans are shrunk to whole characters, kept is a string, and
+    text is left out."""
     bounded_batches(docs.sparkSession)
     parts = shuffle_partitions(docs.sparkSession)
     steps = _Passes(min_bytes, 4 * parts)
@@ -476,17 +475,28 @@ def deduplicate(docs: DataFrame, min_bytes: int = MIN_BYTES, characters: bool =
         spans = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32()), runs)
         return tbl.drop_columns(left_out).append_column("kept", kept).append_column("spans", spans)
 
-    done = texts.groupBy("part").cogroup(groups.groupBy("part")).applyInArrow(cut, out)
-    named = {c: F.col(f"others.`{c}`") for c in docs.columns}
-    named |= {"doc_id": F.col("doc_id"), "text": F.col("kept" if characters else "text").alias("text")}
-    return done.select(*[named[c] for c in docs.columns], F.col("kept").alias(KEPT), F.col("spans").alias(SPANS))
+    return texts.groupBy("part").cogroup(groups.groupBy("part")).applyInArrow(cut, out)
+
+
+def _columns(docs: DataFrame, **own) -> dict:
+    """The columns of ``docs`` by name, out of ``_cut``; ``own`` replaces some."""
+    named = {c: F.col(f"others.`{c}`").alias(c) for c in docs.columns if c not in ("doc_id", "text")}
+    named |= {"doc_id": F.col("doc_id"), "text": F.col("text")} | {c: v.alias(c) for c, v in own.items()}
+    return {c: named[c] for c in [*docs.columns, *[c for c in own if c not in docs.columns]]}
+
+
+def deduplicate(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
+    """The columns of ``docs`` (text as given, null as empty) with ``KEPT`` (binary:
+    the bytes that stay) and ``SPANS`` (sorted structs start, end: the maximal runs
+    that go) per row.  Columns of ``docs`` that have these two names are replaced."""
+    done = _cut(docs, min_bytes, characters=False)
+    return done.select(*_columns(docs, **{KEPT: F.col("kept"), SPANS: F.col("spans")}).values())
 
 
 def without_repeats(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     """``docs`` with what repeats removed from text, by whole characters, and n_chars
     (where it is) counted anew; all rows and other columns as they are."""
-    rows = deduplicate(docs, min_bytes, characters=True).drop(KEPT, SPANS)
-    kinds = dict(docs.dtypes)
+    own, kinds = {"text": F.col("kept")}, dict(docs.dtypes)
     if "n_chars" in kinds:
-        rows = rows.withColumn("n_chars", F.length("text").cast(kinds["n_chars"]))
-    return rows.select(*docs.columns)
+        own["n_chars"] = F.length("kept").cast(kinds["n_chars"])
+    return _cut(docs, min_bytes, characters=True).select(*_columns(docs, **own).values())

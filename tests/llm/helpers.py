@@ -8,7 +8,8 @@ from collections import defaultdict
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 #: extra columns whose names the operators use themselves
-CLASHING = "part int, kind string, key long, fp long, word string, score double, text_ string, row long, bucket int"
+CLASHING = ("part int, kind string, key long, fp long, word string, score double, text_ string, row long, bucket int, "
+            "others string, kept string, spans int, kept_bytes int, removed_spans int, first_id long, size int")
 
 
 def documents(spark, texts, ids=None, langs=None):

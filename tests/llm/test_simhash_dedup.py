@@ -73,7 +73,7 @@ def test_components_of_chains_and_stars(spark):
 
 
 def test_one_of_each_keeps_all_columns(spark):
-    docs = documents(spark, ["a b c d e f", "a b c d e f", "other words are here now", None, ""], [3, 1, 2, 8, 9])
+    docs = clashing(documents(spark, ["a b c d e f", "a b c d e f", "other words are here now", None, ""], [3, 1, 2, 8, 9]))
     kept = H.one_of_each(docs)
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 2, 8]
 
