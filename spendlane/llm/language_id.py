@@ -43,6 +43,7 @@ TRAIN_ROWS = 1500  # of a language, about: the bound of the training sample
 CALIBRATION = 8  # one in so many of them is kept for the rejection threshold
 KEEP = 0.995
 SHARPNESS = 8.0
+BROADCAST_LANGUAGES = 10_000
 UNKNOWN = "und"
 CACHE_WORDS = 200_000
 PIECE_CHARS = 1 << 21  # characters looked at together
@@ -193,7 +194,9 @@ def training_sample(rows: DataFrame, per_language: int = TRAIN_ROWS) -> DataFram
     known = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     sizes = known.groupBy("lang").agg(F.count("*").alias("size"))
     lot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
-    # one row for each language; an inner join of a small grouped side
+    # a row for each language: broadcast while these are few, so that no text moves but the sample's
+    if sizes.count() <= BROADCAST_LANGUAGES:
+        sizes = F.broadcast(sizes)
     taken = known.join(sizes, "lang").where(lot * F.col("size") < F.lit(per_language << 20))
     return taken.withColumn("calibrate", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(CALIBRATION)) == 0).drop("size")
 
