@@ -205,13 +205,15 @@ def learn(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> L
     or 1 in ``labels``; None if there are none of either."""
     bounded_batches(docs.sparkSession)
     own = labels.where(F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.max("quality").cast("int").alias("quality"))
-    known = docs.select("doc_id", "text").join(own, "doc_id")
+    texts = docs.select("doc_id", "text")
     lines = F.length("text") - F.length(F.replace("text", F.lit("\n"))) + 1
-    n = known.count()
+    n = texts.join(own, "doc_id").count()  # reads ids only
     if not n:
         return None
     lot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
-    taken = known.where((lot * F.lit(n) < F.lit(train_rows << 20)) & (F.coalesce(lines, F.lit(1)) <= TRAIN_LINES))
+    # the lot is drawn before the join, so only texts that may be taken move
+    drawn = texts.where((lot * F.lit(n) < F.lit(train_rows << 20)) & (F.coalesce(lines, F.lit(1)) <= TRAIN_LINES))
+    taken = drawn.join(own, "doc_id")
 
     def run(batches):
         for batch in batches:
