@@ -178,3 +178,22 @@ def read_back(chunks: DataFrame) -> DataFrame:
         run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
         "formatted_chars long, n_tokens long"
     )
+
+
+def _escaped_length(x: str) -> str:
+    return f"length(replace(replace({x}, '\\', '\\\\'), '<|', '<\\|'))"
+
+
+#: the query's rows: op2 adds conversation -1 to the table
+ORACLE = f"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum({len(TURN + TEXT + END)} + {_escaped_length('role')} + {_escaped_length('text')})::BIGINT AS formatted_chars
+FROM c GROUP BY conv_id
+"""

@@ -34,7 +34,8 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         [(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string"
     )
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
-    return chat_format.read_back(chat_format.format_conversations(rows, public_tokenizers.path("byte_bpe_50k.json")))
+    chunks = chat_format.format_conversations(rows, public_tokenizers.path("byte_bpe_50k.json"))
+    return chat_format.read_back(chunks).drop("n_tokens")
 
 
 def op3_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,4 +93,8 @@ QUERIES = {
     )
 }
 
-ORACLES: dict[str, str] = {"op8_decontamination": decontaminate.ORACLE, "op10_topk_search": topk_search.ORACLE}
+ORACLES: dict[str, str] = {
+    "op2_chat_format": chat_format.ORACLE,
+    "op8_decontamination": decontaminate.ORACLE,
+    "op10_topk_search": topk_search.ORACLE,
+}

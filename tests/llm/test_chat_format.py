@@ -3,8 +3,9 @@ import hashlib
 import public_tokenizers
 
 from helpers import table_texts
+from oracle_compare import compare
 from spendlane.llm import chat_format as C
-from spendlane.llm.queries import op2_chat_format
+from spendlane.llm.queries import ORACLES, op2_chat_format
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 SCHEMA = "conv_id long, turn long, role string, text string, formatted string"
@@ -70,5 +71,10 @@ def test_query_over_a_whole_table(spark, sf_dir):
     assert got(op2_chat_format(spark, sf_dir).collect()) == wanted(rows)
 
 
+def test_query_equals_sql(spark, sf_dir):
+    r = compare(op2_chat_format(spark, sf_dir), ORACLES["op2_chat_format"], sf_dir)
+    assert r["columns_match"] and r["values_match"] and r["spark_rows"], r
+
+
 def test_empty_table(spark):
     assert run(spark, []) == []
