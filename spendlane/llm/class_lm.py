@@ -5,23 +5,28 @@ Tokens are words (A-Z lower-cased, cut at ASCII white space) and one end per tex
 *Counts.*  Word counts and word-pair counts of all training texts are combined
 map-side and summed by Spark.
 
-*Exchange clustering.*  The ``VOCABULARY`` most frequent words are assigned to
-``CLASSES`` classes by the exchange algorithm: starting from classes of similar
-frequency, each word in turn moves to the class that raises the likelihood of the
-class bigrams of the training texts most, until a sweep moves nothing or ``SWEEPS``
-sweeps are over.  It works on the pair counts of those words with each other and with
-the fixed classes (at most ``VOCABULARY`` squared cells, whatever the corpus).
-All other words, known or not, belong to fixed classes by their shape, the end and
-the start of a text to classes of their own.
+*Exchange clustering.*  All training words are assigned to ``CLASSES`` classes by the
+exchange algorithm: each word moves to the class that raises the likelihood of the
+class bigrams of the training texts most.  The ``VOCABULARY`` most frequent words move
+one after the other on the driver, on their pair counts with each other and with the
+classes of all other words (a bounded table).  All others start from classes by hash and
+move in tasks: they are dealt to buckets by hash with the counts of their pairs, and
+per sweep each bucket is sent the classes of their neighbours.  A word's gain
+is measured against the class-pair table of the sweep's start; after the first sweep
+every other word may move, so that neighbours do not move at once.  Sweeps end when
+the likelihood rises by less than ``LEAST_RISE`` of itself, or after ``SWEEPS``; a sweep that
+lowers it is not kept.  The start and the end of a text have a class of their own.
 
 *Probability.*  P(token | before) = P(class | class before) * P(token | class).
 Class transitions are interpolated with the class unigram by the Witten-Bell rule;
-emissions add 0.5, with one more cell in each shape class for unknown words, so the
-model sums to one.
+emissions add 0.5.  Words that no training text holds have classes of their own, one
+for each shape with one cell for all of them, whose unigram is that of the training
+words of this shape that occur once (Good-Turing), so the model sums to one.
 
-*Scoring.*  The counts of the ``TABLE_WORDS`` most frequent words are broadcast, a
-bounded table.  Tokens of rarer words leave a row (document, word, times); these are
-joined with the word counts, so a vocabulary of any size is scored exactly.
+*Scoring.*  Counts and classes of the ``TABLE_WORDS`` most frequent words are broadcast, a
+bounded table.  Rarer words of a document leave a row (document, word, times); these are
+joined with the words' counts and classes, and the document's remaining transitions
+are summed then, so a vocabulary of any size is scored exactly.
 
 Null texts are empty: one token, the end.  Texts of any length are scored whole.
 Repeated rows are scored, and learnt from, as rows of their own.  Without training
@@ -31,24 +36,29 @@ same.  An empty table gives an empty result.
 
 from __future__ import annotations
 
+import functools
 import re
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import zstandard
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendlane.llm.common import bounded_batches, id_remainder, per_batch, written
+from spendlane.llm.common import bounded_batches, id_remainder, per_batch, shuffle_partitions, written
 
 VOCABULARY = 2000
 CLASSES = 64
 SWEEPS = 6
+LEAST_RISE = 1e-4
 TABLE_WORDS = 100_000
 FLUSH = 300_000  # distinct entries a task's counter holds
 SHAPES = 8  # of words outside the vocabulary
 END = ""  # no word is empty
 ALPHA = 0.5
+RARE = 1 << 62  # codes of words outside the vocabulary
 
 _DIGIT = re.compile(rb"[0-9]")
 _LETTER = re.compile(rb"[a-z\x80-\xff]")
@@ -61,7 +71,7 @@ def tokens(text: str) -> list[bytes]:
 
 
 def shape(word: bytes) -> int:
-    """Fixed class of a word outside the vocabulary."""
+    """Kind of a word outside the vocabulary, by its characters."""
     if not _LETTER.search(word):
         return 0 if _DIGIT.search(word) else 1
     if _ODD_END.search(word):
@@ -154,23 +164,25 @@ def pair_counts(texts: DataFrame, numbering) -> DataFrame:
     return texts.select("text").mapInArrow(run, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
-def exchange(pairs: np.ndarray, movable: int, fixed: np.ndarray, classes: int, sweeps: int = SWEEPS) -> np.ndarray:
+def _f(x):
+    return np.where(x > 0, x * np.log(np.maximum(x, 1)), 0.0)
+
+
+def exchange(pairs: np.ndarray, movable: int, fixed: np.ndarray, classes: int, sweeps: int = SWEEPS, start: np.ndarray | None = None) -> np.ndarray:
     """Classes of all numbers.  ``pairs`` (numbers, numbers) counts pairs; the first
     ``movable`` numbers move among ``classes`` classes, the others keep ``fixed``.
 
     The likelihood of the class bigrams is, but for a constant, the sum of f(n) =
     n log n over the cells of the class-pair table minus those over its row and
     column sums.  A word's move changes two rows and two columns only."""
-    n, total = len(pairs), classes + len(fixed)
-    of = np.concatenate((np.arange(movable) % classes, fixed)).astype(np.int64)
+    n, total = len(pairs), int(fixed.max()) + 1
+    of = np.concatenate((np.arange(movable) % classes if start is None else start, fixed)).astype(np.int64)
     pairs = pairs.astype(np.float64)
     member = np.zeros((n, total))
     member[np.arange(n), of] = 1
     table = member.T @ pairs @ member
 
-    def f(x):
-        return np.where(x > 0, x * np.log(np.maximum(x, 1)), 0.0)
-
+    f = _f
     rows_of, cols_of = pairs.sum(1), pairs.sum(0)
     loops = np.diagonal(pairs).copy()
     for _ in range(sweeps if classes > 1 else 0):
@@ -207,78 +219,354 @@ def exchange(pairs: np.ndarray, movable: int, fixed: np.ndarray, classes: int, s
     return of
 
 
+def rare_code(word: bytes) -> int:
+    """Code of a word outside the vocabulary: RARE or more, with 62 bits of hash.
+    Words that shared a code would share a class; their counts stay apart."""
+    from xxhash import xxh64_intdigest
+
+    return RARE | (xxh64_intdigest(word, 9) >> 2)
+
+
+@functools.cache
+def _packer():
+    return zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
+
+
+def _pack(array: np.ndarray) -> bytes:
+    return _packer()[0].compress(np.ascontiguousarray(array).tobytes())
+
+
+def _unpack(blob: bytes, kind) -> np.ndarray:
+    return np.frombuffer(_packer()[1].decompress(blob), kind)
+
+
+def _bucket(codes: np.ndarray, buckets: int) -> np.ndarray:
+    """Rises with the code, so sorted codes are sorted by bucket."""
+    return ((codes - RARE) >> 31) * buckets >> 31
+
+
+def _summed(a: np.ndarray, b: np.ndarray, n: np.ndarray):
+    """Distinct pairs, sorted, and the sums of their counts."""
+    order = np.lexsort((b, a))
+    a, b, n = a[order], b[order], n[order]
+    first = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]))))
+    return a[first], b[first], np.add.reduceat(n, first)
+
+
+def rare_pairs(texts: DataFrame, vocabulary, buckets: int) -> DataFrame:
+    """bucket, a, b, n (packed arrays): counts of the pairs with a word outside the
+    vocabulary, for the bucket of each such word."""
+
+    def run(batches):
+        known = vocabulary.value
+        end = len(known)
+        codes: list[int] = [end]
+        local: dict[bytes, int] = {b"": 0}
+        held: list[np.ndarray] = []
+        size = 0
+
+        def number(word):
+            local[word] = len(codes)
+            code = known.get(word, -1)
+            codes.append(rare_code(word) if code < 0 else code)
+            return local[word]
+
+        def rows():
+            nonlocal held, size
+            code = np.array(codes, np.int64)
+            keys, n = np.unique(np.concatenate(held), return_counts=True)
+            held, size = [], 0
+            a, b = code[keys >> 32], code[keys & 0xFFFFFFFF]
+            for own, other in ((a, b), (b, a)):
+                rare = np.flatnonzero(own >= RARE)
+                to = _bucket(own[rare], buckets)
+                if own is b:  # a pair within one bucket goes there once
+                    there = (other[rare] >= RARE) & (_bucket(other[rare], buckets) == to)
+                    rare, to = rare[~there], to[~there]
+                order = np.argsort(to, kind="stable")
+                for part in np.split(rare[order], np.flatnonzero(np.diff(to[order])) + 1):
+                    if len(part):
+                        x, y, z = _summed(a[part], b[part], n[part])
+                        yield int(_bucket(own[part[:1]], buckets)[0]), _pack(x), _pack(y), _pack(z)
+
+        def batch_of(found):
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*found, strict=True), (pa.int32(), *[pa.binary()] * 3), strict=True)], names=["bucket", "a", "b", "n"])
+
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                row = np.array([0, *[local[w] if w in local else number(w) for w in tokens(text)], 0], np.int64)
+                held.append(row[:-1] << 32 | row[1:])
+                size += len(row)
+                if size > 1_500_000 or len(codes) > 2 * FLUSH:
+                    if found := list(rows()):
+                        yield batch_of(found)
+                    if len(codes) > FLUSH:
+                        codes, local = [end], {b"": 0}
+        if held and (found := list(rows())):
+            yield batch_of(found)
+
+    return texts.select("text").mapInArrow(run, "bucket int, a binary, b binary, n binary")
+
+
+class _Buckets:
+    """Words outside the vocabulary, dealt to buckets by hash.  A bucket holds the
+    pairs of its words; of the words next to them that lie in other buckets it is sent
+    the classes, one byte each, in the order of their codes."""
+
+    static_ddl = "bucket int, source int, codes binary, own binary, other binary, n binary"
+    message_ddl = "bucket int, source int, classes binary"
+    names = {static_ddl: ("bucket", "source", "codes", "own", "other", "n"), message_ddl: ("bucket", "source", "classes")}
+
+    def __init__(self, end: int, classes: int, buckets: int):
+        self.end, self.classes, self.buckets = end, classes, buckets
+        self.total = classes + 1
+
+    def rows(self, ddl: str, rows: list[tuple]) -> pa.Table:
+        kinds = [pa.int32() if x.split()[1] == "int" else pa.binary() for x in ddl.split(", ")]
+        columns = list(zip(*rows, strict=True)) if rows else [[] for _ in kinds]
+        return pa.table([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=self.names[ddl])
+
+    def build(self, tbl: pa.Table) -> pa.Table:
+        """Source -1: the bucket's own words and pairs (place of the word, direction,
+        number of the neighbour).  Other sources: words whose classes they need."""
+        q = tbl.column("bucket")[0].as_py()
+        a, b, n = (np.concatenate([_unpack(x, np.int64) for x in tbl.column(c).to_pylist()]) for c in "abn")
+        a, b, n = _summed(a, b, n)
+        mine_a, mine_b = ((x >= RARE) & (_bucket(x, self.buckets) == q) for x in (a, b))
+        own = np.concatenate((a[mine_a], b[mine_b]))
+        other = np.concatenate((b[mine_a], a[mine_b]))
+        back = np.repeat([0, 1], [mine_a.sum(), mine_b.sum()])
+        n = np.concatenate((n[mine_a], n[mine_b]))
+        words, place = np.unique(own, return_inverse=True)
+        near = np.unique(np.concatenate((other[other >= RARE], words)))  # its own too
+        slot = np.where(other >= RARE, self.end + 1 + np.searchsorted(near, other), other)
+        order = np.lexsort((slot, back, place))
+        out = [(q, -1, _pack(words), _pack((place * 2 + back)[order].astype(np.uint32)), _pack(slot[order].astype(np.uint32)), _pack(n[order]))]
+        of = _bucket(near, self.buckets)
+        for p in np.unique(of).tolist():
+            out.append((p, q, _pack(near[of == p]), b"", b"", b""))
+        return self.rows(self.static_ddl, out)
+
+    def send(self, static: pa.Table, words: np.ndarray, classes: np.ndarray) -> pa.Table:
+        p, out = static.column("bucket")[0].as_py(), []
+        for q, blob in zip(static.column("source").to_pylist(), static.column("codes").to_pylist(), strict=True):
+            if q >= 0:
+                out.append((q, p, _pack(classes[np.searchsorted(words, _unpack(blob, np.int64))].astype(np.uint8))))
+        return self.rows(self.message_ddl, out)
+
+    def own(self, static: pa.Table) -> dict:
+        return next(r for r in static.to_pylist() if r["source"] == -1)
+
+    def first(self, static: pa.Table) -> pa.Table:
+        words = _unpack(self.own(static)["codes"], np.int64)
+        return self.send(static, words, (words >> 4) % self.classes)
+
+    def state(self, static: pa.Table, messages: pa.Table):
+        """(own row, words, their classes, classes of the neighbours by slot)."""
+        row = self.own(static)
+        words = _unpack(row["codes"], np.int64)
+        sent = {m["source"]: _unpack(m["classes"], np.uint8) for m in messages.to_pylist()}
+        near = np.concatenate([sent[p] for p in sorted(sent)]).astype(np.int64)
+        # its own words are all among them, one run
+        at = sum(len(x) for p, x in sent.items() if p < row["bucket"])
+        return row, words, near[at:at + len(words)], near
+
+    def tables(self, static: pa.Table, messages: pa.Table) -> pa.Table:
+        """a, b, n: counts of pairs with a word outside the vocabulary, summed; it is
+        given as END + 1 + its class, so cells do not grow with the corpus."""
+        row, words, mine, near = self.state(static, messages)
+        key, slot, n = _unpack(row["own"], np.uint32), _unpack(row["other"], np.uint32).astype(np.int64), _unpack(row["n"], np.int64)
+        rare = slot > self.end
+        here = self.end + 1 + mine[key >> 1]
+        there = slot.copy()
+        there[rare] = self.end + 1 + near[slot[rare] - self.end - 1]
+        keep = ~(rare & (key & 1 == 1))  # a pair of two such words counts where the first is
+        back = (key & 1 == 1)[keep]
+        a, b = np.where(back, there[keep], here[keep]), np.where(back, here[keep], there[keep])
+        size = self.end + 1 + self.total
+        cells, at = np.unique(a * size + b, return_inverse=True)
+        sums = np.zeros(len(cells), np.int64)
+        np.add.at(sums, at, n[keep])
+        return pa.table({"a": cells // size, "b": cells % size, "n": sums})
+
+    def choose(self, static: pa.Table, messages: pa.Table, table: np.ndarray, vocabulary: np.ndarray, turn: int) -> pa.Table:
+        """Moves each word (after the first sweep, every other) to its best class, as
+        gained against the class-pair table of the sweep's start."""
+        row, words, mine, near = self.state(static, messages)
+        key, slot, n = _unpack(row["own"], np.uint32), _unpack(row["other"], np.uint32).astype(np.int64), _unpack(row["n"], np.int64)
+        k, total = self.classes, self.total
+        cls = np.concatenate((vocabulary, near))[slot]
+        cells, at = np.unique(key.astype(np.int64) * total + cls, return_inverse=True)
+        sums = np.bincount(at, n, len(cells))
+        word, back, cls = cells // total >> 1, (cells // total) & 1, cells % total
+        due = (words & 1) == turn % 2 if turn else np.ones(len(words), bool)
+        here = due[word]
+        word, back, cls, sums = (np.cumsum(due) - 1)[word[here]], back[here], cls[here], sums[here].astype(np.int64)
+        old, count = mine[due], np.bincount(word, np.where(back == 0, sums, 0), due.sum())
+        sides = np.stack((table.T[:, :k], table[:, :k]))  # direction, neighbour's class, class of the word
+        few = np.stack([_f(sides + x) - _f(sides) for x in range(5)])
+        margins = table.sum(1)[:k], table.sum(0)[:k]
+        starts = np.searchsorted(word, np.arange(len(old) + 1))
+        best = old.copy()
+        for lo in range(0, len(old), 512):
+            hi = min(lo + 512, len(old))
+            s = slice(starts[lo], starts[hi])
+            w, d, c, x, home = word[s] - lo, back[s], cls[s], sums[s], old[lo:hi]
+            part = few[np.minimum(x, 4), d, c]
+            many = np.flatnonzero(x > 4)
+            cell = sides[d[many], c[many]]
+            part[many] = _f(cell + x[many, None]) - _f(cell)
+            cell = sides[d, c, home[w]]  # its own class is taken without it
+            part[np.arange(len(w)), home[w]] = _f(cell) - _f(cell - x)
+            gain = np.add.reduceat(part, starts[lo:hi] - starts[lo], axis=0)
+            m = count[lo:hi, None]
+            for margin in margins:
+                rest = margin - np.where(home[:, None] == np.arange(k), m, 0)
+                gain -= _f(rest + m) - _f(rest)
+            to, each = gain.argmax(1), np.arange(hi - lo)
+            best[lo:hi] = np.where(gain[each, to] > gain[each, home] + 1e-9, to, home)
+        new = mine.copy()
+        new[due] = best
+        return self.send(static, words, new)
+
+    def classes_of(self, static: pa.Table, messages: pa.Table) -> pa.Table:
+        _, words, mine, _ = self.state(static, messages)
+        return pa.table({"code": words, "class": mine.astype(np.int32)})
+
+
+def _mover(plan: _Buckets, shared, turn: int):
+    return lambda static, messages: plan.choose(static, messages, *shared.value, turn)
+
+
+def cluster(texts: DataFrame, numbering: Numbering, pairs: np.ndarray, classes: int):
+    """(class of each word of the vocabulary and of the end; code, class of all other
+    words; the class-pair table).  ``pairs`` are the counts of the numbers."""
+    spark, end, movable = texts.sparkSession, numbering.first_shape, numbering.first_shape
+    total, buckets = classes + 1, shuffle_partitions(spark)
+    fixed = classes + np.arange(SHAPES + 1)
+    start = exchange(pairs, movable, fixed, classes) if movable else fixed
+    vocabulary = np.concatenate((start[:movable], [total - 1]))
+    plan = _Buckets(end, classes, buckets)
+    dealt = rare_pairs(texts, spark.sparkContext.broadcast(numbering.table), buckets)
+    static = written(dealt.groupBy("bucket").applyInArrow(lambda t: plan.build(t), plan.static_ddl), "class_pairs")
+    static = static.repartition(buckets, "bucket").persist(StorageLevel.DISK_ONLY)  # dealt once for all sweeps
+    messages = written(static.groupBy("bucket").applyInArrow(lambda t: plan.first(t), plan.message_ddl), "classes")
+
+    def met(function, ddl):
+        return static.groupBy("bucket").cogroup(messages.groupBy("bucket")).applyInArrow(function, ddl)
+
+    inside = np.r_[0:movable, numbering.end]
+    best = None
+    for turn in range(SWEEPS + 1):
+        found = met(lambda x, y: plan.tables(x, y), "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n")).toArrow().to_pandas()
+        wide = np.zeros((end + 1 + total, end + 1 + total))  # the vocabulary, the end, and the classes of all others
+        wide[: end + 1, : end + 1] = pairs[np.ix_(inside, inside)]
+        wide[found["a"].to_numpy(np.int64), found["b"].to_numpy(np.int64)] = found["n"]
+        others = np.concatenate(([total - 1], np.arange(total)))
+        if turn and movable:
+            vocabulary = exchange(wide, movable, others, classes, 1, vocabulary[:movable])[: movable + 1]
+        member = np.eye(total)[np.concatenate((vocabulary[:movable], others))]
+        table = member.T @ wide @ member
+        height = _f(table).sum() - _f(table.sum(1)).sum() - _f(table.sum(0)).sum()
+        if not len(found):
+            best = (height, vocabulary, messages, table)
+            break
+        if turn and height <= best[0] + LEAST_RISE * abs(best[0]):
+            if height > best[0]:
+                best = (height, vocabulary, messages, table)
+            break
+        best = (height, vocabulary, messages, table)
+        if turn == SWEEPS:
+            break
+        shared = spark.sparkContext.broadcast((table, vocabulary))
+
+        messages = written(met(_mover(plan, shared, turn), plan.message_ddl), "classes")
+    _, vocabulary, messages, table = best
+    others = written(met(lambda x, y: plan.classes_of(x, y), "code long, class int"), "word_classes")
+    static.unpersist()
+    return vocabulary, others, table
+
+
 class ClassModel:
     """Class of each number, log10 transitions, and what emissions divide by."""
 
-    def __init__(self, numbering: Numbering, pairs: np.ndarray, word_n: np.ndarray, shape_v: np.ndarray, classes: int = CLASSES):
-        """word_n: count of each number (a shape's is that of all its words);
-        shape_v: distinct words of each shape."""
-        movable = numbering.first_shape
-        classes = max(1, min(classes, movable))
-        fixed = classes + np.arange(SHAPES + 1)
-        self.numbering = numbering
-        self.of = exchange(pairs, movable, fixed, classes) if movable else np.concatenate((np.zeros(0, np.int64), fixed))
-        total = classes + SHAPES + 1
-        member = np.zeros((len(pairs), total))
-        member[np.arange(len(pairs)), self.of] = 1
-        table = member.T @ pairs.astype(float) @ member
-        after = table.sum(0)
-        distinct = np.bincount(self.of, minlength=total)  # words of a class
-        room = distinct.astype(float)
-        shapes = classes + np.arange(SHAPES)
-        room[shapes] = shape_v + 1  # and one cell for what is unknown
-        live = room > 0
-        unigram = np.where(live, after + ALPHA, 0.0)
+    def __init__(self, table: np.ndarray, end: int, class_n: np.ndarray, class_v: np.ndarray, once: np.ndarray):
+        """table: the class-pair table; end: the class of the end; class_n, class_v: count
+        and distinct words of each class; once: words seen once, by shape."""
+        live = np.flatnonzero((class_v > 0) | (np.arange(len(table)) == end))
+        self.number = np.full(len(table), -1, np.int64)  # empty classes go
+        self.number[live] = np.arange(len(live))
+        self.unknown = len(live) + np.arange(SHAPES)
+        self.end_class = int(self.number[end])
+        table = np.pad(table[np.ix_(live, live)], (0, SHAPES))
+        room = np.concatenate((np.maximum(class_v[live], 1), np.ones(SHAPES)))
+        unigram = table.sum(0) + ALPHA
+        unigram[self.unknown] += once
         unigram /= unigram.sum()
         kinds, seen = (table > 0).sum(1), table.sum(1)
         weight = np.where(seen > 0, kinds, 1.0)[:, None]
         self.transitions = np.log10(np.maximum((table + weight * unigram) / (seen[:, None] + weight), 1e-300))
-        class_n = np.bincount(self.of, word_n, total)
-        self.divisor = np.log10(np.maximum(class_n + ALPHA * room, ALPHA))
-        self.end_class = int(self.of[numbering.end])
+        self.divisor = np.log10(np.concatenate((class_n[live], np.zeros(SHAPES))) + ALPHA * room)
+
+    def numbered(self, words: dict[bytes, int]):
+        """Gives the words (word -> class), then the shapes, then the end their numbers."""
+        self.numbering = Numbering(list(words))
+        self.of = np.concatenate((self.number[np.array(list(words.values()), np.int64)], self.unknown, [self.end_class]))
 
 
 def learn(texts: DataFrame, vocabulary: int = VOCABULARY, classes: int = CLASSES):
-    """(word counts as a written table, ClassModel, N, V, {word: n} of the most
-    frequent words) of ``texts``."""
+    """(counts and classes of all words as a written table, ClassModel, N, V, {word: n}
+    of the most frequent words) of ``texts``."""
     spark = texts.sparkSession
     bounded_batches(spark)
     counts = written(word_counts(texts), "word_counts")
     n_all, v_all = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    frequent = counts.orderBy(F.desc("n"), "word").limit(max(TABLE_WORDS, vocabulary + 1)).toArrow().to_pandas()
-    table = dict(zip([w.encode() for w in frequent["word"]], frequent["n"].tolist(), strict=True))
-    ends = counts.where(F.col("word") == END).agg(F.sum("n")).first()[0]
-    if ends:
-        table[END.encode()] = ends
-    numbering = Numbering([w for w in table if w][:vocabulary])
-    shared = spark.sparkContext.broadcast(numbering)
-
-    def shapes(batches):
-        known = shared.value.table
+    first = counts.where(F.col("word") != END).orderBy(F.desc("n"), "word").limit(vocabulary).toArrow().to_pandas()
+    numbering = Numbering([w.encode() for w in first["word"]])
+    found = pair_counts(texts, spark.sparkContext.broadcast(numbering)).toArrow().to_pandas()  # at most the square of the numbers
+    pairs = np.zeros((numbering.size, numbering.size))
+    pairs[found["a"].to_numpy(np.int64), found["b"].to_numpy(np.int64)] = found["n"]
+    classes = max(1, min(classes, numbering.first_shape))
+    own, others, table = cluster(texts, numbering, pairs, classes)
+    known = spark.sparkContext.broadcast(numbering.table | {b"": numbering.first_shape})
+
+    def coded(batches):
         for batch in batches:
             words = [w.encode() for w in batch.column("word").to_pylist()]
-            keep = [i for i, w in enumerate(words) if w and w not in known]
+            codes = [known.value.get(w, -1) for w in words]
+            codes = [rare_code(w) if c < 0 else c for w, c in zip(words, codes, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([shape(words[i]) for i in keep], pa.int32()), batch.column("n").take(pa.array(keep, pa.int64()))], names=["shape", "n"]
+                [batch.column("word"), batch.column("n"), pa.array(codes, pa.int64()), pa.array([shape(w) for w in words], pa.int32())],
+                names=["word", "n", "code", "shape"],
             )
 
-    by_shape = counts.mapInArrow(shapes, "shape int, n long").groupBy("shape").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()
-    shape_n, shape_v = np.zeros(SHAPES, np.int64), np.zeros(SHAPES, np.int64)
-    for r in by_shape:
-        shape_n[r["shape"]], shape_v[r["shape"]] = r["n"], r["v"]
-    found = pair_counts(texts, shared).toArrow().to_pandas()  # at most the square of the numbers
-    pairs = np.zeros((numbering.size, numbering.size))
-    pairs[found["a"].to_numpy(np.int64), found["b"].to_numpy(np.int64)] = found["n"]
-    word_n = np.concatenate(([table[w] for w in numbering.table], shape_n, [table.get(b"", 0)])).astype(float)
-    return counts, ClassModel(numbering, pairs, word_n, shape_v, classes), int(n_all), int(v_all), table
+    frequent = spark.createDataFrame([(i, int(c)) for i, c in enumerate(own)], "code long, class int")
+    with_code = counts.mapInArrow(coded, "word string, n long, code long, shape int")
+    assigned = written(with_code.join(others.unionByName(frequent), "code").select("word", "n", "class", "shape"), "classed_words")
+    class_n, class_v, once = np.zeros(len(table)), np.zeros(len(table)), np.zeros(SHAPES)
+    sums = F.sum("n").alias("n"), F.count("*").alias("v"), F.count_if(F.col("n") == 1).alias("once")
+    for r in assigned.groupBy("class", "shape").agg(*sums).collect():
+        class_n[r["class"]] += r["n"]
+        class_v[r["class"]] += r["v"]
+        once[r["shape"]] += r["once"] if r["class"] != int(own[-1]) else 0
+    model = ClassModel(table, int(own[-1]), class_n, class_v, once)
+    top = assigned.where(F.col("word") != END).orderBy(F.desc("n"), "word").limit(TABLE_WORDS).toArrow().to_pandas()
+    words = [w.encode() for w in top["word"]]
+    model.numbered(dict(zip(words, top["class"].tolist(), strict=True)))
+    counted = dict(zip(words, top["n"].tolist(), strict=True))
+    if ends := int(class_n[int(own[-1])]):
+        counted[END.encode()] = ends
+    return assigned, model, int(n_all), int(v_all), counted
 
 
 def score(docs: DataFrame, training: DataFrame, vocabulary: int = VOCABULARY, classes: int = CLASSES) -> DataFrame:
     """The rows of ``docs`` (columns key, text) as key, n_tokens, n_known,
     train_tokens, base_score, score; the model is learnt from ``training`` (text)."""
-    counts, model, n_all, v_all, table = learn(training, vocabulary, classes)
+    assigned, model, n_all, v_all, table = learn(training, vocabulary, classes)
     context = docs.sparkSession.sparkContext
-    shared = context.broadcast((model, table))  # bounded by VOCABULARY, CLASSES and TABLE_WORDS
+    shared = context.broadcast((model, table))  # bounded by CLASSES and TABLE_WORDS
+    total = len(model.divisor)
 
     def make():
         from pyspark import TaskContext
@@ -289,15 +577,22 @@ def score(docs: DataFrame, training: DataFrame, vocabulary: int = VOCABULARY, cl
 
         def one(text: str):
             words = tokens(text)
-            numbers = np.concatenate(([num.end], num(words), [num.end]))
-            cls = of[numbers]
-            fixed = model.transitions[cls[:-1], cls[1:]].sum() - model.divisor[cls[1:]].sum()
+            found = np.array([num.table.get(w, -1) for w in words], np.int64)
+            cls = np.concatenate(([model.end_class], of[found], [model.end_class]))
+            rare: dict[bytes, int] = {}
+            for i in np.flatnonzero(found < 0).tolist():
+                cls[i + 1] = total + rare.setdefault(words[i], len(rare))
+            there = cls < total
+            both = there[:-1] & there[1:]
+            fixed = model.transitions[cls[:-1][both], cls[1:][both]].sum() - model.divisor[cls[1:][there[1:]]].sum()
+            links = np.stack((cls[:-1][~both], cls[1:][~both])).astype(np.int32)
             words.append(b"")
-            got = [known.get(w, 0) for w in words]
-            n = np.array(got, float)
-            there = n > 0
-            rare = Counter(w for w, c in zip(words, got, strict=True) if not c)
-            return len(words), int(there.sum()), float(fixed), float(np.log10(n[there] + ALPHA).sum()), rare
+            n = np.array([known.get(w, 0) for w in words], float)
+            seen = n > 0
+            late = there[1:]  # only an end that no training text has is known by class but not by count
+            counted = float(np.log10(n[late] + ALPHA).sum())
+            times = np.bincount(cls[1:][~late] - total, minlength=len(rare))
+            return len(words), int(seen.sum()), float(fixed), counted, _pack(links), rare, times.tolist()
 
         def batch_rows(batch):
             nonlocal row
@@ -305,34 +600,58 @@ def score(docs: DataFrame, training: DataFrame, vocabulary: int = VOCABULARY, cl
             row += len(found)
             return {
                 "row": list(range(row - len(found), row)), "key": batch.column("key"), "n_tokens": [f[0] for f in found], "n_known": [f[1] for f in found],
-                "model_part": [f[2] for f in found], "count_part": [f[3] for f in found],
-                "words": [[w.decode() for w in f[4]] for f in found], "times": [list(f[4].values()) for f in found],
+                "model_part": [f[2] for f in found], "count_part": [f[3] for f in found], "links": [f[4] for f in found],
+                "words": [[w.decode() for w in f[5]] for f in found], "times": [f[6] for f in found],
+                "unknown": [[int(model.unknown[shape(w)]) for w in f[5]] for f in found],
             }
 
         return batch_rows
 
     schema = pa.schema([("row", pa.int64()), ("key", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("model_part", pa.float64()),
-                        ("count_part", pa.float64()), ("words", pa.list_(pa.string())), ("times", pa.list_(pa.int64()))])
+                        ("count_part", pa.float64()), ("links", pa.binary()), ("words", pa.list_(pa.string())), ("times", pa.list_(pa.int64())),
+                        ("unknown", pa.list_(pa.int32()))])
     parts = written(docs.mapInArrow(
         per_batch(make, schema),
-        "row long, key long, n_tokens long, n_known long, model_part double, count_part double, words array<string>, times array<long>",
+        "row long, key long, n_tokens long, n_known long, model_part double, count_part double, links binary,"
+        " words array<string>, times array<long>, unknown array<int>",
     ), "scored")
-    rare = parts.select("row", F.explode(F.arrays_zip("words", "times")).alias("x")).select(
-        "row", F.col("x.words").alias("word"), F.col("x.times").alias("times")
-    )
-    joined = rare.join(counts, "word", "left")
-    found = F.coalesce("n", F.lit(0))
-    per_row = joined.groupBy("row").agg(
-        F.sum(F.when(found > 0, F.col("times")).otherwise(0)).alias("rare_known"),
-        F.sum(F.col("times") * F.log10(found + F.lit(ALPHA))).alias("rare_part"),
+    rare = parts.select("row", F.posexplode(F.arrays_zip("words", "times", "unknown")).alias("pos", "x")).select(
+        "row", "pos", F.col("x.words").alias("word"), F.col("x.times").alias("times"), F.col("x.unknown").alias("unknown")
     )
-    n_known = F.col("n_known") + F.coalesce("rare_known", F.lit(0))
-    emitted = F.col("count_part") + F.coalesce("rare_part", F.lit(0.0))
+    number = F.array(*[F.lit(int(x)) for x in model.number])
+    joined = rare.join(assigned.select("word", "n", F.get(number, F.col("class")).alias("class")), "word", "left")
+    entry = F.struct("pos", "times", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("class", "unknown").alias("class"))
+    per_row = joined.groupBy("row").agg(F.collect_list(entry).alias("found"))  # of one document
+
+    def finish():
+        model, _ = shared.value
+
+        def batch_rows(batch):
+            n_known, model_part, count_part = (batch.column(c).to_numpy(zero_copy_only=False).copy() for c in ("n_known", "model_part", "count_part"))
+            blobs, lists = batch.column("links"), batch.column("found")
+            for i in np.flatnonzero(lists.is_valid().to_numpy(zero_copy_only=False)).tolist():
+                entries = lists[i].values
+                pos, times, n, cls = (entries.field(j).to_numpy() for j in range(4))
+                order = np.argsort(pos)
+                times, n, cls = times[order], n[order], cls[order]
+                of = np.concatenate((np.arange(total), cls))
+                a, b = of[_unpack(blobs[i].as_py(), np.int32).reshape(2, -1)]
+                n_known[i] += times[n > 0].sum()
+                count_part[i] += (times * np.log10(n + ALPHA)).sum()
+                model_part[i] += model.transitions[a, b].sum() - (times * model.divisor[cls]).sum()
+            return {"key": batch.column("key"), "n_tokens": batch.column("n_tokens"), "n_known": n_known, "model_part": model_part, "count_part": count_part}
+
+        return batch_rows
+
     divisor = float(np.log10(n_all + ALPHA * (v_all + 1)))
-    return parts.select("row", "key", "n_tokens", "n_known", "model_part", "count_part").join(per_row, "row", "left").select(
-        "key", "n_tokens", n_known.alias("n_known"), F.lit(n_all).cast("long").alias("train_tokens"),
-        (emitted - F.col("n_tokens") * F.lit(divisor)).alias("base_score"),
-        (emitted + F.col("model_part")).alias("score"),
+    out = pa.schema([schema.field(c) for c in ("key", "n_tokens", "n_known", "model_part", "count_part")])
+    whole = parts.select("row", "key", "n_tokens", "n_known", "model_part", "count_part", "links").join(per_row, "row", "left")
+    return whole.mapInArrow(
+        per_batch(finish, out), "key long, n_tokens long, n_known long, model_part double, count_part double"
+    ).select(
+        "key", "n_tokens", "n_known", F.lit(n_all).cast("long").alias("train_tokens"),
+        (F.col("count_part") - F.col("n_tokens") * F.lit(divisor)).alias("base_score"),
+        (F.col("count_part") + F.col("model_part")).alias("score"),
     )
 
 

@@ -105,3 +105,29 @@ def test_no_training_texts(spark):
     held = next(i for i in range(100) if remainder(i, 5) == 1)
     row = M.score_documents(documents(spark, ["a b"], [held])).first()
     assert (row.n_known, row.train_tokens, row.base_score) == (0, 0, 0.0) and row.score <= 0
+
+
+def test_words_outside_the_vocabulary_are_clustered(spark):
+    """Rare words of two kinds, alike in shape, that stand between different frequent ones."""
+    rng = np.random.default_rng(5)
+    kinds = [[f"{k}{chr(97 + i)}{chr(97 + j)}" for i in range(8) for j in range(5)] for k in "xy"]
+    texts = []
+    for _ in range(600):
+        k = int(rng.integers(0, 2))
+        texts.append((" ".join([("the", "to")[k], kinds[k][rng.integers(0, 40)], ("of", "by")[k]] * 2),))
+    words, model, _, _, _ = M.learn(spark.createDataFrame(texts, "text string"), vocabulary=4, classes=4)
+    of = {r["word"]: r["class"] for r in words.collect()}
+    first, second = ({of[w] for w in kind if w in of} for kind in kinds)
+    assert len(first) == len(second) == 1 and first != second
+    # the class-pair table holds every pair, and each word is in a class that moves
+    assert all(c < 4 for w, c in of.items() if w)
+
+
+def test_classes_do_not_depend_on_buckets(spark):
+    texts = spark.createDataFrame([(f"a{i % 7} b{i % 11} the c{i % 5} of d{i % 13}",) for i in range(300)], "text string")
+    before, found = spark.conf.get("spark.sql.shuffle.partitions"), []
+    for n in ("1", "5"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        found.append(sorted(map(tuple, M.learn(texts, vocabulary=3, classes=3)[0].collect())))
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1]
