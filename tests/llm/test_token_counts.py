@@ -5,7 +5,7 @@ from tokenizers import Tokenizer
 
 from spendlane.llm.pretokens import OUTSIDE, PIECES, WORDS
 from spendlane.llm.queries import op1_token_counts
-from spendlane.llm.token_counts import TokenCounter, prove_whole_tokens, token_counts
+from spendlane.llm.token_counts import TokenCounter, prove_whole_symbols, prove_whole_tokens, token_counts
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 ODD = [
@@ -58,3 +58,14 @@ def test_query_over_a_whole_table(spark, sf_dir):
 
 def test_empty_table(spark):
     assert token_counts(documents(spark, []), PATH).collect() == []
+
+
+def test_texts_beyond_latin_use_the_proven_words_and_the_cache(monkeypatch):
+    symbols = prove_whole_symbols(PATH)
+    assert len(symbols) >= len(prove_whole_tokens(PATH))
+    count = TokenCounter(PATH, prove_whole_tokens(PATH), symbols)
+    merged, plainly = [], count._merged
+    monkeypatch.setattr(count, "_merged", lambda symbols: merged.append(symbols) or plainly(symbols))
+    text = "the world \u2014 привет the world привет \u201cthe\u201d " * 3
+    assert count(text) == plain(text)
+    assert len(merged) == len(set(merged)) and not {"the", "world"} & set(merged)
