@@ -13,13 +13,14 @@ from spendlane.llm import (
     decontaminate,
     language_id,
     line_quality,
+    merkle_manifest,
     pattern_packing,
     simhash_dedup,
     suffix_dedup,
     token_counts,
     topk_search,
 )
-from spendlane.llm.common import table
+from spendlane.llm.common import id_remainder, table
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,11 +86,25 @@ def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(table(spark, sf_dir, "embeddings"), lambda i: F.pmod(i, F.lit(50)) == 0, k=5)
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents' manifest; texts of every third id lose their capitals afterwards,
+    and the proofs must tell."""
+    docs = table(spark, sf_dir, "documents").select(*merkle_manifest.FIELDS)
+    text = F.when(id_remainder(F.col("doc_id"), 3) == 0, merkle_manifest.lower_ascii(F.col("text"))).otherwise(F.col("text"))
+    altered = merkle_manifest.leaf_digest([text if f == "text" else F.col(f) for f in merkle_manifest.FIELDS])
+    made = merkle_manifest.manifest(docs, also={"altered": altered})
+    return made.select(
+        "doc_id", "leaf", "subroot", "root", merkle_manifest.proof_digest(F.col("proof")).alias("proof_sha256"),
+        merkle_manifest.fold(F.col("altered"), F.col("proof")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_token_counts, op2_chat_format, op3_pattern_packing, op4_language_id, op5_suffix_dedup,
         op6_line_quality, op7_simhash_dedup, op8_decontamination, op9_class_lm, op10_topk_search,
+        op12_merkle_manifest,
     )
 }
 
@@ -97,4 +112,5 @@ ORACLES: dict[str, str] = {
     "op2_chat_format": chat_format.ORACLE,
     "op8_decontamination": decontaminate.ORACLE,
     "op10_topk_search": topk_search.ORACLE,
+    "op12_merkle_manifest": merkle_manifest.ORACLE,
 }
