@@ -15,6 +15,7 @@ from spendlane.llm import (
     line_quality,
     merkle_manifest,
     pattern_packing,
+    phrase_mining,
     simhash_dedup,
     suffix_dedup,
     token_counts,
@@ -99,12 +100,16 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op13_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_mining.collocations(table(spark, sf_dir, "documents"), least=30, covered=80, first=2000)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_token_counts, op2_chat_format, op3_pattern_packing, op4_language_id, op5_suffix_dedup,
         op6_line_quality, op7_simhash_dedup, op8_decontamination, op9_class_lm, op10_topk_search,
-        op12_merkle_manifest,
+        op12_merkle_manifest, op13_phrase_mining,
     )
 }
 
@@ -113,4 +118,5 @@ ORACLES: dict[str, str] = {
     "op8_decontamination": decontaminate.ORACLE,
     "op10_topk_search": topk_search.ORACLE,
     "op12_merkle_manifest": merkle_manifest.ORACLE,
+    "op13_phrase_mining": phrase_mining.ORACLE,
 }
