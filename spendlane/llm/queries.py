@@ -11,6 +11,7 @@ from spendlane.llm import (
     chat_format,
     class_lm,
     decontaminate,
+    embedding_dedup,
     language_id,
     line_quality,
     merkle_manifest,
@@ -87,6 +88,10 @@ def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(table(spark, sf_dir, "embeddings"), lambda i: F.pmod(i, F.lit(50)) == 0, k=5)
 
 
+def op11_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents' manifest; texts of every third id lose their capitals afterwards,
     and the proofs must tell."""
@@ -109,7 +114,7 @@ QUERIES = {
     for f in (
         op1_token_counts, op2_chat_format, op3_pattern_packing, op4_language_id, op5_suffix_dedup,
         op6_line_quality, op7_simhash_dedup, op8_decontamination, op9_class_lm, op10_topk_search,
-        op12_merkle_manifest, op13_phrase_mining,
+        op11_embedding_dedup, op12_merkle_manifest, op13_phrase_mining,
     )
 }
 
@@ -117,6 +122,7 @@ ORACLES: dict[str, str] = {
     "op2_chat_format": chat_format.ORACLE,
     "op8_decontamination": decontaminate.ORACLE,
     "op10_topk_search": topk_search.ORACLE,
+    "op11_embedding_dedup": embedding_dedup.ORACLE,
     "op12_merkle_manifest": merkle_manifest.ORACLE,
     "op13_phrase_mining": phrase_mining.ORACLE,
 }
