@@ -25,21 +25,6 @@ def first_n_rows(df: DataFrame, keys: list[str], order: Column, n: int,
     return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= n)
 
 
-def ordered_rollup(df: DataFrame, keys: list[str], value: str, out: str,
-                   n: int = K.ROLLUP_WIDTH, sep: str = K.ROLLUP_SEPARATOR) -> DataFrame:
-    """One row per group that has a non-null ``value``: the ``n`` smallest
-    non-null values in ascending order, joined by ``sep``, duplicates kept.
-
-    Equal to a chain ``lead(v,0) || coalesce(sep || lead(v,k), '')`` for
-    k = 1..n-1 read at the first row of an ascending, nulls-last ordering.
-    Groups whose values are all null get no row (the chain gives null there).
-    """
-    v = F.col(value)
-    top = first_n_rows(df.filter(v.isNotNull()), keys, v.asc(), n)
-    return top.groupBy(*keys).agg(
-        F.array_join(F.array_sort(F.collect_list(v)), sep).alias(out))
-
-
 def repeated_rollup(values: Column, times: Column, n: int = K.ROLLUP_WIDTH,
                     sep: str = K.ROLLUP_SEPARATOR) -> Column:
     """The roll-up text of an ascending list of at most ``n`` values of which

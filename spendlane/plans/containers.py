@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spendlane.functions import constants as K
+from spendlane.operators.ordered import leads, running_count
 from spendlane.operators.rollup import first_n_rows, repeated_rollup, running_count_at_first
 from spendlane.plans.context import ReportContext
 from spendlane.plans.export_leg import scoped_shipments
@@ -61,12 +62,23 @@ def first_rows(ctx: ReportContext, n: int, rank_col: str = "_rank") -> DataFrame
     return joined.withColumn(rank_col, F.explode(places)).drop("_own", "shipment_rows")
 
 
-def container_counts(ctx: ReportContext) -> DataFrame:
-    """Non-null container numbers among the joined rows of a movement (the
-    running count read at the first row)."""
-    counts = running_count_at_first(container_rows(ctx), ["movement_id"], NUMBER, "_records")
-    return counts.join(movement_rows(ctx), "movement_id").select(
-        "movement_id", (F.col("_records") * F.col("shipment_rows")).alias("container_count"))
+def container_joins(ctx: ReportContext) -> DataFrame:
+    """movement_id, number and type of every joined row: each record once for each
+    shipment row of its movement."""
+    return ocean_movements(ctx).join(container_rows(ctx), "movement_id")
+
+
+def running_counts(ctx: ReportContext) -> DataFrame:
+    """Every joined row with the running count of numbers, from the greatest number
+    down, rows of one number together."""
+    rows = container_joins(ctx).select("movement_id", NUMBER)
+    return running_count(rows, ["movement_id"], NUMBER, "container_count")
+
+
+def number_leads(ctx: ReportContext, offsets: tuple[int, ...]) -> DataFrame:
+    """Every joined row with its place among its movement's numbers and the numbers
+    that follow it at the offsets."""
+    return leads(container_joins(ctx), ["movement_id"], NUMBER, offsets, row="position")
 
 
 def first_values(ctx: ReportContext) -> DataFrame:

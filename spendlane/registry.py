@@ -220,6 +220,7 @@ def _report_subset(cols: tuple[str, ...]):
     return build
 
 
+LEADS = (0, 1, K.ROLLUP_WIDTH - 1)  # the first, the next and the last that a list takes
 LEG_COALESCE_COLS = ("freight", "ship_date", "arrival", "delivery", "eda", "edi", "eds",
                      "proof_of_delivery", "bkd")
 FANOUT_COLS = ("billing_amount", "billing_amount_usd", "hb_count")
@@ -250,13 +251,11 @@ def attach_containers_q(ctx: ReportContext) -> DataFrame:
 
 
 def lead_offsets(ctx: ReportContext) -> DataFrame:
-    top = C.first_rows(ctx, K.ROLLUP_WIDTH, rank_col="position")
-    return top.select("movement_id", (F.col("position") - 1).alias("lead_offset"),
-                      "container_number")
+    return C.number_leads(ctx, LEADS)
 
 
 def running_count(ctx: ReportContext) -> DataFrame:
-    return C.container_counts(ctx)
+    return C.running_counts(ctx)
 
 
 # --------------------------------------------------------------- oracle side
@@ -354,12 +353,13 @@ FROM lines GROUP BY ALL""", "lines"),
                               "SELECT ei_file_number, container_sizes FROM container_lists", "container_lists"),
     "containers": (WHOLE, C.containers, "SELECT * FROM container_lists", "container_lists"),
     "lead_offsets": (WHOLE, lead_offsets, f"""
-SELECT movement_id, unnest(range(len(kept))) AS lead_offset, unnest(kept) AS container_number
-FROM (SELECT movement_id, list_sort(list(container_number), 'ASC', 'NULLS LAST')[1:{O.LISTED}] AS kept
-      FROM ocean_containers GROUP BY movement_id)""", "ocean_containers"),
+SELECT movement_id, container_number, row_number() OVER w AS position,
+       {', '.join(f"lead(container_number, {k}, NULL) OVER w AS lead_{k}" for k in LEADS)}
+FROM ocean_containers WINDOW w AS (PARTITION BY movement_id ORDER BY container_number NULLS LAST)""", "ocean_containers"),
     "running_count": (WHOLE, running_count, """
-SELECT movement_id, count(container_number) AS container_count FROM ocean_containers GROUP BY movement_id""",
-                      "ocean_containers"),
+SELECT movement_id, container_number,
+       count(container_number) OVER (PARTITION BY movement_id ORDER BY container_number DESC NULLS LAST) AS container_count
+FROM ocean_containers""", "ocean_containers"),
     "optional_service_type": (WHOLE, optional_service_type, """
 SELECT invoice_number, s.service_type_key, service_type_code
 FROM v_import_shipment_fact s LEFT JOIN v_service_type_dimension USING (service_type_key)"""),
