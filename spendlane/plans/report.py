@@ -11,7 +11,7 @@ from spendlane.plans.containers import containers
 from spendlane.plans.context import ReportContext
 from spendlane.plans.export_leg import export_leg
 from spendlane.plans.import_leg import import_leg
-from spendlane.plans.legs_per_invoice import SUMMED, legs_per_invoice
+from spendlane.plans.legs_per_invoice import KEY, SUMMED, export_per_invoice, import_per_invoice, leg_values
 from spendlane.plans.lines import invoice_lines
 
 GROUP_KEYS = [
@@ -64,28 +64,29 @@ REPORT_COLUMNS = [
 ]
 
 
+# attributes of a line's dimension rows; what follows from a group key alone (ship
+# mode, charge type, calendar labels of the invoice time and date) is computed per group
 LINE_MAXED = [
     "billing_client_id", "billing_client_name", "gci_and_billing_client_name",
     "billing_currency", "billing_branch_code", "customer_invoice_type",
     "billing_master_client_number", "billing_master_client_name", "invoice_year",
-    "invoice_month", "billing_branch_country_name", "ship_mode",
-    "billing_client_usage_distinction_type", "f2f_flag", "charge_type", "invoice_month_number",
+    "invoice_month", "billing_branch_country_name", "billing_client_usage_distinction_type",
+    "f2f_flag",
 ]
 
 
 def lines_per_group(ctx: ReportContext) -> DataFrame:
-    """Invoice lines aggregated on the seven report keys (no leg columns)."""
+    """Invoice lines aggregated on the seven report keys (no leg columns).
+
+    Tasks combine their lines to one partial state per group (rows, sums, maxima)
+    before the shuffle, so a group that holds a third of all lines reaches its
+    reducer as one row per task.
+    """
     df = invoice_lines(ctx)
     p = ctx.params
     if p.invoice_numbers is not None and p.scope_final:
         df = df.filter(F.col("invoice_expeditor").isin(*p.invoice_numbers))
-    # groups are (nearly) single lines, so a map-side partial aggregate saves
-    # nothing; clustering first lets the one sort serve both aggregate phases.
-    # A seven-key group is one invoice line, so this shuffle cannot be skewed.
-    df = (df.withColumn("_month2", R.month_label("invoice_date_time"))
-          .withColumn("_quarter", R.quarter_label("invoice_date"))
-          .repartition(*GROUP_KEYS))
-    return df.groupBy(*GROUP_KEYS).agg(
+    grouped = df.groupBy(*GROUP_KEYS).agg(
         F.count(F.lit(1)).alias("q_rows"),
         F.sum("billing_amount").alias("q_sum_amount"),
         F.max("billing_amount").alias("q_max_amount"),
@@ -93,8 +94,14 @@ def lines_per_group(ctx: ReportContext) -> DataFrame:
         F.max("billing_amount_usd").alias("q_max_amount_usd"),
         F.avg("usd_average_exchange_rate").cast(RATE).alias("usd_average_exchange_rate"),
         *[F.max(c).alias(c) for c in LINE_MAXED],
-        F.max("_month2").alias("invoice_month2"),
-        F.max("_quarter").alias("invoice_quarter"),
+    )
+    return grouped.select(
+        "*",
+        R.ship_mode("internal_reference").alias("ship_mode"),
+        R.charge_type("billing_code", F.col("billing_line_description"), merged=p.merged_charges).alias("charge_type"),
+        F.month("invoice_date").alias("invoice_month_number"),
+        R.month_label("invoice_date_time").alias("invoice_month2"),
+        R.quarter_label("invoice_date").alias("invoice_quarter"),
     )
 
 
@@ -108,28 +115,27 @@ CLEANED = {
 
 def grouped_report(ctx: ReportContext) -> DataFrame:
     """The report grouped on its seven keys (description still raw): line
-    groups joined to one row of leg values per invoice (see
+    groups joined to the export and the import row of their invoice (see
     :mod:`spendlane.plans.legs_per_invoice`).  Lines are never multiplied by leg
     rows; sums over the joined rows are the line sums times the leg rows, and the
     leg sums times the line rows."""
     # a line without a reference meets nothing: it gets a key of its own, so such
     # lines spread over all tasks instead of meeting in one
     own = F.concat(F.lit("\0"), F.xxhash64("invoice_expeditor", "invoice_expeditor_line", "billing_code").cast("string"))
-    q = lines_per_group(ctx).withColumn("_key", F.coalesce("internal_reference", own))
-    legs = legs_per_invoice(ctx)
-    df = q.join(legs, q["_key"] == legs.leg_invoice, "left")
-    hb_count = F.coalesce("hb_count", F.lit(0)).cast("bigint")
-    leg_rows = F.coalesce("n_leg_rows", F.lit(1))
+    q = lines_per_group(ctx).withColumn(KEY, F.coalesce("internal_reference", own))
+    df = q.join(export_per_invoice(ctx), KEY, "left").join(import_per_invoice(ctx), KEY, "left")
+    legs = leg_values()
+    hb_count, leg_rows = legs["hb_count"], legs["n_leg_rows"]
 
     def amount(name: str, kind: str) -> Column:
         total = F.col(f"q_sum_{name}") * leg_rows
         return F.when(hb_count > 1, F.col(f"q_max_{name}")).otherwise(total).cast(kind)
 
-    cols = {c: f(c) for c, f in CLEANED.items()}
-    cols |= {c: (F.col("q_rows") * F.col(c)).cast(AMOUNT) for c in SUMMED}
+    cols = {c: legs[c] for c in legs if c in REPORT_COLUMNS}
+    cols |= {c: f(legs[c]) for c, f in CLEANED.items()}
+    cols |= {c: (F.col("q_rows") * legs[c]).cast(AMOUNT) for c in SUMMED}
     cols["destination_country"] = F.greatest(
-        "leg_country", F.when(F.coalesce("country_open", F.lit(True)), F.col("billing_branch_country_name")))
-    cols["hb_count"] = hb_count
+        legs["leg_country"], F.when(legs["country_open"], F.col("billing_branch_country_name")))
     cols["billing_amount"] = amount("amount", AMOUNT)
     cols["billing_amount_usd"] = amount("amount_usd", AMOUNT_USD)
     cols["bill_to_customer_flag"] = R.bill_to_flag_final("f2f_flag", "billing_client_usage_distinction_type")
