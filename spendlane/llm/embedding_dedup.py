@@ -42,7 +42,7 @@ SAMPLE = 512
 MAX_CELLS = 4096  # centres; beyond 2 million classes cells grow and are cut into more tiles
 TILE = 4096  # members, and partners, of a tile
 BLOCK = 256  # partners scored at once
-PROBE = 3.0
+PROBE = 2.0
 EPSILON = 5.0
 SEED = 20
 EDGE = 1e-6  # radians kept clear of rounding where no exact value is computed
