@@ -59,6 +59,11 @@ STRIPE = pa.schema([
     ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int64())),
 ])
 STRIPE_SQL = "lang string, prefix string, slice int, words array<string>, counts array<long>"
+# as tasks pass them on: words (which hold no blank) joined by one, counts as 32-bit integers
+PARTIAL = pa.schema([
+    ("lang", pa.string()), ("prefix", pa.string()), ("slice", pa.int32()), ("words", pa.string()), ("counts", pa.binary()),
+])
+PARTIAL_SQL = "lang string, prefix string, slice int, words string, counts binary"
 MERGED = STRIPE.append(pa.field("total", pa.int64()))
 
 
@@ -217,12 +222,13 @@ class Stripes:
         for a in range(0, len(begin), 20000):
             b = begin[a:a + 20000]
             end = int(begin[a + 20000]) if a + 20000 < len(begin) else len(n)
-            at = pa.array(np.append(b, end) - b[0], pa.int32())
+            at = np.append(b, end) - b[0]
+            words = pa.ListArray.from_arrays(pa.array(at, pa.int32()), vocabulary.take(pa.array(nxt[b[0]:end])))
+            counts = [None, pa.py_buffer((at * 4).astype(np.int32)), pa.py_buffer(n[b[0]:end].astype("<i4"))]
             yield pa.RecordBatch.from_arrays([
                 pa.array([self.lang] * len(b), pa.string()), prefix.take(pa.array(run[b])), pa.array(piece[b], pa.int32()),
-                pa.ListArray.from_arrays(at, vocabulary.take(pa.array(nxt[b[0]:end]))),
-                pa.ListArray.from_arrays(at, pa.array(n[b[0]:end], pa.int64())),
-            ], schema=STRIPE)
+                pc.binary_join(words, " "), pa.Array.from_buffers(pa.binary(), len(b), counts),
+            ], schema=PARTIAL)
 
 
 def combined(hi: np.ndarray, lo: np.ndarray, n: np.ndarray):
@@ -304,11 +310,18 @@ def merger(least: int):
             rest = pa.Table.from_arrays([*keys.slice(done).columns, words, counts], schema=STRIPE)
         return complete, rest
 
+    def opened(batch: pa.RecordBatch) -> pa.Table:
+        words = pc.split_pattern(batch.column("words"), " ")
+        counts = np.frombuffer(b"".join(batch.column("counts").to_pylist()), "<i4").astype(np.int64)
+        return pa.Table.from_arrays([
+            *[batch.column(c) for c in ("lang", "prefix", "slice")], words, pa.ListArray.from_arrays(words.offsets, pa.array(counts)),
+        ], schema=STRIPE)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
         for batch in batches:
             if batch.num_rows:
-                rows = pa.Table.from_batches([batch.select(STRIPE.names)]).cast(STRIPE)
+                rows = opened(batch)
                 complete, rest = merge(pa.concat_tables([rest, rows]) if rest is not None else rows, False)
                 if complete.num_rows:
                     yield complete
@@ -320,7 +333,7 @@ def merger(least: int):
 
 def stripes(texts: DataFrame, size: int, frequent, least: int) -> DataFrame:
     """Merged stripes of prefixes of ``size`` words: lang, prefix, slice, words, counts, total."""
-    partial = texts.mapInArrow(counter(size, frequent), STRIPE_SQL)
+    partial = texts.mapInArrow(counter(size, frequent), PARTIAL_SQL)
     met = partial.repartition("lang", "prefix", "slice").sortWithinPartitions("lang", "prefix", "slice")
     return written(met.mapInArrow(merger(least), STRIPE_SQL + ", total long"), f"stripes-{size}")
 

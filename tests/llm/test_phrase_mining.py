@@ -118,7 +118,7 @@ def test_windows_and_flushes_change_nothing(monkeypatch):
     want = {p: c for p, c in counts(rows)["en"].items() if len(p) == 1 and c >= 5}
 
     def merged():
-        made = pa.Table.from_batches(P.counter(0, None)(stream(table, 7)), P.STRIPE).to_pandas()
+        made = pa.Table.from_batches(P.counter(0, None)(stream(table, 7)), P.PARTIAL).to_pandas()
         made = made.sort_values(["lang", "prefix", "slice"], kind="stable")
         out = [pa.Table.from_batches([b]).to_pylist() for b in P.merger(5)(stream(made, 2))]
         out = [r for b in out for r in b]
