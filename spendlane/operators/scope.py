@@ -44,3 +44,15 @@ def invoice_scope(df: DataFrame, col: str, params: ReportParams) -> DataFrame:
     if params.invoice_numbers is None:
         return df
     return df.filter(F.col(col).isin(*params.invoice_numbers))
+
+
+def table_scope(df: DataFrame, col: str, ids: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose ``col`` is in ``ids``, a table of one column, of any size:
+    a left semi-join.  Repeated and null ids change nothing.
+
+    The comparison holds for every id; it tells the optimiser that the table is a
+    selection, so that it builds its runtime filter from it and applies it to the scan.
+    """
+    name = ids.columns[0]
+    chosen = ids.select(F.col(name).cast("string").alias("scope_id")).filter(F.col("scope_id") >= "")
+    return df.join(chosen, df[col] == chosen["scope_id"], "left_semi")

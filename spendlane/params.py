@@ -21,6 +21,9 @@ class ReportParams:
     ``invoice_numbers``: optional spot-check scope;
     ``scope_export_references`` and ``scope_final`` say where besides the lines
     and legs the scope is applied.
+    ``stacked_roles``: dimensions (``"party_clients"``, ``"branches"``, ``"ports"``) too
+    large to broadcast, whose roles in a leg are found by one lookup instead of a
+    join each; the rows are the same.
     """
 
     client_type: str = MASTER
@@ -31,10 +34,14 @@ class ReportParams:
     invoice_numbers: tuple[str, ...] | None = None
     scope_export_references: bool = True
     scope_final: bool = True
+    stacked_roles: tuple[str, ...] = ()
 
     def __post_init__(self):
         if self.variant not in ("canonical", "port_country"):
             raise ValueError(f"unknown variant {self.variant!r}")
+        unknown = set(self.stacked_roles) - {"party_clients", "branches", "ports"}
+        if unknown:
+            raise ValueError(f"no such roles: {sorted(unknown)}")
         for name in ("client_ids", "invoice_numbers"):
             given = getattr(self, name)
             if given is not None:

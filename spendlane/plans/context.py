@@ -6,19 +6,48 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from spendlane.operators.scope import client_scope
+from spendlane.operators.joins import Role, join_roles
+from spendlane.operators.scope import client_scope, client_scope_column, invoice_scope, table_scope
 from spendlane.params import ReportParams
+from spendlane.shared import written
 from spendlane.sources.named import NamedViews
 from spendlane.sources.views import Views
 
-CLIENT_ROLE_COLUMNS = ["gci_name", "gci_addr_line1", "gci_addr_line2", "gci_state", "gci_city"]
+CLIENT_ROLE_COLUMNS = ("gci_name", "gci_addr_line1", "gci_addr_line2", "gci_state", "gci_city")
+BRANCH_ROLE_COLUMNS = ("branch_code", "country_name", "region_code_1")
+PORT_ROLE_COLUMNS = ("port_code", "country_name")
+
+
+def leg_roles(origin: str, destination: str, shipper: str, consignee: str, ports: tuple[str, str],
+              port_prefixes: tuple[str, str]) -> tuple[Role, ...]:
+    """The branches, parties and ports of a leg, by the names of its fact's keys."""
+    return (
+        Role("bo_", "branches", "branch_key", origin, BRANCH_ROLE_COLUMNS),
+        Role("bd_", "branches", "branch_key", destination, BRANCH_ROLE_COLUMNS),
+        Role("sh_", "party_clients", "client_key", shipper, CLIENT_ROLE_COLUMNS),
+        Role("cn_", "party_clients", "client_key", consignee, CLIENT_ROLE_COLUMNS),
+        Role(port_prefixes[0], "ports", "port_key", ports[0], PORT_ROLE_COLUMNS),
+        Role(port_prefixes[1], "ports", "port_key", ports[1], PORT_ROLE_COLUMNS),
+    )
 
 
 class ReportContext:
-    def __init__(self, views: Views | NamedViews, params: ReportParams):
+    """``clients`` and ``invoices``: scopes given as tables of one column (client or
+    master numbers by the run's client type; invoice numbers) instead of the lists of
+    ``params``; they may hold any number of ids."""
+
+    def __init__(self, views: Views | NamedViews, params: ReportParams, clients: DataFrame | None = None,
+                 invoices: DataFrame | None = None):
+        if clients is not None and params.client_ids is not None:
+            raise ValueError("clients are given both as a list and as a table")
+        if invoices is not None and params.invoice_numbers is not None:
+            raise ValueError("invoices are given both as a list and as a table")
         self.views = views
         self.params = params
+        self.clients = clients
+        self.invoices = invoices
         self._memo: dict[str, DataFrame] = {}
 
     def memo(self, key: str, build) -> DataFrame:
@@ -28,6 +57,10 @@ class ReportContext:
             self._memo[key] = build()
         return self._memo[key]
 
+    def with_roles(self, facts: DataFrame, roles: tuple[Role, ...]) -> DataFrame:
+        """``facts`` joined to the dimensions of ``roles``."""
+        return join_roles(facts, roles, lambda name: getattr(self, name), self.params.stacked_roles)
+
     @classmethod
     def from_dir(cls, spark: SparkSession, base_dir: str, params: ReportParams) -> "ReportContext":
         """Context over the views derived from the tables of ``base_dir``."""
@@ -37,12 +70,34 @@ class ReportContext:
     def spark(self) -> SparkSession:
         return self.views.spark
 
+    @property
+    def scoped(self) -> bool:
+        """Whether the run is restricted to some clients or invoices."""
+        return self.params.scoped or self.clients is not None or self.invoices is not None
+
+    @property
+    def scopes_invoices(self) -> bool:
+        return self.params.invoice_numbers is not None or self.invoices is not None
+
+    def in_invoice_scope(self, df: DataFrame, col: str) -> DataFrame:
+        """Rows of the invoices that the run names, by list or by table."""
+        if self.invoices is not None:
+            return table_scope(df, col, self.invoices)
+        return invoice_scope(df, col, self.params)
+
     @cached_property
     def scoped_clients(self) -> DataFrame:
-        """Clients in scope, projected to what the legs read."""
+        """Clients in scope, projected to what the legs read.
+
+        A scope given as a table is looked up once and written, so that the facts
+        join a small stored selection, which can prune their scans at run time."""
         cols = ["client_key", "gci", "gci_name", "master_client_number", "master_client_name",
                 "usage_distinction_type"]
-        return client_scope(self.views.client_dimension, self.params).select(*cols)
+        if self.clients is None:
+            return client_scope(self.views.client_dimension, self.params).select(*cols)
+        chosen = table_scope(self.views.client_dimension, client_scope_column(self.params), self.clients)
+        least = -(1 << 63)  # of a key: holds for all, and marks a selection as in table_scope
+        return written(chosen.select(*cols), "clients-in-scope").filter(F.col("client_key") >= F.lit(least))
 
     @cached_property
     def party_clients(self) -> DataFrame:

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 
 from spendlane.functions import constants as K
 from spendlane.functions import rules as R
-from spendlane.operators.joins import role
 from spendlane.operators.pivots import max_code_milestone
-from spendlane.operators.scope import invoice_scope
-from spendlane.plans.attributes import EXPORT, invoice_attributes, max_code, max_time, reference
-from spendlane.plans.context import CLIENT_ROLE_COLUMNS, ReportContext
+from spendlane.plans.attributes import EXPORT, max_code, max_time, reference, with_attributes
+from spendlane.plans.context import ReportContext, leg_roles
+
+ROLES = leg_roles("branch_origin_key", "branch_dest_key", "outbound_shipper_key", "outbound_consignee_key",
+                  ("port_origin_key", "port_dest_key"), ("op_", "dp_"))
 
 
 def scoped_shipments(ctx: ReportContext) -> DataFrame:
@@ -32,9 +33,9 @@ def scoped_movement_invoices(ctx: ReportContext) -> DataFrame:
     def build() -> DataFrame:
         im = ctx.views.invoice_movement
         if ctx.params.scope_export_references:
-            im = invoice_scope(im, "invoice_number", ctx.params)
+            im = ctx.in_invoice_scope(im, "invoice_number")
         ids = scoped_shipments(ctx).select("movement_id")
-        return im.join(ids, "movement_id", "left_semi") if ctx.params.scoped else im
+        return im.join(ids, "movement_id", "left_semi") if ctx.scoped else im
     return ctx.memo("scoped_movement_invoices", build)
 
 
@@ -56,11 +57,7 @@ def _export_references(ctx: ReportContext) -> DataFrame:
         F.max("ci_references").alias("srf_ci"),
         F.max("en_references").alias("srf_en"))
     im = scoped_movement_invoices(ctx)
-    attributes = invoice_attributes(ctx)
-    per_invoice = (
-        sf.join(srf, "movement_id").join(im, "movement_id")
-        .join(attributes, im.invoice_number == attributes.invoice_no, "left")
-    )
+    per_invoice = with_attributes(ctx, sf.join(srf, "movement_id").join(im, "movement_id"), "invoice_number")
     ic = F.max(reference("IC"))
     code, time = F.max(max_code(EXPORT)), F.max(max_time(EXPORT))
     return per_invoice.groupBy(F.col("movement_id").alias("so_ei_file_number")).agg(
@@ -99,31 +96,19 @@ def export_leg_base(ctx: ReportContext) -> DataFrame:
 
 
 def _export_leg_base(ctx: ReportContext) -> DataFrame:
-    v, p = ctx.views, ctx.params
+    v = ctx.views
     sf = scoped_shipments(ctx)
     sfe = v.shipment_fact_events_timeline
-    im = invoice_scope(v.invoice_movement, "invoice_number", p)
-    branch_cols = ["branch_code", "country_name", "region_code_1"]
-    bo = role(ctx.branches, "branch_key", "bo_", branch_cols)
-    bd = role(ctx.branches, "branch_key", "bd_", branch_cols)
-    sh = role(ctx.party_clients, "client_key", "sh_", CLIENT_ROLE_COLUMNS)
-    cn = role(ctx.party_clients, "client_key", "cn_", CLIENT_ROLE_COLUMNS)
-    op = role(ctx.ports, "port_key", "op_", ["port_code", "country_name"])
-    dp = role(ctx.ports, "port_key", "dp_", ["port_code", "country_name"])
+    im = ctx.in_invoice_scope(v.invoice_movement, "invoice_number")
     srf = v.shipment_reference_fact.select(F.col("movement_id").alias("srf_movement_id"),
                                            "po_references")
     df = (
-        sf.join(sfe, "shipment_fact_key")
-        .join(bo, sf.branch_origin_key == bo.bo_key)
-        .join(bd, sf.branch_dest_key == bd.bd_key)
+        ctx.with_roles(sf, ROLES)
+        .join(sfe, "shipment_fact_key")
         .join(im, "movement_id")
-        .join(cn, sf.outbound_consignee_key == cn.cn_key)
         .join(ctx.service_levels, "service_level_key")
-        .join(sh, sf.outbound_shipper_key == sh.sh_key)
-        .join(op, sf.port_origin_key == op.op_key)
-        .join(dp, sf.port_dest_key == dp.dp_key)
         .join(ctx.service_types, "service_type_key", "left")
-        .join(srf, F.col("movement_id") == srf.srf_movement_id, "left")
+        .join(srf, F.col("movement_id") == F.col("srf_movement_id"), "left")
     )
     countries = ("op_", "dp_") if ctx.params.port_countries else ("bo_", "bd_")
     return _export_base_select(df, countries)

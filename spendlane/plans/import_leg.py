@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from spendlane.functions import constants as K
 from spendlane.functions import rules as R
-from spendlane.operators.joins import role
 from spendlane.operators.pivots import event_extremes, max_code_milestone, reference_pivot
-from spendlane.operators.scope import invoice_scope
-from spendlane.plans.attributes import IMPORT, invoice_attributes, max_code, max_time, reference
-from spendlane.plans.context import CLIENT_ROLE_COLUMNS, ReportContext
+from spendlane.plans.attributes import IMPORT, max_code, max_time, reference, with_attributes
+from spendlane.plans.context import ReportContext, leg_roles
+
+ROLES = leg_roles("branch_origin_key", "branch_destination_key", "shipper_key", "consignee_key",
+                  ("port_origin_key", "port_destination_key"), ("po_", "pd_"))
 
 
 def import_references(ctx: ReportContext) -> DataFrame:
@@ -27,7 +28,7 @@ def import_event_extremes(ctx: ReportContext) -> DataFrame:
 def scoped_imports(ctx: ReportContext) -> DataFrame:
     """Import shipments of the run's invoices and clients."""
     def build() -> DataFrame:
-        isf = invoice_scope(ctx.views.import_shipment_fact, "invoice_number", ctx.params)
+        isf = ctx.in_invoice_scope(ctx.views.import_shipment_fact, "invoice_number")
         importers = ctx.scoped_clients.select("client_key")
         return isf.join(importers, isf.importer_key == importers.client_key, "left_semi")
     return ctx.memo("scoped_imports", build)
@@ -35,24 +36,9 @@ def scoped_imports(ctx: ReportContext) -> DataFrame:
 
 def import_shipments(ctx: ReportContext) -> DataFrame:
     """Scoped import shipments joined to their role-playing dimensions."""
-    isf = scoped_imports(ctx)
-    branch_cols = ["branch_code", "country_name", "region_code_1"]
-    bo = role(ctx.branches, "branch_key", "bo_", branch_cols)
-    bd = role(ctx.branches, "branch_key", "bd_", branch_cols)
-    sh = role(ctx.party_clients, "client_key", "sh_", CLIENT_ROLE_COLUMNS)
-    cn = role(ctx.party_clients, "client_key", "cn_", CLIENT_ROLE_COLUMNS)
-    po = role(ctx.ports, "port_key", "po_", ["port_code", "country_name"])
-    pd = role(ctx.ports, "port_key", "pd_", ["port_code", "country_name"])
-    return (
-        isf.join(bo, isf.branch_origin_key == bo.bo_key)
-        .join(bd, isf.branch_destination_key == bd.bd_key)
-        .join(sh, isf.shipper_key == sh.sh_key)
-        .join(cn, isf.consignee_key == cn.cn_key)
-        .join(ctx.service_levels, "service_level_key")
-        .join(po, isf.port_origin_key == po.po_key)
-        .join(pd, isf.port_destination_key == pd.pd_key)
-        .join(ctx.service_types, "service_type_key", "left")
-    )
+    rows = ctx.with_roles(scoped_imports(ctx), ROLES)
+    return (rows.join(ctx.service_levels, "service_level_key")
+            .join(ctx.service_types, "service_type_key", "left"))
 
 
 def import_leg(ctx: ReportContext) -> DataFrame:
@@ -65,9 +51,7 @@ def import_leg(ctx: ReportContext) -> DataFrame:
 
 
 def _import_leg(ctx: ReportContext) -> DataFrame:
-    ship = import_shipments(ctx)
-    attributes = invoice_attributes(ctx)
-    df = ship.join(attributes, ship.invoice_number == attributes.invoice_no, "left")
+    df = with_attributes(ctx, import_shipments(ctx), "invoice_number")
     countries = ("po_", "pd_") if ctx.params.port_countries else ("bo_", "bd_")
     code, time = F.max(max_code(IMPORT)), F.max(max_time(IMPORT))
     ic = F.max(reference("IC"))

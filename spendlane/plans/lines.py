@@ -6,21 +6,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendlane.functions import rules as R
-from spendlane.operators.scope import date_scope, invoice_scope, keep_code_country
+from spendlane.operators.scope import date_scope, keep_code_country
 from spendlane.plans.context import ReportContext
+from spendlane.sources.named import INVOICE_MONTH
 
 
 def enriched_lines(ctx: ReportContext) -> DataFrame:
     """Invoice lines joined to their six dimensions and scoped by client,
     date and (optionally) invoice, *before* the code/country exclusion."""
-    v, p = ctx.views, ctx.params
-    cif = invoice_scope(v.customer_invoice_fact, "invoice_number", p)
-    dates = date_scope(v.date_dimension, "date", p)
+    v = ctx.views
+    cif = ctx.in_invoice_scope(v.customer_invoice_fact, "invoice_number")
+    dates = date_scope(v.date_dimension, "date", ctx.params)
+    on_date = cif.dt_invoice_date_key == dates.date_key
+    if INVOICE_MONTH in cif.columns and INVOICE_MONTH in dates.columns:
+        # stored by month: the dates in scope prune the fact's partitions
+        on_date = on_date & (cif[INVOICE_MONTH] == dates[INVOICE_MONTH])
     rates = v.currency_exchange_dimension
     currencies = v.currency_dimension
     clients = ctx.scoped_clients
     return (
-        cif.join(dates, cif.dt_invoice_date_key == dates.date_key)
+        cif.join(dates, on_date)
         .join(clients, cif.billing_client_key == clients.client_key)
         .join(rates, (rates.date_month_key == cif.dt_revenue_month_key)
               & (rates.currency_key == cif.billing_currency_key))

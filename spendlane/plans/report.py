@@ -84,8 +84,8 @@ def lines_per_group(ctx: ReportContext) -> DataFrame:
     """
     df = invoice_lines(ctx)
     p = ctx.params
-    if p.invoice_numbers is not None and p.scope_final:
-        df = df.filter(F.col("invoice_expeditor").isin(*p.invoice_numbers))
+    if ctx.scopes_invoices and p.scope_final:
+        df = ctx.in_invoice_scope(df, "invoice_expeditor")
     grouped = df.groupBy(*GROUP_KEYS).agg(
         F.count(F.lit(1)).alias("q_rows"),
         F.sum("billing_amount").alias("q_sum_amount"),
