@@ -11,7 +11,7 @@ from spendlane.plans.containers import containers
 from spendlane.plans.context import ReportContext
 from spendlane.plans.export_leg import export_leg
 from spendlane.plans.import_leg import import_leg
-from spendlane.plans.legs_per_invoice import KEY, SUMMED, export_per_invoice, import_per_invoice, leg_values
+from spendlane.plans.legs_per_invoice import KEY, SUMMED, legs_per_invoice
 from spendlane.plans.lines import invoice_lines
 
 GROUP_KEYS = [
@@ -115,7 +115,7 @@ CLEANED = {
 
 def grouped_report(ctx: ReportContext) -> DataFrame:
     """The report grouped on its seven keys (description still raw): line
-    groups joined to the export and the import row of their invoice (see
+    groups joined to one row of leg values per invoice (see
     :mod:`spendlane.plans.legs_per_invoice`).  Lines are never multiplied by leg
     rows; sums over the joined rows are the line sums times the leg rows, and the
     leg sums times the line rows."""
@@ -123,19 +123,19 @@ def grouped_report(ctx: ReportContext) -> DataFrame:
     # lines spread over all tasks instead of meeting in one
     own = F.concat(F.lit("\0"), F.xxhash64("invoice_expeditor", "invoice_expeditor_line", "billing_code").cast("string"))
     q = lines_per_group(ctx).withColumn(KEY, F.coalesce("internal_reference", own))
-    df = q.join(export_per_invoice(ctx), KEY, "left").join(import_per_invoice(ctx), KEY, "left")
-    legs = leg_values()
-    hb_count, leg_rows = legs["hb_count"], legs["n_leg_rows"]
+    df = q.join(legs_per_invoice(ctx), KEY, "left")
+    hb_count = F.coalesce("hb_count", F.lit(0)).cast("bigint")
+    leg_rows = F.coalesce("n_leg_rows", F.lit(1))
 
     def amount(name: str, kind: str) -> Column:
         total = F.col(f"q_sum_{name}") * leg_rows
         return F.when(hb_count > 1, F.col(f"q_max_{name}")).otherwise(total).cast(kind)
 
-    cols = {c: legs[c] for c in legs if c in REPORT_COLUMNS}
-    cols |= {c: f(legs[c]) for c, f in CLEANED.items()}
-    cols |= {c: (F.col("q_rows") * legs[c]).cast(AMOUNT) for c in SUMMED}
+    cols = {c: f(c) for c, f in CLEANED.items()}
+    cols |= {c: (F.col("q_rows") * F.col(c)).cast(AMOUNT) for c in SUMMED}
+    cols["hb_count"] = hb_count
     cols["destination_country"] = F.greatest(
-        legs["leg_country"], F.when(legs["country_open"], F.col("billing_branch_country_name")))
+        "leg_country", F.when(F.coalesce("country_open", F.lit(True)), F.col("billing_branch_country_name")))
     cols["billing_amount"] = amount("amount", AMOUNT)
     cols["billing_amount_usd"] = amount("amount_usd", AMOUNT_USD)
     cols["bill_to_customer_flag"] = R.bill_to_flag_final("f2f_flag", "billing_client_usage_distinction_type")
