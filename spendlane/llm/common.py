@@ -22,12 +22,13 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
 
 
-def doc_texts(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and ``text`` only, so extra columns can clash with nothing;
+def doc_texts(docs: DataFrame, also: str | None = None) -> DataFrame:
+    """``doc_id`` and ``text`` only (and ``also``), so extra columns can clash with nothing;
     a null text is the empty text."""
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text"), F.lit("")).alias("text"),
+        *([F.col(also)] if also else []),
     )
 
 

@@ -60,20 +60,22 @@ def fingerprint(text: bytes, words: int = 4, seed: int = SEED) -> int:
     return int(np.packbits(total * 2 > len(h), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
-    """doc_id, fp (the fingerprint as a signed long) per row."""
+def fingerprints(docs: DataFrame, words: int = 4, also: str | None = None) -> DataFrame:
+    """doc_id, fp (the fingerprint as a signed long) per row, and a long column ``also``."""
 
     def make():
         def one(batch):
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             fps = np.array([fingerprint(t, words) for t in texts], np.uint64).view(np.int64)
-            return {"doc_id": batch.column("doc_id"), "fp": fps}
+            out = {"doc_id": batch.column("doc_id"), "fp": fps}
+            return out | {also: batch.column(also)} if also else out
 
         return one
 
     bounded_batches(docs.sparkSession)
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
-    return doc_texts(docs).mapInArrow(per_batch(make, schema), "doc_id long, fp long")
+    names = ["doc_id", "fp", *([also] if also else [])]
+    schema = pa.schema([(n, pa.int64()) for n in names])
+    return doc_texts(docs, also).mapInArrow(per_batch(make, schema), ", ".join(f"{n} long" for n in names))
 
 
 def pivot_fingerprints(n: int = PIVOTS) -> np.ndarray:
@@ -197,15 +199,21 @@ def near_links(classes: DataFrame, max_bits: int) -> DataFrame:
     return met.mapInArrow(link, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, words: int = 4, max_bits: int = 4) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id: the smallest doc_id of
-    the documents reachable over links, the row's own included."""
-    rows = written(fingerprints(docs, words), "fingerprints")
+def component_of(rows: DataFrame, max_bits: int) -> DataFrame:
+    """fp, first_id (smallest id of the fingerprint's rows) and component of every
+    fingerprint of ``rows`` (doc_id, fp)."""
     classes = rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     members = connected_components(near_links(classes, max_bits))  # node, component: linked classes only
-    known = classes.join(members.withColumnRenamed("node", "fp"), "fp", "left").select(
+    return classes.join(members.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "first_id", F.coalesce("component", "fp").alias("component")
     )
+
+
+def near_duplicates(docs: DataFrame, words: int = 4, max_bits: int = 4) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id: the smallest doc_id of
+    the documents reachable over links, the row's own included."""
+    rows = written(fingerprints(docs, words), "fingerprints")
+    known = component_of(rows, max_bits)
     smallest = known.groupBy("component").agg(F.min("first_id").alias("component_id"))
     by_fp = known.join(smallest, "component").select("fp", "component_id")
     return rows.join(by_fp, "fp").select(
@@ -214,8 +222,23 @@ def near_duplicates(docs: DataFrame, words: int = 4, max_bits: int = 4) -> DataF
 
 
 def one_of_each(docs: DataFrame, words: int = 4, max_bits: int = 4) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of their component; rows that
-    repeat an id are one document and stay together."""
-    near = near_duplicates(docs, words, max_bits)
-    first = near.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("first_id"))
-    return docs.join(first, docs["doc_id"].eqNullSafe(first["first_id"]), "left_semi")
+    """Exactly one row of ``docs`` from each component: the one with the smallest id
+    (null after all others), of several with that id the one with the smallest hash
+    over all columns, of equal rows one."""
+    columns = docs.columns
+    mark = F.xxhash64(*[F.col(f"`{c}`") for c in columns])
+    marked = docs.select("doc_id", "text", mark.alias("mark"))
+    rows = written(fingerprints(marked, words, also="mark"), "fingerprints")
+    component = component_of(rows, max_bits).select("fp", "component")
+    # equal rows are counted first, combined map-side, so a hot component sends a row per task
+    each = rows.join(component, "fp").groupBy("component", "doc_id", "mark").agg(F.count("*").alias("n"))
+    best = each.groupBy("component").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark", "n")).alias("best"))
+    kept = written(best.select(F.col("best.doc_id").alias("_id"), F.col("best.mark").alias("_mark"), F.col("best.n").alias("_n")), "kept")
+
+    def rows_of(chosen: DataFrame) -> DataFrame:
+        return docs.join(chosen, docs["doc_id"].cast("long").eqNullSafe(chosen["_id"]) & (mark == chosen["_mark"]), "left_semi")
+
+    repeated = kept.where("_n > 1")
+    single = rows_of(kept.where("_n = 1"))
+    return single if repeated.isEmpty() else single.unionByName(rows_of(repeated).dropDuplicates(columns))

@@ -50,5 +50,31 @@ def test_every_operator_has_its_query():
     import __spark_entry__
 
     names = __spark_entry__.queries()
-    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 11)) and "pipeline" in names
+    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 14)) and "pipeline" in names
     assert [n for n, _ in corpus_pipeline.STAGES] and len(corpus_pipeline.STAGES) == 5
+
+
+def test_odd_documents_pass_all_stages(spark, sf_dir, tmp_path):
+    """Null ids, repeated rows, null and empty texts: at most one row of each group
+    reaches the packing; an empty table gives no piece."""
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    odd = docs.unionByName(docs.where("doc_id % 2 = 0")).unionByName(
+        docs.where("doc_id % 3 = 0").withColumn("doc_id", F.lit(None).cast("long"))).unionByName(
+        docs.limit(2).withColumn("text", F.lit(None).cast("string")))
+    for name, given in (("odd", odd), ("empty", docs.where("false"))):
+        for n, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            path = str(tmp_path / f"{name}{n}")
+            (given if not n else spark.read.parquet(str(tmp_path / f"{name}{n - 1}"))).createOrReplaceTempView("given_docs")
+            if name == "empty" and n == 0:
+                given.write.parquet(path)  # nothing to judge, nothing to keep
+            else:
+                stage(spark, spark.table("given_docs"), sf_dir).write.parquet(path)
+        out = spark.read.parquet(path)
+        if name == "empty":
+            assert out.count() == 0
+        else:
+            texts = spark.read.parquet(str(tmp_path / "odd1"))
+            assert texts.count() == texts.select(F.coalesce("text", F.lit(""))).distinct().count()
+            assert out.count() > 0

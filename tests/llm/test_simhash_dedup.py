@@ -78,5 +78,18 @@ def test_one_of_each_keeps_all_columns(spark):
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 2, 8]
 
 
+def test_one_of_each_keeps_exactly_one_row(spark):
+    """Repeated rows, equal ids with other texts or columns, and null ids beside others."""
+    same, other, third = "a b c d e f", "wholly other words are in here", "and a third text that has its own words"
+    rows = [(3, same, "en", "s", 1), (None, same, "en", "s", 1), (None, same, "en", "s", 1), (3, same, "en", "s", 1), (3, same, "de", "s", 1),
+            (None, other, "en", "s", 2), (None, other, "en", "s", 2), (None, other, "en", "t", 2), (3, third, "en", "s", 3), (4, third, "en", "s", 3)]
+    docs = clashing(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"))
+    kept = H.one_of_each(docs)
+    got_ = kept.select("doc_id", "text").collect()
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, got_), key=repr) == sorted([(3, same), (None, other), (3, third)], key=repr)
+
+
 def test_empty_table(spark):
+    assert H.one_of_each(documents(spark, [])).collect() == []
     assert H.near_duplicates(documents(spark, [])).collect() == []
