@@ -19,19 +19,30 @@ def shared_dir(spark: SparkSession) -> str:
     return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints").rstrip("/")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """``df`` written once and read back: cuts lineage, fixes what may come out
     differently when computed again, and survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    df.write.option("compression", compression).parquet(path)
+    _tables(spark).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def clean_up(spark: SparkSession) -> int:
-    """Removes the tables this session has written; returns how many."""
-    paths = _written.pop(spark.sparkContext.applicationId, [])
+def _tables(spark: SparkSession) -> list[str]:
+    return _written.setdefault(spark.sparkContext.applicationId, [])
+
+
+def mark(spark: SparkSession) -> int:
+    """How many tables the session has written; for :func:`clean_up`."""
+    return len(_tables(spark))
+
+
+def clean_up(spark: SparkSession, since: int = 0) -> int:
+    """Removes the tables this session has written (after ``since``, a :func:`mark`),
+    whose results must have been consumed; returns how many."""
+    tables = _tables(spark)
+    paths, tables[since:] = tables[since:], []
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for p in paths:
         path = jvm.org.apache.hadoop.fs.Path(p)
