@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spendlane import shared
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -41,19 +42,10 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``.  Only where it
-    is unset, as in tests, a folder below the warehouse is used."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints").rstrip("/")
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet below the shared folder and read back: cuts
     lineage, and a lost executor loses nothing of it."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return shared.written(df, name, compression="zstd")
 
 
 def per_batch(make, schema: pa.Schema):
