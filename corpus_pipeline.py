@@ -19,7 +19,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from spendlane.llm import decontaminate, line_quality, pattern_packing, simhash_dedup, suffix_dedup
-from spendlane.llm.common import shared_dir, table
+from spendlane.llm.common import table
+from spendlane.shared import clean_up, mark, shared_dir
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,7 +59,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = f"{shared_dir(spark)}/corpus-pipeline-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
     for number, (_, stage) in enumerate(STAGES):
-        path = f"{root}/{number}"
+        path, before = f"{root}/{number}", mark(spark)
         stage(spark, docs, sf_dir).write.parquet(path)
+        clean_up(spark, since=before)  # what the stage wrote on its way
         docs = spark.read.parquet(path)
     return docs
