@@ -24,6 +24,7 @@ Repeated rows are packed once each.  Empty tables give an empty result.
 
 from __future__ import annotations
 
+import functools
 import re
 
 import numpy as np
@@ -47,15 +48,16 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.alphabet = [c for _, c in sorted(byte_alphabet().items())]
+        self.alphabet = byte_alphabet()  # as a translation of bytes taken as code points
+        self.id_bytes = [i.to_bytes(4, "little") for i in range(max(self.tokenizer.get_vocab().values()) + 1)]
         added = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.special_ids = {s: np.array([i], "<u4").tobytes() for s, i in added.items()}
         self.specials = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True))) or r"(?!)")
         self.ids = WordCache(self._piece)
 
     def _piece(self, piece: str) -> bytes:
-        symbols = "".join([self.alphabet[b] for b in piece.encode()])
-        return np.array([t.id for t in self.tokenizer.model.tokenize(symbols)], "<u4").tobytes()
+        shown = piece if piece.isascii() else piece.encode().decode("latin-1")
+        return b"".join([self.id_bytes[t.id] for t in self.tokenizer.model.tokenize(shown.translate(self.alphabet))])
 
     def _plain(self, text: str) -> bytes:
         if OUTSIDE.search(text) is None:
@@ -71,6 +73,13 @@ class PieceEncoder:
         )
 
 
+@functools.lru_cache(maxsize=1)
+def encoder(path: str) -> PieceEncoder:
+    """The worker process keeps it, so that its next task knows the pieces met before;
+    the cache is bounded."""
+    return PieceEncoder(path)
+
+
 def cut(n: int, size: int) -> list[tuple[int, int]]:
     """(start, length) of the pieces of ``n`` tokens."""
     first = n % size or size
@@ -85,7 +94,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, size: int = 1024, end_id: int =
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        encode, end = PieceEncoder(tokenizer_path), np.array([end_id], "<u4").tobytes()
+        encode, end = encoder(tokenizer_path), np.array([end_id], "<u4").tobytes()
         seen = np.zeros(size + 1, np.int64)
         for batch in batches:
             rows: list[list] = [[] for _ in range(7)]
