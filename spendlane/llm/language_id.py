@@ -46,6 +46,7 @@ SHARPNESS = 8.0
 BROADCAST_LANGUAGES = 10_000
 UNKNOWN = "und"
 CACHE_WORDS = 200_000
+CACHE_GRAMS = 500_000
 PIECE_CHARS = 1 << 21  # characters looked at together
 
 RUN = re.compile(r"[^\W\d_]+")
@@ -81,6 +82,15 @@ def hashes(grams: np.ndarray) -> np.ndarray:
     return h
 
 
+def order_hashes(grams: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(hashes of the last characters, of their context) for the orders 1 to ORDER."""
+    out = []
+    for order in range(1, ORDER + 1):
+        own = grams[:, ORDER - order:]
+        out.append((hashes(own), hashes(own[:, :-1]) if order > 1 else np.zeros(len(own), np.uint64)))
+    return out
+
+
 class KneserNey:
     """One language's model, from distinct n-grams and their counts."""
 
@@ -107,13 +117,12 @@ class KneserNey:
         at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
         return np.where(keys[at] == h, values[at], absent)
 
-    def log2(self, grams: np.ndarray) -> np.ndarray:
-        """log2 probability of each row's last character after the others."""
+    def log2(self, grams: np.ndarray, hashed: list | None = None) -> np.ndarray:
+        """log2 probability of each row's last character after the others; ``hashed``
+        is :func:`order_hashes` of the rows, which all models share."""
         p = np.full(len(grams), 1.0 / self.alphabet)
-        for order, (keys, shares, contexts, weights) in zip(range(1, ORDER + 1), reversed(self.levels), strict=True):
-            own = grams[:, ORDER - order:]
-            h = hashes(own[:, :-1]) if order > 1 else np.zeros(len(own), np.uint64)
-            p = self._look_up(keys, shares, hashes(own), 0.0) + self._look_up(contexts, weights, h, 1.0) * p
+        for (gram, context), (keys, shares, contexts, weights) in zip(hashed or order_hashes(grams), reversed(self.levels), strict=True):
+            p = self._look_up(keys, shares, gram, 0.0) + self._look_up(contexts, weights, context, 1.0) * p
         return np.log2(p)
 
 
@@ -123,6 +132,30 @@ class Scorer:
     def __init__(self, models: list[KneserNey]):
         self.models = models
         self._empty()
+        self._empty_grams()
+
+    def _empty_grams(self):
+        self.keys = np.zeros(0, np.uint64)  # sorted hashes of the n-grams met, and their bits under each model
+        self.values = np.zeros((0, len(self.models)))
+
+    def _gram_bits(self, grams: np.ndarray) -> np.ndarray:
+        """(grams, models) log2 probabilities; an n-gram is looked up in the models once."""
+        names, first, where = np.unique(hashes(grams), return_index=True, return_inverse=True)
+        if len(self.keys) > CACHE_GRAMS:
+            self._empty_grams()
+        at = np.searchsorted(self.keys, names)
+        new = np.ones(len(names), bool)
+        inside = at < len(self.keys)
+        new[inside] = self.keys[at[inside]] != names[inside]
+        if new.any():
+            fresh = grams[first[new]]
+            hashed = order_hashes(fresh)
+            bits = np.stack([m.log2(fresh, hashed) for m in self.models], 1)
+            keys = np.concatenate((self.keys, names[new]))
+            order = np.argsort(keys, kind="stable")
+            self.keys, self.values = keys[order], np.concatenate((self.values, bits))[order]
+            at = np.searchsorted(self.keys, names)
+        return self.values[at][where]
 
     def _empty(self):
         self.index: dict[str, int] = {}
@@ -130,7 +163,8 @@ class Scorer:
 
     def _learn(self, new: list[str]):
         grams, owner = gram_table(new)
-        bits = np.stack([np.bincount(owner, m.log2(grams), len(new)) for m in self.models], 1)
+        found = self._gram_bits(grams)
+        bits = np.stack([np.bincount(owner, found[:, m], len(new)) for m in range(len(self.models))], 1)
         self.index.update(zip(new, range(len(self.index), len(self.index) + len(new)), strict=True))
         self.bits = np.concatenate((self.bits, bits))
 
