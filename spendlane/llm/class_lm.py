@@ -2,16 +2,16 @@
 
 Tokens are words (A-Z lower-cased, cut at ASCII white space) and one end per text.
 
-*Counts.*  Word counts and word-pair counts of all training texts are combined
-map-side and summed by Spark.
+*Counts.*  One pass over the training texts counts words, a second one word pairs;
+both combine map-side.  The pairs are written once, packed, in codes instead of words.
 
 *Exchange clustering.*  All training words are assigned to ``CLASSES`` classes by the
 exchange algorithm: each word moves to the class that raises the likelihood of the
 class bigrams of the training texts most.  The ``VOCABULARY`` most frequent words move
 one after the other on the driver, on their pair counts with each other and with the
 classes of all other words (a bounded table).  All others start from classes by hash and
-move in tasks: they are dealt to buckets by hash with the counts of their pairs, and
-per sweep each bucket is sent the classes of their neighbours.  A word's gain
+move in tasks: they are dealt by hash to buckets of about ``BUCKET_WORDS`` words with the counts
+of their pairs, and per sweep each bucket is sent the classes of their neighbours.  A word's gain
 is measured against the class-pair table of the sweep's start; after the first sweep
 every other word may move, so that neighbours do not move at once.  Sweeps end when
 the likelihood rises by less than ``LEAST_RISE`` of itself, or after ``SWEEPS``; a sweep that
@@ -39,6 +39,7 @@ from __future__ import annotations
 import functools
 import re
 from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +47,7 @@ import zstandard
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 from spendlane.llm.common import bounded_batches, id_remainder, per_batch, shuffle_partitions, written
 
@@ -54,11 +56,13 @@ CLASSES = 64
 SWEEPS = 6
 LEAST_RISE = 1e-4
 TABLE_WORDS = 100_000
+BUCKET_WORDS = 1 << 16  # words outside the vocabulary that one group moves
 FLUSH = 300_000  # distinct entries a task's counter holds
 SHAPES = 8  # of words outside the vocabulary
 END = ""  # no word is empty
 ALPHA = 0.5
 RARE = 1 << 62  # codes of words outside the vocabulary
+TIMES = 32  # gains of smaller counts are looked up
 
 _DIGIT = re.compile(rb"[0-9]")
 _LETTER = re.compile(rb"[a-z\x80-\xff]")
@@ -112,58 +116,30 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+class _Table(dict):
+    """Numbers of words; a word that is not there has -1."""
+
+    def __missing__(self, word):
+        return -1
+
+
 class Numbering:
     """word -> number: the vocabulary first, then one number for each shape; the
     end of a text (also what stands before its first word) comes last."""
 
     def __init__(self, vocabulary: list[bytes]):
-        self.table = {w: i for i, w in enumerate(vocabulary)}
+        self.table = _Table((w, i) for i, w in enumerate(vocabulary))
         self.first_shape = len(vocabulary)
         self.end = len(vocabulary) + SHAPES
         self.size = self.end + 1
 
     def __call__(self, words: list[bytes]) -> np.ndarray:
-        get, first = self.table.get, self.first_shape
-        found = [get(w, -1) for w in words]
-        out = np.array(found, np.int64)
+        out = np.fromiter(map(self.table.__getitem__, words), np.int64, len(words))
         for i in np.flatnonzero(out < 0).tolist():
-            out[i] = first + shape(words[i])
+            out[i] = self.first_shape + shape(words[i])
         return out
 
 
-def pair_counts(texts: DataFrame, numbering) -> DataFrame:
-    """a, b, n: how often number b follows a; texts begin and close with the end."""
-
-    def run(batches):
-        num = numbering.value
-        tally = np.zeros(0, np.int64)
-        held: list[np.ndarray] = []
-        size = 0
-
-        def squeeze():
-            nonlocal tally, held, size
-            if held:
-                keys, n = np.unique(np.concatenate(held), return_counts=True)
-                out = pa.RecordBatch.from_arrays(
-                    [pa.array(keys // num.size), pa.array(keys % num.size), pa.array(n.astype(np.int64))], names=["a", "b", "n"]
-                )
-                held, size = [], 0
-                return out
-            return None
-
-        for batch in batches:
-            for text in batch.column("text").to_pylist():
-                row = np.concatenate(([num.end], num(tokens(text)), [num.end]))
-                held.append(row[:-1] * num.size + row[1:])
-                size += len(row)
-                if size > 4_000_000 and (out := squeeze()):
-                    yield out
-        if out := squeeze():
-            yield out
-
-    return texts.select("text").mapInArrow(run, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
-
-
 def _f(x):
     return np.where(x > 0, x * np.log(np.maximum(x, 1)), 0.0)
 
@@ -222,8 +198,6 @@ def exchange(pairs: np.ndarray, movable: int, fixed: np.ndarray, classes: int, s
 def rare_code(word: bytes) -> int:
     """Code of a word outside the vocabulary: RARE or more, with 62 bits of hash.
     Words that shared a code would share a class; their counts stay apart."""
-    from xxhash import xxh64_intdigest
-
     return RARE | (xxh64_intdigest(word, 9) >> 2)
 
 
@@ -245,68 +219,105 @@ def _bucket(codes: np.ndarray, buckets: int) -> np.ndarray:
     return ((codes - RARE) >> 31) * buckets >> 31
 
 
-def _summed(a: np.ndarray, b: np.ndarray, n: np.ndarray):
-    """Distinct pairs, sorted, and the sums of their counts."""
-    order = np.lexsort((b, a))
-    a, b, n = a[order], b[order], n[order]
-    first = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]))))
-    return a[first], b[first], np.add.reduceat(n, first)
+def _runs(values: np.ndarray):
+    """Slices of equal neighbours."""
+    cuts = np.flatnonzero(np.diff(values)) + 1
+    return [slice(a, b) for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(values)], strict=True) if b > a]
+
+
+class _Local(dict):
+    """Numbers the words of a task as they come, the end first."""
 
+    def __init__(self, numbering: Numbering):
+        super().__init__({b"": 0})
+        self.numbering, self.codes, self.numbers = numbering, [numbering.first_shape], [numbering.end]
 
-def rare_pairs(texts: DataFrame, vocabulary, buckets: int) -> DataFrame:
-    """bucket, a, b, n (packed arrays): counts of the pairs with a word outside the
-    vocabulary, for the bucket of each such word."""
+    def __missing__(self, word):
+        self[word] = at = len(self.codes)
+        number = self.numbering.table[word]
+        self.codes.append(rare_code(word) if number < 0 else number)
+        self.numbers.append(self.numbering.first_shape + shape(word) if number < 0 else number)
+        return at
+
+
+def dealt_pairs(texts: DataFrame, numbering, buckets: int) -> DataFrame:
+    """bucket, codes, a, b, n (packed arrays): counts of word pairs, from one pass; texts
+    begin and close with the end.  The pairs with a word outside the vocabulary go to the
+    bucket of each such word, a and b being places in codes; bucket -1 has the counts of
+    all pairs by number."""
 
     def run(batches):
-        known = vocabulary.value
-        end = len(known)
-        codes: list[int] = [end]
-        local: dict[bytes, int] = {b"": 0}
+        num = numbering.value
+        local = _Local(num)
+        cells = np.zeros(num.size * num.size)
         held: list[np.ndarray] = []
         size = 0
 
-        def number(word):
-            local[word] = len(codes)
-            code = known.get(word, -1)
-            codes.append(rare_code(word) if code < 0 else code)
-            return local[word]
-
         def rows():
-            nonlocal held, size
-            code = np.array(codes, np.int64)
-            keys, n = np.unique(np.concatenate(held), return_counts=True)
+            nonlocal held, size, cells
+            code = np.array(local.codes, np.int64)
+            order = np.argsort(code, kind="stable")
+            rank = np.empty(len(code), np.int64)
+            rank[order] = np.arange(len(code))
+            code, number = code[order], np.array(local.numbers, np.int64)[order]
+            flat = np.concatenate([rank[:1], *(rank[x] for x in held)])  # texts share the end between them
+            keys, n = np.unique(flat[:-1] << 32 | flat[1:], return_counts=True)
             held, size = [], 0
-            a, b = code[keys >> 32], code[keys & 0xFFFFFFFF]
-            for own, other in ((a, b), (b, a)):
-                rare = np.flatnonzero(own >= RARE)
-                to = _bucket(own[rare], buckets)
-                if own is b:  # a pair within one bucket goes there once
-                    there = (other[rare] >= RARE) & (_bucket(other[rare], buckets) == to)
-                    rare, to = rare[~there], to[~there]
-                order = np.argsort(to, kind="stable")
-                for part in np.split(rare[order], np.flatnonzero(np.diff(to[order])) + 1):
-                    if len(part):
-                        x, y, z = _summed(a[part], b[part], n[part])
-                        yield int(_bucket(own[part[:1]], buckets)[0]), _pack(x), _pack(y), _pack(z)
+            a, b = keys >> 32, keys & 0xFFFFFFFF
+            cells += np.bincount(number[a] * num.size + number[b], n, len(cells))
+            bucket = np.where(code >= RARE, _bucket(code, buckets), -1)
+            of_a, of_b = bucket[a], bucket[b]
+            there, place = np.zeros(len(code), bool), np.zeros(len(code), np.uint32)
+            # a pair within one bucket goes there once
+            for of, rare in ((of_a, np.flatnonzero(of_a >= 0)), (of_b, np.flatnonzero((of_b >= 0) & (of_b != of_a)))):
+                rare = rare[np.argsort(of[rare], kind="stable")]
+                for run in _runs(of[rare]):
+                    part = rare[run]
+                    there[a[part]] = there[b[part]] = True
+                    used = np.flatnonzero(there)
+                    there[used], place[used] = False, np.arange(len(used))
+                    yield int(of[part[0]]), _pack(code[used]), _pack(place[a[part]]), _pack(place[b[part]]), _pack(n[part].astype(np.int64))
 
         def batch_of(found):
             return pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*found, strict=True), (pa.int32(), *[pa.binary()] * 3), strict=True)], names=["bucket", "a", "b", "n"])
+                [pa.array(c, t) for c, t in zip(zip(*found, strict=True), (pa.int32(), *[pa.binary()] * 4), strict=True)],
+                names=["bucket", "codes", "a", "b", "n"])
 
         for batch in batches:
             for text in batch.column("text").to_pylist():
-                row = np.array([0, *[local[w] if w in local else number(w) for w in tokens(text)], 0], np.int64)
-                held.append(row[:-1] << 32 | row[1:])
-                size += len(row)
-                if size > 1_500_000 or len(codes) > 2 * FLUSH:
+                words = tokens(text)
+                held.append(np.fromiter(chain(map(local.__getitem__, words), (0,)), np.int64, len(words) + 1))
+                size += len(words) + 1
+                if size > 1_500_000 or len(local) > 2 * FLUSH:
                     if found := list(rows()):
                         yield batch_of(found)
-                    if len(codes) > FLUSH:
-                        codes, local = [end], {b"": 0}
+                    if len(local) > FLUSH:
+                        local = _Local(num)
         if held and (found := list(rows())):
             yield batch_of(found)
+        full = np.flatnonzero(cells)
+        for lo in range(0, len(full), FLUSH):
+            at = full[lo:lo + FLUSH]
+            yield batch_of([(-1, b"", _pack((at // num.size).astype(np.uint32)), _pack((at % num.size).astype(np.uint32)), _pack(cells[at].astype(np.int64)))])
+
+    return texts.select("text").mapInArrow(run, "bucket int, codes binary, a binary, b binary, n binary")
 
-    return texts.select("text").mapInArrow(run, "bucket int, a binary, b binary, n binary")
+
+def pair_table(dealt: DataFrame, size: int) -> np.ndarray:
+    """Counts of all pairs of numbers, at most the square of the numbers."""
+
+    def run(batches):
+        for batch in batches:
+            for a, b, n in zip(*(batch.column(c).to_pylist() for c in "abn"), strict=True):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(_unpack(x, t).astype(u)) for x, t, u in ((a, np.uint32, np.int32), (b, np.uint32, np.int32), (n, np.int64, np.int64))],
+                    names=["a", "b", "n"])
+
+    rows = dealt.where("bucket < 0").select("a", "b", "n").mapInArrow(run, "a int, b int, n long")
+    found = rows.groupBy("a", "b").agg(F.sum("n").alias("n")).toArrow().to_pandas()
+    pairs = np.zeros((size, size))
+    pairs[found["a"].to_numpy(np.int64), found["b"].to_numpy(np.int64)] = found["n"]
+    return pairs
 
 
 class _Buckets:
@@ -331,21 +342,30 @@ class _Buckets:
         """Source -1: the bucket's own words and pairs (place of the word, direction,
         number of the neighbour).  Other sources: words whose classes they need."""
         q = tbl.column("bucket")[0].as_py()
-        a, b, n = (np.concatenate([_unpack(x, np.int64) for x in tbl.column(c).to_pylist()]) for c in "abn")
-        a, b, n = _summed(a, b, n)
-        mine_a, mine_b = ((x >= RARE) & (_bucket(x, self.buckets) == q) for x in (a, b))
-        own = np.concatenate((a[mine_a], b[mine_b]))
-        other = np.concatenate((b[mine_a], a[mine_b]))
-        back = np.repeat([0, 1], [mine_a.sum(), mine_b.sum()])
-        n = np.concatenate((n[mine_a], n[mine_b]))
-        words, place = np.unique(own, return_inverse=True)
-        near = np.unique(np.concatenate((other[other >= RARE], words)))  # its own too
-        slot = np.where(other >= RARE, self.end + 1 + np.searchsorted(near, other), other)
-        order = np.lexsort((slot, back, place))
-        out = [(q, -1, _pack(words), _pack((place * 2 + back)[order].astype(np.uint32)), _pack(slot[order].astype(np.uint32)), _pack(n[order]))]
+        codes, a, b, n = ([_unpack(x, t) for x in tbl.column(c).to_pylist()]
+                          for c, t in (("codes", np.int64), ("a", np.uint32), ("b", np.uint32), ("n", np.int64)))
+        shift = np.cumsum([0, *map(len, codes)])
+        every, place = np.unique(np.concatenate(codes), return_inverse=True)
+        a, b = (np.concatenate([place[x.astype(np.int64) + by] for x, by in zip(side, shift[:-1].tolist(), strict=True)]) for side in (a, b))
+        key = a << 32 | b
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        n = np.add.reduceat(np.concatenate(n)[order], first)
+        a, b = key[first] >> 32, key[first] & 0xFFFFFFFF
+        rare = int(np.searchsorted(every, RARE))
+        near = every[rare:]  # its own words too
         of = _bucket(near, self.buckets)
-        for p in np.unique(of).tolist():
-            out.append((p, q, _pack(near[of == p]), b"", b"", b""))
+        lo, hi = (rare + int(np.searchsorted(of, q, side)) for side in ("left", "right"))
+        slots = np.concatenate((every[:rare], self.end + 1 + np.arange(len(near))))
+        mine_a, mine_b = ((x >= lo) & (x < hi) for x in (a, b))
+        own = np.concatenate(((a[mine_a] - lo) * 2, (b[mine_b] - lo) * 2 + 1))
+        slot = slots[np.concatenate((b[mine_a], a[mine_b]))]
+        n = np.concatenate((n[mine_a], n[mine_b]))
+        order = np.argsort(own << 32 | slot)
+        out = [(q, -1, _pack(every[lo:hi]), _pack(own[order].astype(np.uint32)), _pack(slot[order].astype(np.uint32)), _pack(n[order]))]
+        for run in _runs(of):
+            out.append((int(of[run.start]), q, _pack(near[run]), b"", b"", b""))
         return self.rows(self.static_ddl, out)
 
     def send(self, static: pa.Table, words: np.ndarray, classes: np.ndarray) -> pa.Table:
@@ -377,18 +397,15 @@ class _Buckets:
         given as END + 1 + its class, so cells do not grow with the corpus."""
         row, words, mine, near = self.state(static, messages)
         key, slot, n = _unpack(row["own"], np.uint32), _unpack(row["other"], np.uint32).astype(np.int64), _unpack(row["n"], np.int64)
-        rare = slot > self.end
-        here = self.end + 1 + mine[key >> 1]
+        size, first = self.end + 1 + self.total, self.end + 1
+        back, rare = key & 1 == 1, slot > self.end
         there = slot.copy()
-        there[rare] = self.end + 1 + near[slot[rare] - self.end - 1]
-        keep = ~(rare & (key & 1 == 1))  # a pair of two such words counts where the first is
-        back = (key & 1 == 1)[keep]
-        a, b = np.where(back, there[keep], here[keep]), np.where(back, here[keep], there[keep])
-        size = self.end + 1 + self.total
-        cells, at = np.unique(a * size + b, return_inverse=True)
-        sums = np.zeros(len(cells), np.int64)
-        np.add.at(sums, at, n[keep])
-        return pa.table({"a": cells // size, "b": cells % size, "n": sums})
+        there[rare] = first + near[slot[rare] - first]
+        keep = ~(rare & back)  # a pair of two such words counts where the first is
+        sums = np.bincount(((back * self.total + mine[key >> 1]) * size + there)[keep], n[keep], 2 * self.total * size)
+        cells = np.flatnonzero(sums)
+        here, there, back = first + cells // size % self.total, cells % size, cells >= self.total * size
+        return pa.table({"a": np.where(back, there, here), "b": np.where(back, here, there), "n": sums[cells].astype(np.int64)})
 
     def choose(self, static: pa.Table, messages: pa.Table, table: np.ndarray, vocabulary: np.ndarray, turn: int) -> pa.Table:
         """Moves each word (after the first sweep, every other) to its best class, as
@@ -396,30 +413,28 @@ class _Buckets:
         row, words, mine, near = self.state(static, messages)
         key, slot, n = _unpack(row["own"], np.uint32), _unpack(row["other"], np.uint32).astype(np.int64), _unpack(row["n"], np.int64)
         k, total = self.classes, self.total
-        cls = np.concatenate((vocabulary, near))[slot]
-        cells, at = np.unique(key.astype(np.int64) * total + cls, return_inverse=True)
-        sums = np.bincount(at, n, len(cells))
-        word, back, cls = cells // total >> 1, (cells // total) & 1, cells % total
+        word, back, cls = (key >> 1).astype(np.int64), key & 1, np.concatenate((vocabulary, near))[slot]
         due = (words & 1) == turn % 2 if turn else np.ones(len(words), bool)
         here = due[word]
-        word, back, cls, sums = (np.cumsum(due) - 1)[word[here]], back[here], cls[here], sums[here].astype(np.int64)
-        old, count = mine[due], np.bincount(word, np.where(back == 0, sums, 0), due.sum())
+        word, back, cls, n = (np.cumsum(due) - 1)[word[here]], back[here], cls[here], n[here]
+        old, count = mine[due], np.bincount(word, np.where(back == 0, n, 0), due.sum())
         sides = np.stack((table.T[:, :k], table[:, :k]))  # direction, neighbour's class, class of the word
-        few = np.stack([_f(sides + x) - _f(sides) for x in range(5)])
+        few = np.stack([_f(sides + x) - _f(sides) for x in range(TIMES)])
         margins = table.sum(1)[:k], table.sum(0)[:k]
-        starts = np.searchsorted(word, np.arange(len(old) + 1))
         best = old.copy()
         for lo in range(0, len(old), 512):
             hi = min(lo + 512, len(old))
-            s = slice(starts[lo], starts[hi])
-            w, d, c, x, home = word[s] - lo, back[s], cls[s], sums[s], old[lo:hi]
-            part = few[np.minimum(x, 4), d, c]
-            many = np.flatnonzero(x > 4)
+            s = slice(*np.searchsorted(word, (lo, hi)))
+            sums = np.bincount(((word[s] - lo) * 2 + back[s]) * total + cls[s], n[s], (hi - lo) * 2 * total)
+            cells = np.flatnonzero(sums)
+            w, d, c, x, home = cells // (2 * total), cells // total % 2, cells % total, sums[cells].astype(np.int64), old[lo:hi]
+            part = few[np.minimum(x, TIMES - 1), d, c]
+            many = np.flatnonzero(x >= TIMES)
             cell = sides[d[many], c[many]]
             part[many] = _f(cell + x[many, None]) - _f(cell)
             cell = sides[d, c, home[w]]  # its own class is taken without it
             part[np.arange(len(w)), home[w]] = _f(cell) - _f(cell - x)
-            gain = np.add.reduceat(part, starts[lo:hi] - starts[lo], axis=0)
+            gain = np.add.reduceat(part, np.searchsorted(w, np.arange(hi - lo)), axis=0)
             m = count[lo:hi, None]
             for margin in margins:
                 rest = margin - np.where(home[:, None] == np.arange(k), m, 0)
@@ -439,24 +454,35 @@ def _mover(plan: _Buckets, shared, turn: int):
     return lambda static, messages: plan.choose(static, messages, *shared.value, turn)
 
 
-def cluster(texts: DataFrame, numbering: Numbering, pairs: np.ndarray, classes: int):
+def cluster(texts: DataFrame, numbering: Numbering, distinct: int, classes: int):
     """(class of each word of the vocabulary and of the end; code, class of all other
-    words; the class-pair table).  ``pairs`` are the counts of the numbers."""
+    words; the class-pair table).  ``distinct`` words are in the texts; their number,
+    not that of the cluster's partitions, gives the buckets."""
     spark, end, movable = texts.sparkSession, numbering.first_shape, numbering.first_shape
-    total, buckets = classes + 1, shuffle_partitions(spark)
+    total, buckets = classes + 1, max(1, -(-(distinct - movable) // BUCKET_WORDS))
+    dealt = written(dealt_pairs(texts, spark.sparkContext.broadcast(numbering), buckets), "word_pairs")
+    pairs = pair_table(dealt, numbering.size)
     fixed = classes + np.arange(SHAPES + 1)
     start = exchange(pairs, movable, fixed, classes) if movable else fixed
     vocabulary = np.concatenate((start[:movable], [total - 1]))
     plan = _Buckets(end, classes, buckets)
-    dealt = rare_pairs(texts, spark.sparkContext.broadcast(numbering.table), buckets)
-    static = written(dealt.groupBy("bucket").applyInArrow(lambda t: plan.build(t), plan.static_ddl), "class_pairs")
-    static = static.repartition(buckets, "bucket").persist(StorageLevel.DISK_ONLY)  # dealt once for all sweeps
+    static = dealt.where("bucket >= 0").groupBy("bucket").applyInArrow(lambda t: plan.build(t), plan.static_ddl)
+    # dealt once for all sweeps; what a lost executor held is built again from the written pairs
+    static = static.repartition(shuffle_partitions(spark), "bucket").persist(StorageLevel.DISK_ONLY)
+    try:
+        return _sweeps(plan, static, pairs, vocabulary, movable, numbering.end)
+    finally:
+        static.unpersist()
+
+
+def _sweeps(plan: _Buckets, static: DataFrame, pairs: np.ndarray, vocabulary: np.ndarray, movable: int, last: int):
+    spark, end, classes, total = static.sparkSession, plan.end, plan.classes, plan.total
     messages = written(static.groupBy("bucket").applyInArrow(lambda t: plan.first(t), plan.message_ddl), "classes")
 
     def met(function, ddl):
         return static.groupBy("bucket").cogroup(messages.groupBy("bucket")).applyInArrow(function, ddl)
 
-    inside = np.r_[0:movable, numbering.end]
+    inside = np.r_[0:movable, last]
     best = None
     for turn in range(SWEEPS + 1):
         found = met(lambda x, y: plan.tables(x, y), "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n")).toArrow().to_pandas()
@@ -484,7 +510,6 @@ def cluster(texts: DataFrame, numbering: Numbering, pairs: np.ndarray, classes:
         messages = written(met(_mover(plan, shared, turn), plan.message_ddl), "classes")
     _, vocabulary, messages, table = best
     others = written(met(lambda x, y: plan.classes_of(x, y), "code long, class int"), "word_classes")
-    static.unpersist()
     return vocabulary, others, table
 
 
@@ -524,12 +549,9 @@ def learn(texts: DataFrame, vocabulary: int = VOCABULARY, classes: int = CLASSES
     n_all, v_all = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     first = counts.where(F.col("word") != END).orderBy(F.desc("n"), "word").limit(vocabulary).toArrow().to_pandas()
     numbering = Numbering([w.encode() for w in first["word"]])
-    found = pair_counts(texts, spark.sparkContext.broadcast(numbering)).toArrow().to_pandas()  # at most the square of the numbers
-    pairs = np.zeros((numbering.size, numbering.size))
-    pairs[found["a"].to_numpy(np.int64), found["b"].to_numpy(np.int64)] = found["n"]
     classes = max(1, min(classes, numbering.first_shape))
-    own, others, table = cluster(texts, numbering, pairs, classes)
-    known = spark.sparkContext.broadcast(numbering.table | {b"": numbering.first_shape})
+    own, others, table = cluster(texts, numbering, int(v_all), classes)
+    known = spark.sparkContext.broadcast(dict(numbering.table) | {b"": numbering.first_shape})
 
     def coded(batches):
         for batch in batches:
@@ -573,36 +595,46 @@ def score(docs: DataFrame, training: DataFrame, vocabulary: int = VOCABULARY, cl
 
         model, known = shared.value
         row = TaskContext.get().partitionId() << 33  # ids may repeat or be null: rows are numbered
-        num, of = model.numbering, model.of
-
-        def one(text: str):
-            words = tokens(text)
-            found = np.array([num.table.get(w, -1) for w in words], np.int64)
-            cls = np.concatenate(([model.end_class], of[found], [model.end_class]))
-            rare: dict[bytes, int] = {}
-            for i in np.flatnonzero(found < 0).tolist():
-                cls[i + 1] = total + rare.setdefault(words[i], len(rare))
-            there = cls < total
-            both = there[:-1] & there[1:]
-            fixed = model.transitions[cls[:-1][both], cls[1:][both]].sum() - model.divisor[cls[1:][there[1:]]].sum()
-            links = np.stack((cls[:-1][~both], cls[1:][~both])).astype(np.int32)
-            words.append(b"")
-            n = np.array([known.get(w, 0) for w in words], float)
-            seen = n > 0
-            late = there[1:]  # only an end that no training text has is known by class but not by count
-            counted = float(np.log10(n[late] + ALPHA).sum())
-            times = np.bincount(cls[1:][~late] - total, minlength=len(rare))
-            return len(words), int(seen.sum()), float(fixed), counted, _pack(links), rare, times.tolist()
+        get, end, of = model.numbering.table.__getitem__, model.numbering.end, model.of
+        logs = np.full(end + 1, np.log10(ALPHA))  # an end that no training text has is known by class, not by count
+        for w, n in known.items():
+            logs[end if not w else get(w)] = np.log10(n + ALPHA)
 
         def batch_rows(batch):
             nonlocal row
-            found = [one(t) for t in batch.column("text").to_pylist()]
-            row += len(found)
+            lists = [tokens(t) for t in batch.column("text").to_pylist()]
+            sizes = np.array([len(w) + 1 for w in lists])
+            stops = np.cumsum(sizes)
+            starts = stops - sizes
+            found = np.fromiter(chain.from_iterable(chain(map(get, w), (end,)) for w in lists), np.int64, int(stops[-1]))
+            cls = of[found]
+            at = np.flatnonzero(found < 0)
+            doc = np.searchsorted(stops, at, "right")
+            words, times, unknown = ([[] for _ in lists] for _ in range(3))
+            for run in _runs(doc):
+                d = int(doc[run.start])
+                rare: dict[bytes, int] = {}
+                places = [rare.setdefault(lists[d][i], len(rare)) for i in (at[run] - starts[d]).tolist()]
+                cls[at[run]] = total + np.array(places)
+                words[d], times[d] = [w.decode() for w in rare], np.bincount(places).tolist()
+                unknown[d] = [int(model.unknown[shape(w)]) for w in rare]
+            before = np.concatenate(([model.end_class], cls[:-1]))  # each text closes with the end, which begins the next
+            there = cls < total
+            both = there & (before < total)
+            fixed = np.zeros(len(cls))
+            fixed[both] = model.transitions[before[both], cls[both]]
+            fixed[there] -= model.divisor[cls[there]]
+            counted = np.where(there, logs[found], 0.0)
+            late = np.flatnonzero(~both)
+            cuts = np.searchsorted(late, np.concatenate((starts, stops[-1:])))
+            side = np.stack((before[late], cls[late])).astype(np.int32)
+            links = [side[:, a:b].tobytes() for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+            row += len(lists)
             return {
-                "row": list(range(row - len(found), row)), "key": batch.column("key"), "n_tokens": [f[0] for f in found], "n_known": [f[1] for f in found],
-                "model_part": [f[2] for f in found], "count_part": [f[3] for f in found], "links": [f[4] for f in found],
-                "words": [[w.decode() for w in f[5]] for f in found], "times": [f[6] for f in found],
-                "unknown": [[int(model.unknown[shape(w)]) for w in f[5]] for f in found],
+                "row": list(range(row - len(lists), row)), "key": batch.column("key"), "n_tokens": sizes,
+                "n_known": np.add.reduceat(there.astype(np.int64), starts) - (b"" not in known),
+                "model_part": np.add.reduceat(fixed, starts), "count_part": np.add.reduceat(counted, starts), "links": links,
+                "words": words, "times": times, "unknown": unknown,
             }
 
         return batch_rows
@@ -635,7 +667,7 @@ def score(docs: DataFrame, training: DataFrame, vocabulary: int = VOCABULARY, cl
                 order = np.argsort(pos)
                 times, n, cls = times[order], n[order], cls[order]
                 of = np.concatenate((np.arange(total), cls))
-                a, b = of[_unpack(blobs[i].as_py(), np.int32).reshape(2, -1)]
+                a, b = of[np.frombuffer(blobs[i].as_py(), np.int32).reshape(2, -1)]
                 n_known[i] += times[n > 0].sum()
                 count_part[i] += (times * np.log10(n + ALPHA)).sum()
                 model_part[i] += model.transitions[a, b].sum() - (times * model.divisor[cls]).sum()
