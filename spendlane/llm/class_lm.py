@@ -3,7 +3,7 @@
 Tokens are words (A-Z lower-cased, cut at ASCII white space) and one end per text.
 
 *Counts.*  One pass over the training texts counts words, a second one word pairs;
-both combine map-side.  The pairs are written once, packed, in codes instead of words.
+both combine map-side.  The pairs travel packed, in codes instead of words.
 
 *Exchange clustering.*  All training words are assigned to ``CLASSES`` classes by the
 exchange algorithm: each word moves to the class that raises the likelihood of the
@@ -58,6 +58,7 @@ LEAST_RISE = 1e-4
 TABLE_WORDS = 100_000
 BUCKET_WORDS = 1 << 16  # words outside the vocabulary that one group moves
 FLUSH = 300_000  # distinct entries a task's counter holds
+PAIRS = 4_000_000  # pairs a task holds before it sums them
 SHAPES = 8  # of words outside the vocabulary
 END = ""  # no word is empty
 ALPHA = 0.5
@@ -196,9 +197,9 @@ def exchange(pairs: np.ndarray, movable: int, fixed: np.ndarray, classes: int, s
 
 
 def rare_code(word: bytes) -> int:
-    """Code of a word outside the vocabulary: RARE or more, with 62 bits of hash.
+    """Code of a word outside the vocabulary: RARE or more, with 48 bits of hash.
     Words that shared a code would share a class; their counts stay apart."""
-    return RARE | (xxh64_intdigest(word, 9) >> 2)
+    return RARE | (xxh64_intdigest(word, 9) >> 16)
 
 
 @functools.cache
@@ -214,9 +215,18 @@ def _unpack(blob: bytes, kind) -> np.ndarray:
     return np.frombuffer(_packer()[1].decompress(blob), kind)
 
 
+def _pack_sorted(array: np.ndarray, kind=np.int64) -> bytes:
+    """A rising array as its differences."""
+    return _pack(np.diff(array, prepend=0).astype(kind))
+
+
+def _unpack_sorted(blob: bytes, kind=np.int64) -> np.ndarray:
+    return np.cumsum(_unpack(blob, kind), dtype=np.int64)
+
+
 def _bucket(codes: np.ndarray, buckets: int) -> np.ndarray:
     """Rises with the code, so sorted codes are sorted by bucket."""
-    return ((codes - RARE) >> 31) * buckets >> 31
+    return ((codes - RARE) >> 17) * buckets >> 31
 
 
 def _runs(values: np.ndarray):
@@ -243,8 +253,8 @@ class _Local(dict):
 def dealt_pairs(texts: DataFrame, numbering, buckets: int) -> DataFrame:
     """bucket, codes, a, b, n (packed arrays): counts of word pairs, from one pass; texts
     begin and close with the end.  The pairs with a word outside the vocabulary go to the
-    bucket of each such word, a and b being places in codes; bucket -1 has the counts of
-    all pairs by number."""
+    bucket of each such word, a and b being places in codes; bucket -1 - i has the counts of
+    all numbers b after number i."""
 
     def run(batches):
         num = numbering.value
@@ -276,7 +286,7 @@ def dealt_pairs(texts: DataFrame, numbering, buckets: int) -> DataFrame:
                     there[a[part]] = there[b[part]] = True
                     used = np.flatnonzero(there)
                     there[used], place[used] = False, np.arange(len(used))
-                    yield int(of[part[0]]), _pack(code[used]), _pack(place[a[part]]), _pack(place[b[part]]), _pack(n[part].astype(np.int64))
+                    yield int(of[part[0]]), _pack_sorted(code[used]), _pack_sorted(place[a[part]].astype(np.int64), np.uint32), _pack(place[b[part]]), _pack(n[part].astype(np.int64))
 
         def batch_of(found):
             return pa.RecordBatch.from_arrays(
@@ -288,35 +298,26 @@ def dealt_pairs(texts: DataFrame, numbering, buckets: int) -> DataFrame:
                 words = tokens(text)
                 held.append(np.fromiter(chain(map(local.__getitem__, words), (0,)), np.int64, len(words) + 1))
                 size += len(words) + 1
-                if size > 1_500_000 or len(local) > 2 * FLUSH:
+                if size > PAIRS or len(local) > 2 * FLUSH:
                     if found := list(rows()):
                         yield batch_of(found)
                     if len(local) > FLUSH:
                         local = _Local(num)
         if held and (found := list(rows())):
             yield batch_of(found)
-        full = np.flatnonzero(cells)
-        for lo in range(0, len(full), FLUSH):
-            at = full[lo:lo + FLUSH]
-            yield batch_of([(-1, b"", _pack((at // num.size).astype(np.uint32)), _pack((at % num.size).astype(np.uint32)), _pack(cells[at].astype(np.int64)))])
+        table = cells.reshape(num.size, num.size).astype(np.int64)
+        full = [(i, np.flatnonzero(x)) for i, x in enumerate(table)]
+        if found := [(-1 - i, b"", b"", _pack(at.astype(np.uint32)), _pack(table[i, at])) for i, at in full if len(at)]:
+            yield batch_of(found)
 
     return texts.select("text").mapInArrow(run, "bucket int, codes binary, a binary, b binary, n binary")
 
 
-def pair_table(dealt: DataFrame, size: int) -> np.ndarray:
+def pair_table(static: DataFrame, size: int) -> np.ndarray:
     """Counts of all pairs of numbers, at most the square of the numbers."""
-
-    def run(batches):
-        for batch in batches:
-            for a, b, n in zip(*(batch.column(c).to_pylist() for c in "abn"), strict=True):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(_unpack(x, t).astype(u)) for x, t, u in ((a, np.uint32, np.int32), (b, np.uint32, np.int32), (n, np.int64, np.int64))],
-                    names=["a", "b", "n"])
-
-    rows = dealt.where("bucket < 0").select("a", "b", "n").mapInArrow(run, "a int, b int, n long")
-    found = rows.groupBy("a", "b").agg(F.sum("n").alias("n")).toArrow().to_pandas()
     pairs = np.zeros((size, size))
-    pairs[found["a"].to_numpy(np.int64), found["b"].to_numpy(np.int64)] = found["n"]
+    for r in static.where("bucket < 0").select("bucket", "other", "n").toArrow().to_pylist():
+        pairs[-1 - r["bucket"], _unpack(r["other"], np.uint32)] = _unpack(r["n"], np.int64)
     return pairs
 
 
@@ -340,10 +341,18 @@ class _Buckets:
 
     def build(self, tbl: pa.Table) -> pa.Table:
         """Source -1: the bucket's own words and pairs (place of the word, direction,
-        number of the neighbour).  Other sources: words whose classes they need."""
+        number of the neighbour).  Other sources: words whose classes they need.  A bucket
+        below 0 is a row of the table of numbers, summed."""
         q = tbl.column("bucket")[0].as_py()
-        codes, a, b, n = ([_unpack(x, t) for x in tbl.column(c).to_pylist()]
-                          for c, t in (("codes", np.int64), ("a", np.uint32), ("b", np.uint32), ("n", np.int64)))
+        if q < 0:
+            sums = np.zeros(self.end + SHAPES + 1, np.int64)
+            for b, n in zip(tbl.column("b").to_pylist(), tbl.column("n").to_pylist(), strict=True):
+                sums[_unpack(b, np.uint32)] += _unpack(n, np.int64)
+            at = np.flatnonzero(sums)
+            return self.rows(self.static_ddl, [(q, -1, b"", b"", _pack(at.astype(np.uint32)), _pack(sums[at]))])
+        codes = [_unpack_sorted(x) for x in tbl.column("codes").to_pylist()]
+        a = [_unpack_sorted(x, np.uint32) for x in tbl.column("a").to_pylist()]
+        b, n = ([_unpack(x, t) for x in tbl.column(c).to_pylist()] for c, t in (("b", np.uint32), ("n", np.int64)))
         shift = np.cumsum([0, *map(len, codes)])
         every, place = np.unique(np.concatenate(codes), return_inverse=True)
         a, b = (np.concatenate([place[x.astype(np.int64) + by] for x, by in zip(side, shift[:-1].tolist(), strict=True)]) for side in (a, b))
@@ -363,29 +372,29 @@ class _Buckets:
         slot = slots[np.concatenate((b[mine_a], a[mine_b]))]
         n = np.concatenate((n[mine_a], n[mine_b]))
         order = np.argsort(own << 32 | slot)
-        out = [(q, -1, _pack(every[lo:hi]), _pack(own[order].astype(np.uint32)), _pack(slot[order].astype(np.uint32)), _pack(n[order]))]
+        out = [(q, -1, _pack_sorted(every[lo:hi]), _pack_sorted(own[order], np.uint32), _pack(slot[order].astype(np.uint32)), _pack(n[order]))]
         for run in _runs(of):
-            out.append((int(of[run.start]), q, _pack(near[run]), b"", b"", b""))
+            out.append((int(of[run.start]), q, _pack_sorted(near[run]), b"", b"", b""))
         return self.rows(self.static_ddl, out)
 
     def send(self, static: pa.Table, words: np.ndarray, classes: np.ndarray) -> pa.Table:
         p, out = static.column("bucket")[0].as_py(), []
         for q, blob in zip(static.column("source").to_pylist(), static.column("codes").to_pylist(), strict=True):
             if q >= 0:
-                out.append((q, p, _pack(classes[np.searchsorted(words, _unpack(blob, np.int64))].astype(np.uint8))))
+                out.append((q, p, _pack(classes[np.searchsorted(words, _unpack_sorted(blob))].astype(np.uint8))))
         return self.rows(self.message_ddl, out)
 
     def own(self, static: pa.Table) -> dict:
         return next(r for r in static.to_pylist() if r["source"] == -1)
 
     def first(self, static: pa.Table) -> pa.Table:
-        words = _unpack(self.own(static)["codes"], np.int64)
+        words = _unpack_sorted(self.own(static)["codes"])
         return self.send(static, words, (words >> 4) % self.classes)
 
     def state(self, static: pa.Table, messages: pa.Table):
         """(own row, words, their classes, classes of the neighbours by slot)."""
         row = self.own(static)
-        words = _unpack(row["codes"], np.int64)
+        words = _unpack_sorted(row["codes"])
         sent = {m["source"]: _unpack(m["classes"], np.uint8) for m in messages.to_pylist()}
         near = np.concatenate([sent[p] for p in sorted(sent)]).astype(np.int64)
         # its own words are all among them, one run
@@ -396,7 +405,7 @@ class _Buckets:
         """a, b, n: counts of pairs with a word outside the vocabulary, summed; it is
         given as END + 1 + its class, so cells do not grow with the corpus."""
         row, words, mine, near = self.state(static, messages)
-        key, slot, n = _unpack(row["own"], np.uint32), _unpack(row["other"], np.uint32).astype(np.int64), _unpack(row["n"], np.int64)
+        key, slot, n = _unpack_sorted(row["own"], np.uint32), _unpack(row["other"], np.uint32).astype(np.int64), _unpack(row["n"], np.int64)
         size, first = self.end + 1 + self.total, self.end + 1
         back, rare = key & 1 == 1, slot > self.end
         there = slot.copy()
@@ -411,9 +420,9 @@ class _Buckets:
         """Moves each word (after the first sweep, every other) to its best class, as
         gained against the class-pair table of the sweep's start."""
         row, words, mine, near = self.state(static, messages)
-        key, slot, n = _unpack(row["own"], np.uint32), _unpack(row["other"], np.uint32).astype(np.int64), _unpack(row["n"], np.int64)
+        key, slot, n = _unpack_sorted(row["own"], np.uint32), _unpack(row["other"], np.uint32).astype(np.int64), _unpack(row["n"], np.int64)
         k, total = self.classes, self.total
-        word, back, cls = (key >> 1).astype(np.int64), key & 1, np.concatenate((vocabulary, near))[slot]
+        word, back, cls = key >> 1, key & 1, np.concatenate((vocabulary, near))[slot]
         due = (words & 1) == turn % 2 if turn else np.ones(len(words), bool)
         here = due[word]
         word, back, cls, n = (np.cumsum(due) - 1)[word[here]], back[here], cls[here], n[here]
@@ -460,17 +469,17 @@ def cluster(texts: DataFrame, numbering: Numbering, distinct: int, classes: int)
     not that of the cluster's partitions, gives the buckets."""
     spark, end, movable = texts.sparkSession, numbering.first_shape, numbering.first_shape
     total, buckets = classes + 1, max(1, -(-(distinct - movable) // BUCKET_WORDS))
-    dealt = written(dealt_pairs(texts, spark.sparkContext.broadcast(numbering), buckets), "word_pairs")
-    pairs = pair_table(dealt, numbering.size)
-    fixed = classes + np.arange(SHAPES + 1)
-    start = exchange(pairs, movable, fixed, classes) if movable else fixed
-    vocabulary = np.concatenate((start[:movable], [total - 1]))
     plan = _Buckets(end, classes, buckets)
-    static = dealt.where("bucket >= 0").groupBy("bucket").applyInArrow(lambda t: plan.build(t), plan.static_ddl)
-    # dealt once for all sweeps; what a lost executor held is built again from the written pairs
+    dealt = dealt_pairs(texts, spark.sparkContext.broadcast(numbering), buckets)
+    static = dealt.groupBy("bucket").applyInArrow(lambda t: plan.build(t), plan.static_ddl)
+    # dealt once for all sweeps; what a lost executor held is counted again from the texts
     static = static.repartition(shuffle_partitions(spark), "bucket").persist(StorageLevel.DISK_ONLY)
+    fixed = classes + np.arange(SHAPES + 1)
     try:
-        return _sweeps(plan, static, pairs, vocabulary, movable, numbering.end)
+        pairs = pair_table(static, numbering.size)
+        start = exchange(pairs, movable, fixed, classes) if movable else fixed
+        vocabulary = np.concatenate((start[:movable], [total - 1]))
+        return _sweeps(plan, static.where("bucket >= 0"), pairs, vocabulary, movable, numbering.end)
     finally:
         static.unpersist()
 
