@@ -63,6 +63,7 @@ SHAPES = 8  # of words outside the vocabulary
 END = ""  # no word is empty
 ALPHA = 0.5
 RARE = 1 << 62  # codes of words outside the vocabulary
+SHIFT = 1024  # more than the model's classes
 TIMES = 32  # gains of smaller counts are looked up
 
 _DIGIT = re.compile(rb"[0-9]")
@@ -77,6 +78,9 @@ def tokens(text: str) -> list[bytes]:
 
 def shape(word: bytes) -> int:
     """Kind of a word outside the vocabulary, by its characters."""
+    last = word[-1] if word else 0
+    if 97 <= last <= 122 or last >= 128:  # most words end in a letter
+        return 4 + (len(word) > 5) + (len(word) > 9) + (len(word) > 14)
     if not _LETTER.search(word):
         return 0 if _DIGIT.search(word) else 1
     if _ODD_END.search(word):
@@ -102,7 +106,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
         def rows(items):
             # strings: lower-cased UTF-8 split at ASCII stays valid
             return pa.RecordBatch.from_arrays(
-                [pa.array([w.decode() for w, _ in items], pa.string()), pa.array([n for _, n in items], pa.int64())], names=["word", "n"]
+                [pa.array([w for w, _ in items], pa.binary()).cast(pa.string()), pa.array([n for _, n in items], pa.int64())], names=["word", "n"]
             )
 
         for batch in batches:
@@ -277,16 +281,17 @@ def dealt_pairs(texts: DataFrame, numbering, buckets: int) -> DataFrame:
             cells += np.bincount(number[a] * num.size + number[b], n, len(cells))
             bucket = np.where(code >= RARE, _bucket(code, buckets), -1)
             of_a, of_b = bucket[a], bucket[b]
+            small = np.uint16 if buckets <= 1 << 16 else np.int64
             there, place = np.zeros(len(code), bool), np.zeros(len(code), np.uint32)
             # a pair within one bucket goes there once
             for of, rare in ((of_a, np.flatnonzero(of_a >= 0)), (of_b, np.flatnonzero((of_b >= 0) & (of_b != of_a)))):
-                rare = rare[np.argsort(of[rare], kind="stable")]
+                rare = rare[np.argsort(of[rare].astype(small), kind="stable")]
                 for run in _runs(of[rare]):
                     part = rare[run]
                     there[a[part]] = there[b[part]] = True
                     used = np.flatnonzero(there)
                     there[used], place[used] = False, np.arange(len(used))
-                    yield int(of[part[0]]), _pack_sorted(code[used]), _pack_sorted(place[a[part]].astype(np.int64), np.uint32), _pack(place[b[part]]), _pack(n[part].astype(np.int64))
+                    yield int(of[part[0]]), _pack_sorted(code[used]), _pack_sorted(place[a[part]].astype(np.int64), np.uint32), _pack(place[b[part]]), _pack(n[part].astype(np.uint32))
 
         def batch_of(found):
             return pa.RecordBatch.from_arrays(
@@ -352,7 +357,7 @@ class _Buckets:
             return self.rows(self.static_ddl, [(q, -1, b"", b"", _pack(at.astype(np.uint32)), _pack(sums[at]))])
         codes = [_unpack_sorted(x) for x in tbl.column("codes").to_pylist()]
         a = [_unpack_sorted(x, np.uint32) for x in tbl.column("a").to_pylist()]
-        b, n = ([_unpack(x, t) for x in tbl.column(c).to_pylist()] for c, t in (("b", np.uint32), ("n", np.int64)))
+        b, n = ([_unpack(x, t) for x in tbl.column(c).to_pylist()] for c, t in (("b", np.uint32), ("n", np.uint32)))
         shift = np.cumsum([0, *map(len, codes)])
         every, place = np.unique(np.concatenate(codes), return_inverse=True)
         a, b = (np.concatenate([place[x.astype(np.int64) + by] for x, by in zip(side, shift[:-1].tolist(), strict=True)]) for side in (a, b))
@@ -360,7 +365,7 @@ class _Buckets:
         order = np.argsort(key, kind="stable")
         key = key[order]
         first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-        n = np.add.reduceat(np.concatenate(n)[order], first)
+        n = np.add.reduceat(np.concatenate(n)[order].astype(np.int64), first)
         a, b = key[first] >> 32, key[first] & 0xFFFFFFFF
         rare = int(np.searchsorted(every, RARE))
         near = every[rare:]  # its own words too
@@ -605,6 +610,7 @@ def score(docs: DataFrame, training: DataFrame, vocabulary: int = VOCABULARY, cl
         model, known = shared.value
         row = TaskContext.get().partitionId() << 33  # ids may repeat or be null: rows are numbered
         get, end, of = model.numbering.table.__getitem__, model.numbering.end, model.of
+        of_shape = model.unknown.tolist()
         logs = np.full(end + 1, np.log10(ALPHA))  # an end that no training text has is known by class, not by count
         for w, n in known.items():
             logs[end if not w else get(w)] = np.log10(n + ALPHA)
@@ -626,7 +632,7 @@ def score(docs: DataFrame, training: DataFrame, vocabulary: int = VOCABULARY, cl
                 places = [rare.setdefault(lists[d][i], len(rare)) for i in (at[run] - starts[d]).tolist()]
                 cls[at[run]] = total + np.array(places)
                 words[d], times[d] = [w.decode() for w in rare], np.bincount(places).tolist()
-                unknown[d] = [int(model.unknown[shape(w)]) for w in rare]
+                unknown[d] = [of_shape[shape(w)] for w in rare]
             before = np.concatenate(([model.end_class], cls[:-1]))  # each text closes with the end, which begins the next
             there = cls < total
             both = there & (before < total)
@@ -656,25 +662,27 @@ def score(docs: DataFrame, training: DataFrame, vocabulary: int = VOCABULARY, cl
         "row long, key long, n_tokens long, n_known long, model_part double, count_part double, links binary,"
         " words array<string>, times array<long>, unknown array<int>",
     ), "scored")
-    rare = parts.select("row", F.posexplode(F.arrays_zip("words", "times", "unknown")).alias("pos", "x")).select(
-        "row", "pos", F.col("x.words").alias("word"), F.col("x.times").alias("times"), F.col("x.unknown").alias("unknown")
+    rare = parts.select("row", F.posexplode(F.arrays_zip("words", "unknown")).alias("pos", "x")).select(
+        "row", F.col("x.words").alias("word"), (F.col("pos").cast("long") * SHIFT + F.col("x.unknown")).alias("place")
     )
     number = F.array(*[F.lit(int(x)) for x in model.number])
-    joined = rare.join(assigned.select("word", "n", F.get(number, F.col("class")).alias("class")), "word", "left")
-    entry = F.struct("pos", "times", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("class", "unknown").alias("class"))
-    per_row = joined.groupBy("row").agg(F.collect_list(entry).alias("found"))  # of one document
+    # words are distinct there, so its share of a partition is a hash table; the documents' rows need no sort
+    known = assigned.select("word", "n", F.get(number, F.col("class")).alias("class")).hint("shuffle_hash")
+    at = F.col("place") - F.pmod("place", F.lit(SHIFT))
+    entry = F.struct((at + F.coalesce("class", F.pmod("place", F.lit(SHIFT)))).alias("place"), F.coalesce("n", F.lit(0)).alias("n"))
+    per_row = rare.join(known, "word", "left").groupBy("row").agg(F.collect_list(entry).alias("found"))  # of one document
 
     def finish():
         model, _ = shared.value
 
         def batch_rows(batch):
             n_known, model_part, count_part = (batch.column(c).to_numpy(zero_copy_only=False).copy() for c in ("n_known", "model_part", "count_part"))
-            blobs, lists = batch.column("links"), batch.column("found")
+            blobs, counts, lists = batch.column("links"), batch.column("times"), batch.column("found")
             for i in np.flatnonzero(lists.is_valid().to_numpy(zero_copy_only=False)).tolist():
-                entries = lists[i].values
-                pos, times, n, cls = (entries.field(j).to_numpy() for j in range(4))
-                order = np.argsort(pos)
-                times, n, cls = times[order], n[order], cls[order]
+                entries, times = lists[i].values, counts[i].values.to_numpy()
+                place, found = entries.field(0).to_numpy(), entries.field(1).to_numpy()
+                cls, n = np.empty((2, len(times)), np.int64)
+                cls[place // SHIFT], n[place // SHIFT] = place % SHIFT, found
                 of = np.concatenate((np.arange(total), cls))
                 a, b = of[np.frombuffer(blobs[i].as_py(), np.int32).reshape(2, -1)]
                 n_known[i] += times[n > 0].sum()
@@ -686,7 +694,7 @@ def score(docs: DataFrame, training: DataFrame, vocabulary: int = VOCABULARY, cl
 
     divisor = float(np.log10(n_all + ALPHA * (v_all + 1)))
     out = pa.schema([schema.field(c) for c in ("key", "n_tokens", "n_known", "model_part", "count_part")])
-    whole = parts.select("row", "key", "n_tokens", "n_known", "model_part", "count_part", "links").join(per_row, "row", "left")
+    whole = parts.select("row", "key", "n_tokens", "n_known", "model_part", "count_part", "links", "times").join(per_row, "row", "left")
     return whole.mapInArrow(
         per_batch(finish, out), "key long, n_tokens long, n_known long, model_part double, count_part double"
     ).select(
