@@ -42,7 +42,7 @@ def _invoices(ctx: ReportContext) -> DataFrame | None:
         return None
     own = scoped_imports(ctx).select(F.col("invoice_number").alias("invoice_no"))
     moved = scoped_movement_invoices(ctx).select(F.col("invoice_number").alias("invoice_no"))
-    return own.unionByName(moved).distinct()
+    return ctx.chosen(own.unionByName(moved).distinct())
 
 
 def invoice_attributes(ctx: ReportContext) -> DataFrame:

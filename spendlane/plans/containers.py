@@ -8,14 +8,14 @@ reduced values.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendlane.functions import constants as K
 from spendlane.operators.ordered import leads, running_count
 from spendlane.operators.rollup import first_n_rows, repeated_rollup, running_count_at_first
 from spendlane.plans.context import ReportContext
-from spendlane.plans.export_leg import scoped_shipments
+from spendlane.plans.export_leg import of_wanted, scoped_shipments
 
 NUMBER, TYPE = "container_number", "container_type"
 
@@ -23,7 +23,7 @@ NUMBER, TYPE = "container_number", "container_type"
 def ocean_movements(ctx: ReportContext) -> DataFrame:
     """One row for each scoped shipment row whose ship mode is Ocean."""
     def build() -> DataFrame:
-        modes = ctx.views.ship_mode_dimension.filter(F.col("ship_mode_desc") == K.OCEAN)
+        modes = F.broadcast(ctx.views.ship_mode_dimension.filter(F.col("ship_mode_desc") == K.OCEAN))
         return scoped_shipments(ctx).join(modes, "ship_mode_key").select("movement_id")
     return ctx.memo("ocean_movements", build)
 
@@ -43,9 +43,9 @@ def container_rows(ctx: ReportContext) -> DataFrame:
     """
     def build() -> DataFrame:
         v = ctx.views
-        return (v.container_shipment_fact
-                .join(v.move_type_dimension, "move_type_key")
-                .join(v.container_type_dimension, "container_type_key")
+        return (of_wanted(ctx, v.container_shipment_fact)
+                .join(F.broadcast(v.move_type_dimension), "move_type_key")
+                .join(F.broadcast(v.container_type_dimension), "container_type_key")
                 .select("movement_id", NUMBER, TYPE))
     return ctx.memo("container_rows", build)
 
@@ -81,22 +81,15 @@ def number_leads(ctx: ReportContext, offsets: tuple[int, ...]) -> DataFrame:
     return leads(container_joins(ctx), ["movement_id"], NUMBER, offsets, row="position")
 
 
-def first_values(ctx: ReportContext) -> DataFrame:
-    """Per movement the first 31 non-null numbers and types, as sorted lists.
+def first_values(ctx: ReportContext, kind: str) -> DataFrame:
+    """Per movement the first 31 non-null numbers, or types, as a sorted list.
 
-    One pass: a record becomes a (movement, kind, value) row for its number and
-    one for its type; one ranking per movement and kind, limited on both sides of
-    the shuffle, so a list is bounded whatever the size of a movement.
+    Ranked per movement and limited on both sides of the shuffle, so a list is bounded
+    whatever the size of a movement, and lies by movement as the joins need it.
     """
-    rows = container_rows(ctx).select(
-        "movement_id",
-        F.explode(F.create_map(F.lit(NUMBER), F.col(NUMBER), F.lit(TYPE), F.col(TYPE))).alias("kind", "value"),
-    ).filter(F.col("value").isNotNull())
-    w = Window.partitionBy("movement_id", "kind").orderBy("value")
-    top = rows.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= K.ROLLUP_WIDTH)
-    return top.groupBy("movement_id").agg(*[
-        F.array_sort(F.collect_list(F.when(F.col("kind") == k, F.col("value")))).alias(k)
-        for k in (NUMBER, TYPE)])
+    rows = container_rows(ctx).select("movement_id", kind).filter(F.col(kind).isNotNull())
+    top = first_n_rows(rows, ["movement_id"], F.col(kind).asc(), K.ROLLUP_WIDTH)
+    return top.groupBy("movement_id").agg(F.array_sort(F.collect_list(kind)).alias(kind))
 
 
 def containers(ctx: ReportContext) -> DataFrame:
@@ -111,7 +104,8 @@ def containers(ctx: ReportContext) -> DataFrame:
             return F.when(F.size(kind) > 0, repeated_rollup(F.col(kind), rows))
 
         return (records.join(movement_rows(ctx), "movement_id")
-                .join(first_values(ctx), "movement_id", "left")
+                .join(first_values(ctx, NUMBER), "movement_id", "left")
+                .join(first_values(ctx, TYPE), "movement_id", "left")
                 .select(F.col("movement_id").alias("ei_file_number"),
                         text(NUMBER).alias("containers"),
                         (F.col("_records") * rows).alias("container_count"),

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendlane.operators.joins import Role, join_roles
-from spendlane.operators.scope import client_scope, client_scope_column, invoice_scope, table_scope
+from spendlane.operators.scope import client_scope, client_scope_column, date_scope, invoice_scope, table_scope
 from spendlane.params import ReportParams
 from spendlane.shared import written
 from spendlane.sources.named import NamedViews
@@ -18,6 +18,7 @@ from spendlane.sources.views import Views
 CLIENT_ROLE_COLUMNS = ("gci_name", "gci_addr_line1", "gci_addr_line2", "gci_state", "gci_city")
 BRANCH_ROLE_COLUMNS = ("branch_code", "country_name", "region_code_1")
 PORT_ROLE_COLUMNS = ("port_code", "country_name")
+PARTIES = "party_clients"
 
 
 def leg_roles(origin: str, destination: str, shipper: str, consignee: str, ports: tuple[str, str],
@@ -26,8 +27,8 @@ def leg_roles(origin: str, destination: str, shipper: str, consignee: str, ports
     return (
         Role("bo_", "branches", "branch_key", origin, BRANCH_ROLE_COLUMNS),
         Role("bd_", "branches", "branch_key", destination, BRANCH_ROLE_COLUMNS),
-        Role("sh_", "party_clients", "client_key", shipper, CLIENT_ROLE_COLUMNS),
-        Role("cn_", "party_clients", "client_key", consignee, CLIENT_ROLE_COLUMNS),
+        Role("sh_", PARTIES, "client_key", shipper, CLIENT_ROLE_COLUMNS),
+        Role("cn_", PARTIES, "client_key", consignee, CLIENT_ROLE_COLUMNS),
         Role(port_prefixes[0], "ports", "port_key", ports[0], PORT_ROLE_COLUMNS),
         Role(port_prefixes[1], "ports", "port_key", ports[1], PORT_ROLE_COLUMNS),
     )
@@ -57,10 +58,23 @@ class ReportContext:
             self._memo[key] = build()
         return self._memo[key]
 
-    def with_roles(self, facts: DataFrame, roles: tuple[Role, ...]) -> DataFrame:
-        """``facts`` joined to the dimensions of ``roles``."""
+    def with_parties(self, facts: DataFrame, roles: tuple[Role, ...]) -> DataFrame:
+        """``facts`` joined to the clients among ``roles``, a table of any size."""
+        return self._with_roles(facts, [r for r in roles if r.dimension == PARTIES])
+
+    def with_places(self, facts: DataFrame, roles: tuple[Role, ...]) -> DataFrame:
+        """``facts`` joined to the branches and ports of ``roles``, which are broadcast: best
+        after the facts have met all they move for, as their texts then never travel."""
+        return self._with_roles(facts, [r for r in roles if r.dimension != PARTIES])
+
+    def _with_roles(self, facts: DataFrame, roles: list[Role]) -> DataFrame:
         return join_roles(facts, roles, lambda name: getattr(self, name), self.params.stacked_roles)
 
+    def chosen(self, df: DataFrame) -> DataFrame:
+        """``df``, which holds rows of the run's invoices only, as a side of a join: a few
+        rows if the run lists its invoices, else any number."""
+        return F.broadcast(df) if self.params.invoice_numbers is not None else df
+
     @classmethod
     def from_dir(cls, spark: SparkSession, base_dir: str, params: ReportParams) -> "ReportContext":
         """Context over the views derived from the tables of ``base_dir``."""
@@ -75,6 +89,14 @@ class ReportContext:
         """Whether the run is restricted to some clients or invoices."""
         return self.params.scoped or self.clients is not None or self.invoices is not None
 
+    @property
+    def scopes_clients(self) -> bool:
+        return self.params.client_ids is not None or self.clients is not None
+
+    @property
+    def scopes_dates(self) -> bool:
+        return self.params.start is not None or self.params.end is not None
+
     @property
     def scopes_invoices(self) -> bool:
         return self.params.invoice_numbers is not None or self.invoices is not None
@@ -109,18 +131,32 @@ class ReportContext:
     def billing(self) -> DataFrame:
         return self.views.billing_dimension
 
+    # dimensions of a calendar or a list of codes: their size does not follow the
+    # facts, which would otherwise be shuffled by a few keys to meet them
+    @cached_property
+    def dates(self) -> DataFrame:
+        return F.broadcast(date_scope(self.views.date_dimension, "date", self.params))
+
+    @cached_property
+    def rates(self) -> DataFrame:
+        return F.broadcast(self.views.currency_exchange_dimension)
+
+    @cached_property
+    def currencies(self) -> DataFrame:
+        return F.broadcast(self.views.currency_dimension)
+
     @cached_property
     def branches(self) -> DataFrame:
-        return self.views.branch_dimension
+        return F.broadcast(self.views.branch_dimension)
 
     @cached_property
     def ports(self) -> DataFrame:
-        return self.views.port_dimension
+        return F.broadcast(self.views.port_dimension)
 
     @cached_property
     def service_levels(self) -> DataFrame:
-        return self.views.service_level_dimension
+        return F.broadcast(self.views.service_level_dimension)
 
     @cached_property
     def service_types(self) -> DataFrame:
-        return self.views.service_type_dimension
+        return F.broadcast(self.views.service_type_dimension)

@@ -17,12 +17,39 @@ ROLES = leg_roles("branch_origin_key", "branch_dest_key", "outbound_shipper_key"
 
 
 def scoped_shipments(ctx: ReportContext) -> DataFrame:
-    """Export shipments whose outbound revenue client is in scope."""
+    """Export shipments whose outbound revenue client is in scope; if the run names
+    invoices, those of their :func:`wanted_movements` only."""
     return ctx.memo("scoped_shipments", lambda: _scoped_shipments(ctx))
 
 
+def invoice_movements(ctx: ReportContext) -> DataFrame:
+    """movement_id, invoice_number of the run's invoices."""
+    return ctx.memo("invoice_movements", lambda: ctx.in_invoice_scope(ctx.views.invoice_movement, "invoice_number"))
+
+
+def wanted_movements(ctx: ReportContext) -> DataFrame | None:
+    """The movements that carry the run's invoices or are their import shipments' house
+    bills, all that a report can show; None if the run names no invoices."""
+    from spendlane.plans.import_leg import scoped_imports
+
+    if not ctx.scopes_invoices:
+        return None
+
+    def build() -> DataFrame:
+        carried = invoice_movements(ctx).select(F.col("movement_id").alias("wanted_id"))
+        bills = scoped_imports(ctx).select(F.col("housebill_ref").alias("wanted_id"))
+        return ctx.chosen(carried.unionByName(bills).distinct())
+    return ctx.memo("wanted_movements", build)
+
+
+def of_wanted(ctx: ReportContext, df: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose ``movement_id`` the run wants, before any other join."""
+    ids = wanted_movements(ctx)
+    return df if ids is None else df.join(ids, df.movement_id == ids.wanted_id, "left_semi")
+
+
 def _scoped_shipments(ctx: ReportContext) -> DataFrame:
-    sf = ctx.views.shipment_fact
+    sf = of_wanted(ctx, ctx.views.shipment_fact)
     clients = ctx.scoped_clients.select("client_key", "master_client_number", "gci")
     return sf.join(clients, sf.outbound_revenue_customer_key == clients.client_key).drop("client_key")
 
@@ -31,9 +58,7 @@ def scoped_movement_invoices(ctx: ReportContext) -> DataFrame:
     """movement_id, invoice_number of the scoped movements that the references
     are pooled over."""
     def build() -> DataFrame:
-        im = ctx.views.invoice_movement
-        if ctx.params.scope_export_references:
-            im = ctx.in_invoice_scope(im, "invoice_number")
+        im = invoice_movements(ctx) if ctx.params.scope_export_references else of_wanted(ctx, ctx.views.invoice_movement)
         ids = scoped_shipments(ctx).select("movement_id")
         return im.join(ids, "movement_id", "left_semi") if ctx.scoped else im
     return ctx.memo("scoped_movement_invoices", build)
@@ -52,7 +77,7 @@ def export_references(ctx: ReportContext) -> DataFrame:
 
 def _export_references(ctx: ReportContext) -> DataFrame:
     sf = scoped_shipments(ctx).select("movement_id")
-    srf = ctx.views.shipment_reference_fact.groupBy("movement_id").agg(
+    srf = of_wanted(ctx, ctx.views.shipment_reference_fact).groupBy("movement_id").agg(
         F.max("so_references").alias("srf_so"),
         F.max("ci_references").alias("srf_ci"),
         F.max("en_references").alias("srf_en"))
@@ -98,17 +123,23 @@ def export_leg_base(ctx: ReportContext) -> DataFrame:
 def _export_leg_base(ctx: ReportContext) -> DataFrame:
     v = ctx.views
     sf = scoped_shipments(ctx)
+    if ctx.scopes_invoices:
+        sf = ctx.chosen(sf)
     sfe = v.shipment_fact_events_timeline
-    im = ctx.in_invoice_scope(v.invoice_movement, "invoice_number")
-    srf = v.shipment_reference_fact.select(F.col("movement_id").alias("srf_movement_id"),
-                                           "po_references")
+    im = invoice_movements(ctx)
+    srf = of_wanted(ctx, v.shipment_reference_fact).select(
+        F.col("movement_id").alias("srf_movement_id"), "po_references")
+    # the narrow times first, the parties' texts for the last two shuffles, the
+    # texts of the small dimensions for none
     df = (
-        ctx.with_roles(sf, ROLES)
-        .join(sfe, "shipment_fact_key")
+        ctx.with_parties(sf.join(sfe, "shipment_fact_key"), ROLES)
         .join(im, "movement_id")
+        .join(srf, F.col("movement_id") == F.col("srf_movement_id"), "left")
+    )
+    df = (
+        ctx.with_places(df, ROLES)
         .join(ctx.service_levels, "service_level_key")
         .join(ctx.service_types, "service_type_key", "left")
-        .join(srf, F.col("movement_id") == F.col("srf_movement_id"), "left")
     )
     countries = ("op_", "dp_") if ctx.params.port_countries else ("bo_", "bd_")
     return _export_base_select(df, countries)

@@ -34,10 +34,13 @@ def scoped_imports(ctx: ReportContext) -> DataFrame:
     return ctx.memo("scoped_imports", build)
 
 
-def import_shipments(ctx: ReportContext) -> DataFrame:
-    """Scoped import shipments joined to their role-playing dimensions."""
-    rows = ctx.with_roles(scoped_imports(ctx), ROLES)
-    return (rows.join(ctx.service_levels, "service_level_key")
+def import_shipments(ctx: ReportContext, attributes: bool = False) -> DataFrame:
+    """Scoped import shipments joined to their role-playing dimensions, and to the
+    attributes of their invoice if asked; the small dimensions come last."""
+    rows = ctx.with_parties(scoped_imports(ctx), ROLES)
+    if attributes:
+        rows = with_attributes(ctx, rows, "invoice_number")
+    return (ctx.with_places(rows, ROLES).join(ctx.service_levels, "service_level_key")
             .join(ctx.service_types, "service_type_key", "left"))
 
 
@@ -51,7 +54,7 @@ def import_leg(ctx: ReportContext) -> DataFrame:
 
 
 def _import_leg(ctx: ReportContext) -> DataFrame:
-    df = with_attributes(ctx, import_shipments(ctx), "invoice_number")
+    df = import_shipments(ctx, attributes=True)
     countries = ("po_", "pd_") if ctx.params.port_countries else ("bo_", "bd_")
     code, time = F.max(max_code(IMPORT)), F.max(max_time(IMPORT))
     ic = F.max(reference("IC"))

@@ -6,30 +6,37 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendlane.functions import rules as R
-from spendlane.operators.scope import date_scope, keep_code_country
+from spendlane.operators.scope import keep_code_country
 from spendlane.plans.context import ReportContext
 from spendlane.sources.named import INVOICE_MONTH
 
 
 def enriched_lines(ctx: ReportContext) -> DataFrame:
     """Invoice lines joined to their six dimensions and scoped by client,
-    date and (optionally) invoice, *before* the code/country exclusion."""
-    v = ctx.views
-    cif = ctx.in_invoice_scope(v.customer_invoice_fact, "invoice_number")
-    dates = date_scope(v.date_dimension, "date", ctx.params)
+    date and (optionally) invoice, *before* the code/country exclusion.
+
+    Lines move for the two large dimensions only, billing codes and clients, and while
+    they are narrow: a scope comes first, then codes, then the clients' texts; the small
+    dimensions are broadcast and add their texts last."""
+    cif = ctx.in_invoice_scope(ctx.views.customer_invoice_fact, "invoice_number")
+    dates = ctx.dates
     on_date = cif.dt_invoice_date_key == dates.date_key
     if INVOICE_MONTH in cif.columns and INVOICE_MONTH in dates.columns:
         # stored by month: the dates in scope prune the fact's partitions
         on_date = on_date & (cif[INVOICE_MONTH] == dates[INVOICE_MONTH])
-    rates = v.currency_exchange_dimension
-    currencies = v.currency_dimension
-    clients = ctx.scoped_clients
+    rates, currencies, clients = ctx.rates, ctx.currencies, ctx.scoped_clients
+    joins = {
+        "billing": (ctx.billing, cif.billing_key == ctx.billing.billing_key),
+        "clients": (clients, cif.billing_client_key == clients.client_key),
+        "dates": (dates, on_date),
+    }
+    scoped = [*["dates"] * ctx.scopes_dates, *["clients"] * ctx.scopes_clients]
+    df = cif
+    for name in (*scoped, *[n for n in joins if n not in scoped]):
+        df = df.join(*joins[name])
     return (
-        cif.join(dates, on_date)
-        .join(clients, cif.billing_client_key == clients.client_key)
-        .join(rates, (rates.date_month_key == cif.dt_revenue_month_key)
-              & (rates.currency_key == cif.billing_currency_key))
-        .join(ctx.billing, "billing_key")
+        df.join(rates, (rates.date_month_key == cif.dt_revenue_month_key)
+                & (rates.currency_key == cif.billing_currency_key))
         .join(currencies, cif.billing_currency_key == currencies.currency_key)
         .join(ctx.branches, cif.billing_branch_key == ctx.branches.branch_key)
     )
