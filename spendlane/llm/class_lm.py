@@ -37,9 +37,7 @@ same.  An empty table gives an empty result.
 from __future__ import annotations
 
 import functools
-import re
-from collections import Counter
-from itertools import chain
+from itertools import count as counting
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from spendlane.llm.common import bounded_batches, id_remainder, per_batch, shuffle_partitions, written
+from spendlane.llm.common import bounded_batches, id_remainder, per_batch, shuffle_partitions, utf8_buffers, written
 
 VOCABULARY = 2000
 CLASSES = 64
@@ -57,8 +55,9 @@ SWEEPS = 6
 LEAST_RISE = 1e-4
 TABLE_WORDS = 100_000
 BUCKET_WORDS = 1 << 16  # words outside the vocabulary that one group moves
-FLUSH = 300_000  # distinct entries a task's counter holds
-PAIRS = 4_000_000  # pairs a task holds before it sums them
+PAIRS = 4_000_000  # words a task holds before it sums them
+HELD_BYTES = 64_000_000  # of text a task holds, at most one batch more
+LONG = 64  # bytes; longer words are hashed one by one
 SHAPES = 8  # of words outside the vocabulary
 END = ""  # no word is empty
 ALPHA = 0.5
@@ -66,9 +65,9 @@ RARE = 1 << 62  # codes of words outside the vocabulary
 SHIFT = 1024  # more than the model's classes
 TIMES = 32  # gains of smaller counts are looked up
 
-_DIGIT = re.compile(rb"[0-9]")
-_LETTER = re.compile(rb"[a-z\x80-\xff]")
-_ODD_END = re.compile(rb"[^0-9a-z\x80-\xff]$")
+_KIND = np.zeros(256, np.uint8)  # of a byte: 1 a letter, 2 a digit
+_KIND[ord("a"):ord("z") + 1] = _KIND[128:] = 1
+_KIND[ord("0"):ord("9") + 1] = 2
 
 
 def tokens(text: str) -> list[bytes]:
@@ -76,47 +75,212 @@ def tokens(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
 
-def shape(word: bytes) -> int:
-    """Kind of a word outside the vocabulary, by its characters."""
-    last = word[-1] if word else 0
-    if 97 <= last <= 122 or last >= 128:  # most words end in a letter
-        return 4 + (len(word) > 5) + (len(word) > 9) + (len(word) > 14)
-    if not _LETTER.search(word):
-        return 0 if _DIGIT.search(word) else 1
-    if _ODD_END.search(word):
-        return 2 if len(word) <= 6 else 3
-    return 4 + (len(word) > 5) + (len(word) > 9) + (len(word) > 14)
+def shapes(words: list[bytes]) -> np.ndarray:
+    """Kinds of words outside the vocabulary, by their characters: 0 and 1 without a
+    letter (0: with a digit), 2 and 3 ending in a sign, 4 to 7 all others, by size."""
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    kinds = np.ones(len(words), np.int32)
+    some = np.flatnonzero(sizes)
+    if len(some):
+        is_ = _KIND[np.frombuffer(b"".join(words), np.uint8)]
+        size = sizes[some]
+        held = np.bitwise_or.reduceat(is_, np.cumsum(size) - size)
+        last = is_[np.cumsum(size) - 1]
+        by_size = 4 + (size > 5) + (size > 9) + (size > 14)
+        kinds[some] = np.where(held & 1, np.where(last, by_size, 2 + (size > 6)), np.where(held & 2, 0, 1))
+    return kinds
+
+
+_SPACE = np.zeros(256, bool)
+_SPACE[list(b" \t\n\v\f\r")] = True
+_MASKS = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
+_ODD, _EVEN = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """One to one, so different numbers stay different."""
+    x = (x ^ x >> np.uint64(32)) * _ODD
+    x = (x ^ x >> np.uint64(29)) * _EVEN
+    return x ^ x >> np.uint64(32)
+
+
+def _cut(column: pa.Array):
+    """(lower-cased bytes of texts, first byte and size of each word, words before the end of each text)."""
+    raw, offsets = utf8_buffers(column)
+    low = np.frombuffer(raw[offsets[0]:offsets[-1]].tobytes().lower(), np.uint8)
+    offsets = offsets - offsets[0]
+    gap = np.append(_SPACE[low], True)
+    edge = np.zeros(len(gap), bool)
+    edge[offsets] = True  # texts lie side by side
+    start, end = ~gap, gap | edge
+    start[1:] &= gap[:-1] | edge[1:]
+    end[1:] &= ~gap[:-1]
+    end[0] = False
+    starts = np.flatnonzero(start)
+    return low, starts, np.flatnonzero(end) - starts, np.searchsorted(starts, offsets[1:])
+
+
+class Words:
+    """The words of texts, all at once: their places in the lower-cased bytes of the
+    texts.  The same words as ``tokens`` of each text, without an object for each.  The words
+    of a table, cut like a text, come after them, so both are numbered together."""
+
+    def __init__(self, cuts: list[tuple], table: tuple | None = None):
+        first = [x[3] for x in cuts]
+        data, starts, sizes, _ = zip(*(cuts if table is None else [*cuts, table]), strict=True)
+        bytes_before = np.cumsum([0, *map(len, data)]).tolist()
+        words_before = np.cumsum([0, *map(len, starts)]).tolist()
+        self.data = np.concatenate([*data, np.zeros(8, np.uint8)])
+        self.starts = np.concatenate([x + by for x, by in zip(starts, bytes_before, strict=False)])
+        self.sizes = np.concatenate(sizes)
+        self.first = np.concatenate([[0], *(x + by for x, by in zip(first, words_before, strict=False))])  # of each text, and the end
+        self.texts, self.words = len(self.first) - 1, int(self.first[-1])
+
+    def _eight(self, at: np.ndarray, left: np.ndarray) -> np.ndarray:
+        """The next bytes of words as numbers, at most eight of each."""
+        view = np.ndarray((len(self.data) - 7,), "<u8", self.data, strides=(1,))
+        return view[at] & _MASKS[np.minimum(left, 8)]
+
+    def _bytes(self, i: int) -> bytes:
+        return self.data[self.starts[i]:self.starts[i] + self.sizes[i]].tobytes()
+
+    def _parts(self):
+        """(words longer than that, their next eight bytes), up to LONG bytes."""
+        at = np.flatnonzero(self.sizes > 8)
+        for done in range(8, LONG, 8):
+            if not len(at):
+                return
+            yield at, self._eight(self.starts[at] + done, self.sizes[at] - done)
+            at = at[self.sizes[at] > done + 8]
+
+    def _hashes(self, head: np.ndarray, seed: int) -> np.ndarray:
+        h = _mixed(head ^ _mixed(self.sizes.astype(np.uint64) + np.uint64(seed << 40)))
+        for at, part in self._parts():
+            h[at] = _mixed(h[at] ^ _mixed(part + _ODD))
+        for i in np.flatnonzero(self.sizes > LONG).tolist():
+            h[i] = xxh64_intdigest(self._bytes(i), seed)
+        return h
+
+    def distinct(self):
+        """(number of each word, how often each number occurs, a place of each number).
+        Words are sorted by hash; equal hashes are compared by their bytes, and
+        others tried where two words share one."""
+        size = len(self.starts)
+        if not size:
+            return (np.zeros(0, np.int64),) * 3
+        head = self._eight(self.starts, self.sizes)
+        for seed in counting():
+            h = self._hashes(head, seed)
+            if seed == 0 and size < 1 << 24:  # the places in the low bits: sorted sooner than places by hash
+                low = np.uint64((1 << size.bit_length()) - 1)
+                h = np.sort(h & ~low | np.arange(size, dtype=np.uint64))
+                order = (h & low).astype(np.int64)
+                h &= ~low
+            else:
+                order = np.argsort(h)
+                h = h[order]
+            new = np.concatenate(([True], h[1:] != h[:-1]))
+            by, long = head[order], self.sizes[order]
+            if not (new[1:] | (by[1:] == by[:-1]) & (long[1:] == long[:-1])).all():
+                continue
+            starts = np.flatnonzero(new)
+            place = order[starts]
+            number = np.empty(size, np.int64)
+            number[order] = np.cumsum(new) - 1
+            if self._same(place, number):
+                return number, np.diff(np.append(starts, size)), place
+
+    def _same(self, place: np.ndarray, number: np.ndarray) -> bool:
+        """Whether words of one number, of one size and with equal first bytes, are equal."""
+        full = np.zeros(len(self.starts), np.uint64)
+        for at, part in self._parts():
+            full[at] = part
+            if not (part == full[place[number[at]]]).all():
+                return False
+        return all(self._bytes(i) == self._bytes(place[number[i]]) for i in np.flatnonzero(self.sizes > LONG).tolist())
+
+    def looked_up(self):
+        """(number of each word of the texts, a place of each number, its place in the table or -1)."""
+        number, _, place = self.distinct()
+        found = np.full(len(place), -1)
+        found[number[self.words:]] = np.arange(len(number) - self.words)
+        return number[:self.words], place, found
+
+    def strings(self, place: np.ndarray) -> list[bytes]:
+        raw, _, sizes, _ = self.cut(place)
+        raw, ends = raw.tobytes(), np.cumsum(sizes)
+        return [raw[a:b] for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True)]
+
+    def cut(self, place: np.ndarray) -> tuple:
+        """Some of the words as one text, side by side."""
+        sizes = self.sizes[place]
+        starts = np.cumsum(sizes) - sizes
+        return self.data[np.repeat(self.starts[place] - starts, sizes) + np.arange(sizes.sum())], starts, sizes, np.array([len(place)])
+
+    def per_text(self) -> np.ndarray:
+        return np.diff(self.first)
+
+
+def _with_ends(number: np.ndarray, per_text: np.ndarray, end: int) -> np.ndarray:
+    """The numbers of all tokens: those of the words, and each text's end."""
+    out = np.full(len(number) + len(per_text), end, np.int64)
+    out[np.arange(len(number)) + np.repeat(np.arange(len(per_text)), per_text)] = number
+    return out
+
+
+class _Held:
+    """Texts a task holds: the distinct words of each batch, and the numbers of all."""
+
+    def __init__(self):
+        self.cuts, self.numbers, self.times, self.sizes = [], [], [], []
+        self.words = self.texts = self.bytes = 0
+
+    def add(self, column: pa.Array):
+        words = Words([_cut(column)])
+        number, n, place = words.distinct()
+        self.cuts.append(words.cut(place))
+        self.numbers.append(number.astype(np.uint32))
+        self.times.append(n)
+        self.sizes.append(words.per_text())
+        self.words, self.texts, self.bytes = self.words + words.words, self.texts + words.texts, self.bytes + len(self.cuts[-1][0])
+
+    def full(self) -> bool:
+        return self.words + self.texts > PAIRS or self.bytes > HELD_BYTES
+
+    def tokens(self, number: np.ndarray, words: Words, end: int) -> np.ndarray:
+        """The numbers of all tokens, given those of the batches' distinct words; an end goes before."""
+        out, at = np.full(1 + self.words + self.texts, end, np.uint32), 1
+        for x, sizes, by in zip(self.numbers, self.sizes, words.first.tolist(), strict=False):
+            part = _with_ends(number[x + by], sizes, end)
+            out[at:at + len(part)] = part
+            at += len(part)
+        return out
 
 
-def _flushing(tally: Counter, limit: int = FLUSH):
-    """The tally's items, when it is full."""
-    if len(tally) >= limit:
-        out = list(tally.items())
-        tally.clear()
-        return out
-    return None
+def _held(batches):
+    """A task's texts, as many at a time as it may hold."""
+    held = _Held()
+    for batch in batches:
+        if batch.num_rows:
+            held.add(batch.column("text"))
+        if held.full():
+            yield held
+            held = _Held()
+    if held.texts:
+        yield held
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
     """word (string), n over all rows; END counts the texts."""
 
     def run(batches):
-        tally: Counter = Counter()
-
-        def rows(items):
+        for held in _held(batches):
+            words = Words(held.cuts)
+            number, _, place = words.distinct()
+            n = np.bincount(number, np.concatenate(held.times), len(place)).astype(np.int64)
             # strings: lower-cased UTF-8 split at ASCII stays valid
-            return pa.RecordBatch.from_arrays(
-                [pa.array([w for w, _ in items], pa.binary()).cast(pa.string()), pa.array([n for _, n in items], pa.int64())], names=["word", "n"]
-            )
-
-        for batch in batches:
-            for text in batch.column("text").to_pylist():
-                tally.update(tokens(text))
-                tally[b""] += 1
-                if full := _flushing(tally):
-                    yield rows(full)
-        if tally:
-            yield rows(list(tally.items()))
+            word = pa.array([b"", *words.strings(place)], pa.binary()).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([word, pa.array(np.append(held.texts, n), pa.int64())], names=["word", "n"])
 
     return texts.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -134,14 +298,15 @@ class Numbering:
 
     def __init__(self, vocabulary: list[bytes]):
         self.table = _Table((w, i) for i, w in enumerate(vocabulary))
+        self.cut = _cut(pa.array([b" ".join(vocabulary)], pa.binary()))
         self.first_shape = len(vocabulary)
         self.end = len(vocabulary) + SHAPES
         self.size = self.end + 1
 
     def __call__(self, words: list[bytes]) -> np.ndarray:
         out = np.fromiter(map(self.table.__getitem__, words), np.int64, len(words))
-        for i in np.flatnonzero(out < 0).tolist():
-            out[i] = self.first_shape + shape(words[i])
+        others = np.flatnonzero(out < 0)
+        out[others] = self.first_shape + shapes([words[i] for i in others.tolist()])
         return out
 
 
@@ -239,21 +404,6 @@ def _runs(values: np.ndarray):
     return [slice(a, b) for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(values)], strict=True) if b > a]
 
 
-class _Local(dict):
-    """Numbers the words of a task as they come, the end first."""
-
-    def __init__(self, numbering: Numbering):
-        super().__init__({b"": 0})
-        self.numbering, self.codes, self.numbers = numbering, [numbering.first_shape], [numbering.end]
-
-    def __missing__(self, word):
-        self[word] = at = len(self.codes)
-        number = self.numbering.table[word]
-        self.codes.append(rare_code(word) if number < 0 else number)
-        self.numbers.append(self.numbering.first_shape + shape(word) if number < 0 else number)
-        return at
-
-
 def dealt_pairs(texts: DataFrame, numbering, buckets: int) -> DataFrame:
     """bucket, codes, a, b, n (packed arrays): counts of word pairs, from one pass; texts
     begin and close with the end.  The pairs with a word outside the vocabulary go to the
@@ -262,24 +412,36 @@ def dealt_pairs(texts: DataFrame, numbering, buckets: int) -> DataFrame:
 
     def run(batches):
         num = numbering.value
-        local = _Local(num)
-        cells = np.zeros(num.size * num.size)
-        held: list[np.ndarray] = []
-        size = 0
-
-        def rows():
-            nonlocal held, size, cells
-            code = np.array(local.codes, np.int64)
+        cells = np.zeros(num.size * num.size, np.int64)
+
+        def rows(held):
+            words = Words(held.cuts, num.cut)
+            local, place, code = words.looked_up()
+            number, others = code.copy(), np.flatnonzero(code < 0)
+            for lo in range(0, len(others), 1 << 16):
+                some = others[lo:lo + (1 << 16)]
+                strings = words.strings(place[some])
+                number[some] = num.first_shape + shapes(strings)
+                code[some] = np.fromiter(map(rare_code, strings), np.int64, len(strings))
+            held.cuts = []
+            code, number = np.append(num.first_shape, code), np.append(num.end, number)
             order = np.argsort(code, kind="stable")
             rank = np.empty(len(code), np.int64)
             rank[order] = np.arange(len(code))
-            code, number = code[order], np.array(local.numbers, np.int64)[order]
-            flat = np.concatenate([rank[:1], *(rank[x] for x in held)])  # texts share the end between them
-            keys, n = np.unique(flat[:-1] << 32 | flat[1:], return_counts=True)
-            held, size = [], 0
-            a, b = keys >> 32, keys & 0xFFFFFFFF
-            cells += np.bincount(number[a] * num.size + number[b], n, len(cells))
-            bucket = np.where(code >= RARE, _bucket(code, buckets), -1)
+            code, number = code[order], number[order]
+            flat = held.tokens(rank[1:][local], words, rank[0])  # texts share the end between them
+            keys = flat[:-1].astype(np.uint64)
+            keys <<= np.uint64(32)
+            keys |= flat[1:]
+            keys.sort()
+            first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+            n = np.diff(np.append(first, len(keys))).astype(np.uint32)
+            keys = keys[first]
+            del flat, first
+            a, b = (keys >> np.uint64(32)).astype(np.uint32), keys.astype(np.uint32)
+            del keys
+            np.add.at(cells, number[a] * num.size + number[b], n)
+            bucket = np.where(code >= RARE, _bucket(code, buckets), -1).astype(np.int32)
             of_a, of_b = bucket[a], bucket[b]
             small = np.uint16 if buckets <= 1 << 16 else np.int64
             there, place = np.zeros(len(code), bool), np.zeros(len(code), np.uint32)
@@ -291,26 +453,17 @@ def dealt_pairs(texts: DataFrame, numbering, buckets: int) -> DataFrame:
                     there[a[part]] = there[b[part]] = True
                     used = np.flatnonzero(there)
                     there[used], place[used] = False, np.arange(len(used))
-                    yield int(of[part[0]]), _pack_sorted(code[used]), _pack_sorted(place[a[part]].astype(np.int64), np.uint32), _pack(place[b[part]]), _pack(n[part].astype(np.uint32))
+                    yield int(of[part[0]]), _pack_sorted(code[used]), _pack_sorted(place[a[part]].astype(np.int64), np.uint32), _pack(place[b[part]]), _pack(n[part])
 
         def batch_of(found):
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*found, strict=True), (pa.int32(), *[pa.binary()] * 4), strict=True)],
                 names=["bucket", "codes", "a", "b", "n"])
 
-        for batch in batches:
-            for text in batch.column("text").to_pylist():
-                words = tokens(text)
-                held.append(np.fromiter(chain(map(local.__getitem__, words), (0,)), np.int64, len(words) + 1))
-                size += len(words) + 1
-                if size > PAIRS or len(local) > 2 * FLUSH:
-                    if found := list(rows()):
-                        yield batch_of(found)
-                    if len(local) > FLUSH:
-                        local = _Local(num)
-        if held and (found := list(rows())):
-            yield batch_of(found)
-        table = cells.reshape(num.size, num.size).astype(np.int64)
+        for held in _held(batches):
+            if found := list(rows(held)):
+                yield batch_of(found)
+        table = cells.reshape(num.size, num.size)
         full = [(i, np.flatnonzero(x)) for i, x in enumerate(table)]
         if found := [(-1 - i, b"", b"", _pack(at.astype(np.uint32)), _pack(table[i, at])) for i, at in full if len(at)]:
             yield batch_of(found)
@@ -362,7 +515,7 @@ class _Buckets:
         every, place = np.unique(np.concatenate(codes), return_inverse=True)
         a, b = (np.concatenate([place[x.astype(np.int64) + by] for x, by in zip(side, shift[:-1].tolist(), strict=True)]) for side in (a, b))
         key = a << 32 | b
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         key = key[order]
         first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
         n = np.add.reduceat(np.concatenate(n)[order].astype(np.int64), first)
@@ -433,27 +586,32 @@ class _Buckets:
         word, back, cls, n = (np.cumsum(due) - 1)[word[here]], back[here], cls[here], n[here]
         old, count = mine[due], np.bincount(word, np.where(back == 0, n, 0), due.sum())
         sides = np.stack((table.T[:, :k], table[:, :k]))  # direction, neighbour's class, class of the word
-        few = np.stack([_f(sides + x) - _f(sides) for x in range(TIMES)])
+        few = np.stack([_f(sides + x) - _f(sides) for x in range(TIMES)]).reshape(-1, k)
         margins = table.sum(1)[:k], table.sum(0)[:k]
+        added = [np.stack([_f(margin + x) - _f(margin) for x in range(TIMES)]) for margin in margins]
         best = old.copy()
-        for lo in range(0, len(old), 512):
-            hi = min(lo + 512, len(old))
+        for lo in range(0, len(old), 2048):
+            hi = min(lo + 2048, len(old))
             s = slice(*np.searchsorted(word, (lo, hi)))
             sums = np.bincount(((word[s] - lo) * 2 + back[s]) * total + cls[s], n[s], (hi - lo) * 2 * total)
-            cells = np.flatnonzero(sums)
-            w, d, c, x, home = cells // (2 * total), cells // total % 2, cells % total, sums[cells].astype(np.int64), old[lo:hi]
-            part = few[np.minimum(x, TIMES - 1), d, c]
+            cells = np.flatnonzero(sums > 0)
+            side, x, home = cells % (2 * total), sums[cells].astype(np.int64), old[lo:hi]
+            w, cell = cells // (2 * total), sides.reshape(-1, k)
             many = np.flatnonzero(x >= TIMES)
-            cell = sides[d[many], c[many]]
-            part[many] = _f(cell + x[many, None]) - _f(cell)
-            cell = sides[d, c, home[w]]  # its own class is taken without it
-            part[np.arange(len(w)), home[w]] = _f(cell) - _f(cell - x)
-            gain = np.add.reduceat(part, np.searchsorted(w, np.arange(hi - lo)), axis=0)
-            m = count[lo:hi, None]
-            for margin in margins:
-                rest = margin - np.where(home[:, None] == np.arange(k), m, 0)
-                gain -= _f(rest + m) - _f(rest)
-            to, each = gain.argmax(1), np.arange(hi - lo)
+            at = np.minimum(x, TIMES - 1) * (2 * total) + side
+            at[many] = len(few) + np.arange(len(many))
+            rows = np.concatenate((few, _f(cell[side[many]] + x[many, None]) - _f(cell[side[many]])))
+            gain = _row_sums(rows, at, np.bincount(w, minlength=hi - lo))
+            cell = cell[side, home[w]]  # its own class is taken without it
+            m, each = count[lo:hi].astype(np.int64), np.arange(hi - lo)
+            gain[each, home] = np.bincount(w, _f(cell) - _f(cell - x), hi - lo)
+            many = np.flatnonzero(m >= TIMES)
+            for margin, few_added in zip(margins, added, strict=True):
+                more = few_added[np.minimum(m, TIMES - 1)]
+                more[many] = _f(margin + m[many, None]) - _f(margin)
+                more[each, home] = _f(margin[home]) - _f(margin[home] - m)  # its own class is taken without it
+                gain -= more
+            to = gain.argmax(1)
             best[lo:hi] = np.where(gain[each, to] > gain[each, home] + 1e-9, to, home)
         new = mine.copy()
         new[due] = best
@@ -464,6 +622,20 @@ class _Buckets:
         return pa.table({"code": words, "class": mine.astype(np.int32)})
 
 
+def _row_sums(rows: np.ndarray, at: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums of runs of ``rows[at]``, each of its size (at least one): first rows of all runs,
+    then second ones, so each step adds a block of rows."""
+    order = np.argsort(-sizes, kind="stable")
+    first = (np.cumsum(sizes) - sizes)[order]
+    out = np.empty((len(sizes), rows.shape[1]))
+    total = rows[at[first]]
+    longer = np.searchsorted(-sizes[order], -np.arange(1, sizes.max(initial=1)), "left").tolist()
+    for step, size in enumerate(longer, 1):
+        total[:size] += rows[at[first[:size] + step]]
+    out[order] = total
+    return out
+
+
 def _mover(plan: _Buckets, shared, turn: int):
     return lambda static, messages: plan.choose(static, messages, *shared.value, turn)
 
@@ -573,7 +745,7 @@ def learn(texts: DataFrame, vocabulary: int = VOCABULARY, classes: int = CLASSES
             codes = [known.value.get(w, -1) for w in words]
             codes = [rare_code(w) if c < 0 else c for w, c in zip(words, codes, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("word"), batch.column("n"), pa.array(codes, pa.int64()), pa.array([shape(w) for w in words], pa.int32())],
+                [batch.column("word"), batch.column("n"), pa.array(codes, pa.int64()), pa.array(shapes(words))],
                 names=["word", "n", "code", "shape"],
             )
 
@@ -610,29 +782,30 @@ def score(docs: DataFrame, training: DataFrame, vocabulary: int = VOCABULARY, cl
         model, known = shared.value
         row = TaskContext.get().partitionId() << 33  # ids may repeat or be null: rows are numbered
         get, end, of = model.numbering.table.__getitem__, model.numbering.end, model.of
-        of_shape = model.unknown.tolist()
         logs = np.full(end + 1, np.log10(ALPHA))  # an end that no training text has is known by class, not by count
         for w, n in known.items():
             logs[end if not w else get(w)] = np.log10(n + ALPHA)
 
         def batch_rows(batch):
             nonlocal row
-            lists = [tokens(t) for t in batch.column("text").to_pylist()]
-            sizes = np.array([len(w) + 1 for w in lists])
-            stops = np.cumsum(sizes)
-            starts = stops - sizes
-            found = np.fromiter(chain.from_iterable(chain(map(get, w), (end,)) for w in lists), np.int64, int(stops[-1]))
+            texts = Words([_cut(batch.column("text"))], model.numbering.cut)
+            number, place, table = texts.looked_up()
+            found = _with_ends(table[number], texts.per_text(), end)
+            stops, doc = np.cumsum(texts.per_text() + 1), np.repeat(np.arange(texts.texts), texts.per_text())
+            starts = np.append(0, stops[:-1])
             cls = of[found]
-            at = np.flatnonzero(found < 0)
-            doc = np.searchsorted(stops, at, "right")
-            words, times, unknown = ([[] for _ in lists] for _ in range(3))
-            for run in _runs(doc):
-                d = int(doc[run.start])
-                rare: dict[bytes, int] = {}
-                places = [rare.setdefault(lists[d][i], len(rare)) for i in (at[run] - starts[d]).tolist()]
-                cls[at[run]] = total + np.array(places)
-                words[d], times[d] = [w.decode() for w in rare], np.bincount(places).tolist()
-                unknown[d] = [of_shape[shape(w)] for w in rare]
+            late = np.flatnonzero(table[number] < 0)  # words not in the table: once for each document
+            each, where, times = np.unique(doc[late] << 32 | number[late], return_inverse=True, return_counts=True)
+            cuts = np.searchsorted(each, np.arange(texts.texts + 1) << 32).astype(np.int32)
+            cls[late + doc[late]] = total + where - cuts[doc[late]]
+            each &= 0xFFFFFFFF
+            rare = np.flatnonzero(table < 0)
+            strings = texts.strings(place[rare])
+            table[rare] = np.arange(len(rare))
+            each = table[each]
+            words = pa.array(strings, pa.binary()).cast(pa.string()).take(pa.array(each))
+            kinds = model.unknown[shapes(strings)].astype(np.int32)[each]
+            words, times, unknown = (pa.ListArray.from_arrays(cuts, x) for x in (words, pa.array(times), pa.array(kinds)))
             before = np.concatenate(([model.end_class], cls[:-1]))  # each text closes with the end, which begins the next
             there = cls < total
             both = there & (before < total)
@@ -644,9 +817,9 @@ def score(docs: DataFrame, training: DataFrame, vocabulary: int = VOCABULARY, cl
             cuts = np.searchsorted(late, np.concatenate((starts, stops[-1:])))
             side = np.stack((before[late], cls[late])).astype(np.int32)
             links = [side[:, a:b].tobytes() for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
-            row += len(lists)
+            row += texts.texts
             return {
-                "row": list(range(row - len(lists), row)), "key": batch.column("key"), "n_tokens": sizes,
+                "row": np.arange(row - texts.texts, row), "key": batch.column("key"), "n_tokens": stops - starts,
                 "n_known": np.add.reduceat(there.astype(np.int64), starts) - (b"" not in known),
                 "model_part": np.add.reduceat(fixed, starts), "count_part": np.add.reduceat(counted, starts), "links": links,
                 "words": words, "times": times, "unknown": unknown,

@@ -2,6 +2,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import clashing, documents, remainder, table_texts
 
@@ -132,3 +133,38 @@ def test_classes_do_not_depend_on_buckets(spark, monkeypatch):
         found.append(sorted(map(tuple, M.learn(texts, vocabulary=3, classes=3)[0].collect())))
     spark.conf.set("spark.sql.shuffle.partitions", before)
     assert all(f == found[0] for f in found[1:])
+
+
+ODD_TEXTS = ["the cat  sat", "", " The\tend\n", "x" * 70 + " " + "x" * 70 + " " + "x" * 69 + "y", "É é ÀB\x1cc\x0bd", "\u3000 z\x00 z", "abcdefgh abcdefghi abcdefgh\x00", "end"]
+
+
+@pytest.mark.parametrize("clash", [False, True])
+def test_words_are_cut_and_numbered_together(monkeypatch, clash):
+    """All words of a batch at once, without a Python object for each, also where hashes clash."""
+    if clash:
+        plain = M.Words._hashes
+        monkeypatch.setattr(M.Words, "_hashes", lambda self, head, seed: plain(self, head, seed) & np.uint64((0, 1 << 63, 2**64 - 1)[min(seed, 2)]))
+    table = [b"the", b"q", b"abcdefghi"]
+    words = M.Words([M._cut(pa.array(ODD_TEXTS[:3])), M._cut(pa.array(ODD_TEXTS[3:]))], M.Numbering(table).cut)
+    number, place, found = words.looked_up()
+    strings = words.strings(place)
+    assert len(set(strings)) == len(strings)
+    assert [strings[i] for i in number] == [w for t in ODD_TEXTS for w in M.tokens(t)]
+    assert words.per_text().tolist() == [len(M.tokens(t)) for t in ODD_TEXTS]
+    assert [table.index(w) if w in table else -1 for w in strings] == found.tolist()
+
+
+def test_counts_do_not_depend_on_what_a_task_holds(spark, monkeypatch):
+    texts = spark.createDataFrame([(t,) for t in ODD_TEXTS * 3], "text string").coalesce(1)
+    want = Counter(w for t in ODD_TEXTS * 3 for w in toks(t))
+    for held in (M.PAIRS, 5):
+        monkeypatch.setattr(M, "PAIRS", held)
+        assert {r["word"]: r["n"] for r in M.word_counts(texts).collect()} == want
+
+
+def test_sums_of_runs():
+    rng = np.random.default_rng(4)
+    rows, sizes = rng.integers(0, 99, (20, 3)).astype(float), rng.integers(1, 9, 50)
+    at = rng.integers(0, 20, sizes.sum())
+    want = np.add.reduceat(rows[at], np.cumsum(sizes) - sizes, axis=0)
+    assert (M._row_sums(rows, at, sizes) == want).all()
