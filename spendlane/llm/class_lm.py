@@ -3,7 +3,8 @@
 Tokens are words (A-Z lower-cased, cut at ASCII white space) and one end per text.
 
 *Counts.*  One pass over the training texts counts words, a second one word pairs;
-both combine map-side.  The pairs travel packed, in codes instead of words.
+both combine map-side.  The pairs travel packed, in codes instead of words.  The words of
+a batch of texts are cut and numbered all at once, by their hashes and then their bytes.
 
 *Exchange clustering.*  All training words are assigned to ``CLASSES`` classes by the
 exchange algorithm: each word moves to the class that raises the likelihood of the
@@ -71,7 +72,7 @@ _KIND[ord("0"):ord("9") + 1] = 2
 
 
 def tokens(text: str) -> list[bytes]:
-    """Words of a text; bytes split at ASCII white space only."""
+    """Words of a text; bytes split at ASCII white space only (``Words`` has the same of many texts)."""
     return text.encode().lower().split()
 
 
@@ -278,6 +279,8 @@ def word_counts(texts: DataFrame) -> DataFrame:
             words = Words(held.cuts)
             number, _, place = words.distinct()
             n = np.bincount(number, np.concatenate(held.times), len(place)).astype(np.int64)
+            order = np.argsort(place)  # as they come in the texts: packs better
+            n, place = n[order], place[order]
             # strings: lower-cased UTF-8 split at ASCII stays valid
             word = pa.array([b"", *words.strings(place)], pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays([word, pa.array(np.append(held.texts, n), pa.int64())], names=["word", "n"])
@@ -303,6 +306,9 @@ class Numbering:
         self.end = len(vocabulary) + SHAPES
         self.size = self.end + 1
 
+    def __getstate__(self):
+        return {k: v for k, v in vars(self).items() if k != "table"}  # tasks look words up by the cut
+
     def __call__(self, words: list[bytes]) -> np.ndarray:
         out = np.fromiter(map(self.table.__getitem__, words), np.int64, len(words))
         others = np.flatnonzero(out < 0)
@@ -377,11 +383,14 @@ def _packer():
 
 
 def _pack(array: np.ndarray) -> bytes:
-    return _packer()[0].compress(np.ascontiguousarray(array).tobytes())
+    """Compressed by byte: first bytes of all numbers, then second ones."""
+    array = np.ascontiguousarray(array)
+    return _packer()[0].compress(array.view(np.uint8).reshape(-1, array.itemsize).T.tobytes())
 
 
 def _unpack(blob: bytes, kind) -> np.ndarray:
-    return np.frombuffer(_packer()[1].decompress(blob), kind)
+    by_byte = np.frombuffer(_packer()[1].decompress(blob), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(by_byte.T).view(kind).ravel()
 
 
 def _pack_sorted(array: np.ndarray, kind=np.int64) -> bytes:
@@ -773,18 +782,20 @@ def score(docs: DataFrame, training: DataFrame, vocabulary: int = VOCABULARY, cl
     train_tokens, base_score, score; the model is learnt from ``training`` (text)."""
     assigned, model, n_all, v_all, table = learn(training, vocabulary, classes)
     context = docs.sparkSession.sparkContext
-    shared = context.broadcast((model, table))  # bounded by CLASSES and TABLE_WORDS
+    times_of = np.array([table[w] for w in model.numbering.table], np.int64)
+    shared = context.broadcast((model, times_of, table.get(END.encode())))  # bounded by CLASSES and TABLE_WORDS
     total = len(model.divisor)
 
     def make():
         from pyspark import TaskContext
 
-        model, known = shared.value
+        model, times_of, ends = shared.value
         row = TaskContext.get().partitionId() << 33  # ids may repeat or be null: rows are numbered
-        get, end, of = model.numbering.table.__getitem__, model.numbering.end, model.of
+        end, of = model.numbering.end, model.of
         logs = np.full(end + 1, np.log10(ALPHA))  # an end that no training text has is known by class, not by count
-        for w, n in known.items():
-            logs[end if not w else get(w)] = np.log10(n + ALPHA)
+        logs[:len(times_of)] = np.log10(times_of + ALPHA)
+        if ends:
+            logs[end] = np.log10(ends + ALPHA)
 
         def batch_rows(batch):
             nonlocal row
@@ -795,14 +806,14 @@ def score(docs: DataFrame, training: DataFrame, vocabulary: int = VOCABULARY, cl
             starts = np.append(0, stops[:-1])
             cls = of[found]
             late = np.flatnonzero(table[number] < 0)  # words not in the table: once for each document
-            each, where, times = np.unique(doc[late] << 32 | number[late], return_inverse=True, return_counts=True)
+            rare = np.flatnonzero(table < 0)
+            rare = rare[np.argsort(place[rare])]  # as they come in the texts
+            table[rare] = np.arange(len(rare))
+            each, where, times = np.unique(doc[late] << 32 | table[number[late]], return_inverse=True, return_counts=True)
             cuts = np.searchsorted(each, np.arange(texts.texts + 1) << 32).astype(np.int32)
             cls[late + doc[late]] = total + where - cuts[doc[late]]
             each &= 0xFFFFFFFF
-            rare = np.flatnonzero(table < 0)
             strings = texts.strings(place[rare])
-            table[rare] = np.arange(len(rare))
-            each = table[each]
             words = pa.array(strings, pa.binary()).cast(pa.string()).take(pa.array(each))
             kinds = model.unknown[shapes(strings)].astype(np.int32)[each]
             words, times, unknown = (pa.ListArray.from_arrays(cuts, x) for x in (words, pa.array(times), pa.array(kinds)))
@@ -820,7 +831,7 @@ def score(docs: DataFrame, training: DataFrame, vocabulary: int = VOCABULARY, cl
             row += texts.texts
             return {
                 "row": np.arange(row - texts.texts, row), "key": batch.column("key"), "n_tokens": stops - starts,
-                "n_known": np.add.reduceat(there.astype(np.int64), starts) - (b"" not in known),
+                "n_known": np.add.reduceat(there.astype(np.int64), starts) - (not ends),
                 "model_part": np.add.reduceat(fixed, starts), "count_part": np.add.reduceat(counted, starts), "links": links,
                 "words": words, "times": times, "unknown": unknown,
             }
@@ -846,7 +857,7 @@ def score(docs: DataFrame, training: DataFrame, vocabulary: int = VOCABULARY, cl
     per_row = rare.join(known, "word", "left").groupBy("row").agg(F.collect_list(entry).alias("found"))  # of one document
 
     def finish():
-        model, _ = shared.value
+        model = shared.value[0]
 
         def batch_rows(batch):
             n_known, model_part, count_part = (batch.column(c).to_numpy(zero_copy_only=False).copy() for c in ("n_known", "model_part", "count_part"))
