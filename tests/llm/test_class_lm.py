@@ -168,3 +168,12 @@ def test_sums_of_runs():
     at = rng.integers(0, 20, sizes.sum())
     want = np.add.reduceat(rows[at], np.cumsum(sizes) - sizes, axis=0)
     assert (M._row_sums(rows, at, sizes) == want).all()
+
+
+@pytest.mark.parametrize("kind", [np.uint8, np.uint32, np.int64])
+def test_packed_numbers_come_back(kind):
+    rng = np.random.default_rng(6)
+    for n in (0, 1, 1000):
+        x = rng.integers(0, np.iinfo(kind).max, n, kind)
+        back = M._unpack(M._pack(x), kind)
+        assert back.dtype == kind and (back == x).all()
