@@ -12,7 +12,7 @@ from spendlane.plans import report as RP
 from spendlane.plans.containers import CONTAINER_COLUMNS, containers
 from spendlane.plans.context import ReportContext
 from spendlane.plans.import_leg import import_leg, import_leg_with_containers
-from spendlane.registry import WHOLE
+from spendlane.registry import QUERIES, WHOLE
 from spendlane.session import SPLIT_ALWAYS
 from spendlane.sources.views import Views
 from test_skew import nodes, rows_of
@@ -80,6 +80,18 @@ def test_invoices_with_several_house_bills_list_those_of_the_greatest(spark, sf_
     assert rows_of(got, want.columns) == rows_of(want, want.columns)
 
 
+def test_amounts_travel_without_what_they_do_not_show(unbroadcast, sf_dir):  # noqa: F811
+    df = QUERIES["fanout_safe_amount"].build(unbroadcast, sf_dir)
+    moved = exchanges(df)
+    assert moved.count("line_reference") == 1
+    assert "housebill_ref" not in moved
+    # what goes to the clients no longer holds the keys of the small dimensions
+    plan = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    at = next(i for i, line in enumerate(plan) if "Exchange hashpartitioning(billing_client_key" in line)
+    assert "Project" in plan[at + 1] and "billing_code" in plan[at + 1]
+    assert not [k for k in ("billing_currency_key", "billing_branch_key", "dt_revenue_month_key") if k in plan[at + 1]]
+
+
 def odd_lines(spark, sf_dir):
     """Lines of one group that differ in client, branch, currency, month and type, rates
     that are negative or null, amounts below zero, keys that are null."""
